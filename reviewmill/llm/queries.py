@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, minhash, pii, quality, repeats, urls
+from . import bpe, html_text, minhash, pii, quality, repeats, suffix_tree, urls
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern))
 
 
+def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_pii, op4_bpe, op7_minhash, op8_url_filter, op9_repeats, op10_html_text)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_pii, op4_bpe, op6_suffix_tree, op7_minhash, op8_url_filter, op9_repeats, op10_html_text)}
 
 
 _OP1 = r"""
