@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, minhash, pii, quality, repeats, suffix_tree, urls
+from . import bpe, html_text, minhash, neighbours, packing, pii, quality, repeats, suffix_tree, urls
 from .common import table
 
 
@@ -22,11 +22,21 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The rank file holds the vocabulary of byte_bpe_50k.json; the two give the same ids.
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), path, pattern))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(table(spark, sf_dir, "documents"))
 
@@ -49,7 +59,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_pii, op4_bpe, op6_suffix_tree, op7_minhash, op8_url_filter, op9_repeats, op10_html_text)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_pii, op3_packing, op4_bpe, op5_neighbours, op6_suffix_tree, op7_minhash, op8_url_filter, op9_repeats, op10_html_text)}
 
 
 _OP1 = r"""
