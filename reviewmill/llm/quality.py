@@ -138,6 +138,12 @@ def verdict(policy: Policy, bits: str = "fail_bits"):
     return F.bit_count(F.col(bits).bitwiseAND(policy.mask)) <= policy.tolerated
 
 
+def keep_good(docs: DataFrame, policy: Policy, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, that the policy keeps."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    return ledger(rows, "row", "text").where(verdict(policy)).select("row.*")
+
+
 def ablation(rows: DataFrame, policy: Policy) -> DataFrame:
     """For each rule of the policy: failures, rejections that only it causes, and documents kept without it.
 

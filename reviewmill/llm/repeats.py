@@ -304,14 +304,14 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs' columns as struct ``row``, with n_bytes, n_removed, n_spans, kept (the remaining bytes) and spans (removed byte ranges)."""
+    """docs' columns as struct ``row``, with n_bytes, n_removed, n_spans, kept (the remaining bytes), text (those of them that form whole characters) and spans (removed byte ranges)."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row") if len(docs.columns) > 1 else F.struct(F.lit(1).alias("_")).alias("row"), F.col(f"`{text_col}`").alias("text"))
     ranges = repeated_ranges(rows).distinct().groupBy("t1", "t2").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     kind = dict(rows.dtypes)["row"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, gone, count, kept, spans = [], [], [], [], []
+            n, gone, count, kept, texts, spans = [], [], [], [], [], []
             for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
                 change = np.zeros(len(text) + 1, np.int32)
                 if ranges:
@@ -323,8 +323,9 @@ def remove_repeats(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 gone.append(int(out.sum()))
                 count.append(len(runs))
                 kept.append(np.frombuffer(text, np.uint8)[~out].tobytes() if len(runs) else text)
+                texts.append(kept[-1].decode("utf-8", "ignore"))
                 spans.append([{"start": a, "stop": b} for a, b in runs.tolist()])
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))], names=["row", "n_bytes", "n_removed", "n_spans", "kept", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(kept, pa.binary()), pa.array(texts, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))], names=["row", "n_bytes", "n_removed", "n_spans", "kept", "text", "spans"])
 
     joined = _keyed(rows, "row").join(ranges, ["t1", "t2"], "left").select("row", "text", "ranges")
-    return joined.mapInArrow(run, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:int,stop:int>>")
+    return joined.mapInArrow(run, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept binary, text string, spans array<struct<start:int,stop:int>>")
