@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from .common import text_chunks
 
 LEAF = 16
-#: Segments kept by a Python worker; at most about 130 MB. Full, it starts anew.
-CACHE = 600_000
+#: Segments kept by a Python worker, at most about 70 MB; and short strings and pairs of tokens, about 15 MB each. Full, each starts anew.
+CACHE = 300_000
+SMALL_CACHE = 100_000
 
 
 @lru_cache(maxsize=4)
@@ -74,7 +75,7 @@ class Codec:
     def fit(self, a: int, b: int) -> bool:
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) >= CACHE:
+            if len(self.fits) >= SMALL_CACHE:
                 self.fits.clear()
             known = self.fits[a, b] = self.leaf(self.tokens[a] + self.tokens[b]) == [a, b]
         return known
@@ -97,7 +98,7 @@ class Codec:
             return self.heap(b) if len(b) > 4 * LEAF else self.leaf(b)
         known = self.short.get(b)
         if known is None:
-            if len(self.short) >= CACHE:
+            if len(self.short) >= SMALL_CACHE:
                 self.short.clear()
             known = self.short[b] = self.leaf(b)
         return known
