@@ -14,8 +14,7 @@ THRESHOLD = 0.92
 
 def bigrams(text: Column) -> Column:
     """The two-character strings of a folded text."""
-    chars = F.split(text, "")
-    return F.when(F.length(text) >= 2, F.transform(F.slice(chars, 1, F.length(text) - 1), lambda c, i: F.concat(c, F.get(chars, i + 1)))).otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(text, F.lit("(?s)(?=(..))"), F.lit(1))
 
 
 def similarity_pairs(reviews: DataFrame, key: str = "author_key", threshold: float = THRESHOLD) -> DataFrame:
