@@ -163,14 +163,19 @@ _rare_space = re.compile("[\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\
 _beside_space = re.compile(r"\s |(?: |^)\s|^ | $").search
 
 
-def segments(text: str) -> list[str]:
-    """The text cut before each blank: every match of the pattern lies in one segment.
+def divisible(text: str) -> bool:
+    """Whether each blank of the text stands between two other characters that are no white space.
 
-    Only where each blank stands between two other characters that are no white space (there it is always the first of its match); else the text is one segment.
+    Such a blank is always the first of its match, so every match of the pattern lies between two of them.
     """
+    return not (_beside_space(text) if _rare_space(text) else "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ")
+
+
+def segments(text: str) -> list[str]:
+    """The text cut before each blank, where that divides no match; else the text as it is."""
     if not text:
         return []
-    if _beside_space(text) if _rare_space(text) else "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " ":
+    if not divisible(text):
         return [text]
     first, *rest = text.split(" ")
     return [first, *[" " + x for x in rest]]

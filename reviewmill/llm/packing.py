@@ -15,6 +15,7 @@ table gives none; texts are tokenized whole. Other columns are ignored.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,41 +24,81 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import CACHE, ranks_of, segments
+from .bpe import divisible, ranks_of
 from .common import staged, text_chunks
 
 LENGTH = 1024
 END = 0
 SHARD = 2048
 #: BM25, and the rarest terms of a seed that are looked up.
-K1, B, TERMS = 1.2, 0.75, 24
+K1, B, TERMS = 1.2, 0.75, 16
+#: Neighbours looked at before the rest of the shard is sorted.
+FIRST = 48
 PIECE = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
-_encoders: dict[tuple[str, str], dict] = {}
 
 
-class _Known(dict):
-    """Token ids of a segment, remembered in bounded memory."""
+class _Encoder:
+    """Ids of many texts, as 32-bit numbers. What follows each blank is remembered; what a batch has anew is encoded in
+    one call, as the vocabulary's pattern divides it at the blanks anyway."""
+
+    #: Remembered segments; about 200 MB. Over it, all is forgotten before the next batch.
+    MOST = 1_200_000
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
 
-        self.encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks_of(path), special_tokens={}).encode_ordinary
+        ranks = ranks_of(path)
+        self.encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        for token, i in ranks.items():
+            self.sizes[i] = len(token)
+        self.known: dict[str, bytes] = {}
+
+    def one(self, s: str) -> bytes:
+        return array("I", self.encode(s)).tobytes()
+
+    def learn(self, segments: list[str]) -> None:
+        ids = np.array(self.encode(" " + " ".join(segments)), "<u4")
+        ends = np.cumsum([len(s.encode()) + 1 for s in segments])
+        stops = (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1) * 4
+        raw, at = ids.tobytes(), 0
+        for s, stop in zip(segments, stops.tolist(), strict=True):
+            self.known[s] = raw[at:stop]
+            at = stop
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > self.MOST:
+            self.known.clear()
+        get, out, open_ = self.known.get, [], []
+        for t in texts:
+            if not divisible(t):
+                out.append(self.one(t))
+                continue
+            first, *rest = t.split(" ")
+            found = list(map(get, rest))
+            if None in found:
+                at = [i for i, x in enumerate(found) if x is None]
+                open_.append((len(out), first, found, at, [rest[i] for i in at]))
+                out.append(b"")
+            else:
+                out.append(self.one(first) + b"".join(found))
+        if open_:
+            self.learn(list(set().union(*(o[4] for o in open_))))
+        for k, first, found, at, new in open_:
+            for i, s in zip(at, new, strict=True):
+                found[i] = self.known[s]
+            out[k] = self.one(first) + b"".join(found)
+        return out
+
 
-    def __missing__(self, s: str) -> bytes:
-        ids = np.array(self.encode(s), "<u4").tobytes()
-        if len(s) <= 64:
-            if len(self) >= CACHE:
-                self.clear()
-            self[s] = ids
-        return ids
+_encoders: dict[tuple[str, str], _Encoder] = {}
 
 
-def _encoder(path: str, pattern: str):
+def _encoder(path: str, pattern: str) -> _Encoder:
     if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = _Known(path, pattern)
-    known = _encoders[path, pattern]
-    return lambda text: b"".join(map(known.__getitem__, segments(text)))
+        _encoders[path, pattern] = _Encoder(path, pattern)
+    return _encoders[path, pattern]
 
 
 def tokenized(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, length: int = LENGTH) -> DataFrame:
@@ -65,12 +106,12 @@ def tokenized(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: s
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, rows = _encoder(path, pattern), np.array([END], "<u4").tobytes(), 0
+        encode, end, rows = _encoder(path, pattern).many, np.array([END], "<u4").tobytes(), 0
         for batch in batches:
             for part, texts in text_chunks(batch):
                 row, start, size, ids, tokens = [], [], [], [], []
-                for i, t in enumerate(texts):
-                    own = np.frombuffer(encode(t.decode("utf-8", "replace")) + end, "<u4")
+                for i, raw in enumerate(encode([t.decode("utf-8", "replace") for t in texts])):
+                    own = np.frombuffer(raw + end, "<u4")
                     for at in range(0, len(own), length):
                         cut = own[at : at + length]
                         row.append(i)
@@ -127,6 +168,17 @@ class Index:
         return out
 
 
+def _nearest(score: np.ndarray, n: int) -> Iterator[int]:
+    """The n best, best first, ties by number; the first few are found without sorting all."""
+    if n > FIRST:
+        at = np.flatnonzero(score >= np.partition(score, len(score) - FIRST)[len(score) - FIRST])
+        at = at[np.argsort(-score[at], kind="stable")]
+        yield from at.tolist()
+        yield from np.argsort(-score, kind="stable")[len(at) : n].tolist()
+    else:
+        yield from np.argsort(-score, kind="stable")[:n].tolist()
+
+
 def fill(docs: list[np.ndarray], idf: np.ndarray, length: int = LENGTH) -> list[list[tuple[int, int, int]]]:
     """Sequences of (tail, from, to): every token of every tail in one place."""
     index = Index(docs, idf)
@@ -143,8 +195,7 @@ def fill(docs: list[np.ndarray], idf: np.ndarray, length: int = LENGTH) -> list[
             t = np.unique(docs[seed])
             score = index.scores(t[np.argsort(-idf[t], kind="stable")[:TERMS]])
             score[left == 0] = -1
-            near = np.argsort(-score, kind="stable")
-            for d in near[: np.count_nonzero(left)].tolist():
+            for d in _nearest(score, np.count_nonzero(left)):
                 take = min(room, int(left[d]))
                 window.append((d, int(used[d]), int(used[d]) + take))
                 used[d] += take
