@@ -1 +1,6 @@
 """Registered queries and their SQL."""
+
+from . import operations  # noqa: F401
+from .queries import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]

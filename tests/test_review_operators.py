@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions import dates, identity, language, numbers, text, urls
 from reviewmill.operators import duplicates, health, merge, ordering, rules, schedule, stats
-from reviewmill.plans.queries import PHRASES, QUERIES, SQL
+from reviewmill.plans import QUERIES, SQL
+from reviewmill.plans.queries import PHRASES
 from reviewmill.sources import readers
 from reviewmill.streaming import breaker, ledger
 
