@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # White space as the source defines it, invisible characters, named entities, truncation markers.
-SPACE = r"[\s   -     　﻿]"
-INLINE_SPACE = r"[\t\x0B\f    -     　﻿]"
-INVISIBLE = r"[\u0000-\u0008\u000B\u000C\u000E-\u001F\u007F-\u009F­​‌‪-‮⁠-⁤⁦-⁩﻿]"
+SPACE = r"[\s\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+INLINE_SPACE = r"[\t\x0B\f \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+INVISIBLE = r"[\u0000-\u0008\u000B\u000C\u000E-\u001F\u007F-\u009F\u00AD\u200B\u200C\u202A-\u202E\u2060-\u2064\u2066-\u2069\uFEFF]"
 NAMED = {"lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'", "nbsp": " ", "ndash": "–", "mdash": "—", "hellip": "…", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "eacute": "é", "copy": "©", "reg": "®", "trade": "™", "deg": "°", "euro": "€", "pound": "£"}
 MARKER = r"(?i)(…|\.\.\.)\s*((read|show|see)?\s*more)?\s*$"
 MAX_GRAPHEMES = 5000
 PASSES = 5
 
-_zwj = re.compile("(?<![©®‼-㊙\U0001f000-\U0001faff️])‍|‍(?![©®‼-㊙\U0001f000-\U0001faff])")
+_zwj = re.compile("(?<![\u00a9\u00ae\u203c-\u3299\U0001f000-\U0001faff\ufe0f])\u200d|\u200d(?![\u00a9\u00ae\u203c-\u3299\U0001f000-\U0001faff])")
 _entity = re.compile(r"&(?:#(\d+)|#[xX]([0-9a-fA-F]+)|(\w+));")
 _markup = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(?=[!?/A-Za-z])[^>]*(?:>|$)", re.S)
 
@@ -141,7 +141,7 @@ def decode_and_strip(s: pd.Series) -> pd.Series:
 @F.pandas_udf(StringType())
 def strip_joiners(s: pd.Series) -> pd.Series:
     """Zero-width joiners stay only between two pictographs."""
-    return s.map(lambda t: t if t is None or "‍" not in t else _zwj.sub("", t))
+    return s.map(lambda t: t if t is None or "\u200d" not in t else _zwj.sub("", t))
 
 
 def strip_controls(c: Column) -> Column:
