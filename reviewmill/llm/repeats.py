@@ -282,7 +282,9 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(t1, t2, first, last): by key of the text, where repeated strings start. docs has a column text."""
     rows = staged(_anchor_rows(docs), "anchors")
     shared = rows.groupBy("seed").agg(F.count("*").alias("n"), F.min("frag").alias("low"), F.max("frag").alias("high")).where("n > 1")
-    rows = staged(rows.join(shared.select("seed", (F.col("low") != F.col("high")).alias("mixed")), "seed"), "shared-anchors")
+    # Written first: a join of two plain exchanges can be split where one anchor is hot, one with an aggregate in it can't.
+    shared = staged(shared.select("seed", (F.col("low") != F.col("high")).alias("mixed")), "anchor-counts")
+    rows = staged(rows.join(shared, "seed"), "shared-anchors")
     same = rows.where("NOT mixed").select("t1", "t2", "first", "last")
     mixed = rows.where("mixed")
     counts = mixed.groupBy("seed", "frag").agg(F.count("*").alias("c"), F.min("t1").alias("t1"))
