@@ -1,8 +1,9 @@
 """URL filter: allow and block rules, then gradient-boosted trees on lexical features.
 
 The longest rule that fits a url decides it. Urls that no rule fits get the
-verdict of trees trained on the urls that rules do label: at most SAMPLE of them,
-those of smallest hash, so the sample is the same in every run.
+verdict of trees trained on the different urls that rules do label: at most SAMPLE of
+them, those of smallest hash, so the sample is the same in every run and no url that
+fills a table can fill it.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
 and fits no rule; its verdict is the trees' verdict on those empty parts, as for
@@ -20,7 +21,7 @@ from .boosting import Boosted, fit
 
 #: (verdict, rule): host and path prefix.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-#: Labelled urls that train the trees, at most.
+#: Different labelled urls that train the trees, at most.
 SAMPLE = 20_000
 #: Suffixes with statistics of their own, at most; the commonest of the sample.
 SUFFIXES = 64
@@ -84,7 +85,11 @@ def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rule
 def train(rows: DataFrame, sample: int = SAMPLE) -> tuple[Boosted, dict[str, float]]:
     """Trees and suffix statistics (the smoothed share of blocked urls) from the urls that a rule labels."""
     own = features(F.col("url"), F.col("host"), F.col("path"))
-    labelled = rows.where(F.col("said").isNotNull()).select("url", "host", "path", "said", F.xxhash64("url").alias("h")).orderBy("h", "url").limit(sample)
+    labelled = rows.where(F.col("said").isNotNull()).withColumn("h", F.xxhash64("url"))
+    # Hashes are even, so a share of their range holds that share of the urls, about: twice the sample is set apart before any sorting.
+    number = labelled.agg(F.approx_count_distinct("h", 0.02).alias("n")).first()["n"]
+    top = min(2**63 - 1, 2 * sample * 2**64 // max(1, number) - 2**63)
+    labelled = labelled.where(F.col("h") <= top).select("url", "host", "path", "said", "h").distinct().orderBy("h", "url").limit(sample)
     got = labelled.select((F.col("said") == "block").cast("int").alias("y"), suffix_of(F.col("host")).alias("suffix"), *(c.alias(k) for k, c in own.items())).collect()
     if not got:
         return Boosted([*own, "suffix_share"]), {}
