@@ -3,7 +3,8 @@
 The forest is fitted on a bounded sample of the vectors (SAMPLE, those of smallest
 hash) and indexes every one. A query walks all trees through one priority queue,
 nearest hyperplanes first, until it has its share of the leaves; the vectors of those leaves are
-ranked by exact inner products in double precision. Inner products become angles by one
+ranked by exact inner products in double precision: first those of the leaf that each tree
+has for the query, then of the others those that score no less than the K + 1 best so far. Inner products become angles by one
 more coordinate that gives every indexed vector the same length.
 
 Equal vectors are indexed once, as a class with its K + 1 smallest ids: no query can use
@@ -149,36 +150,48 @@ def nearest(table: DataFrame, queries: Column, id_col: str = "vec_id", vector_co
             if b.num_rows:
                 found = [forest.value.search(q, leaves) for q in _matrix(b.column("v"))]
                 take = pa.array(np.repeat(np.arange(b.num_rows), [len(f) for f in found]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64)), b.column("cid").take(take), b.column("v").take(take)], names=["leaf", "cid", "v"])
+                own = np.concatenate([np.arange(len(f)) < trees for f in found])  # each tree's own leaf comes first
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64)), b.column("cid").take(take), b.column("v").take(take), pa.array(own)], names=["leaf", "cid", "v", "own"])
 
     schema = f"leaf long, cid {kind}, v {kinds[vector_col]}"
     members = classes.select("cid", "v").mapInArrow(index, schema)
-    seekers = classes.join(asking.select("cid").distinct(), "cid", "left_semi").select("cid", "v").mapInArrow(search, schema)
+    seekers = classes.join(asking.select("cid").distinct(), "cid", "left_semi").select("cid", "v").mapInArrow(search, f"{schema}, own boolean")
     parts = lambda df, n, name: df.groupBy("leaf").agg(F.ceil(F.count("*") / n).cast("int").alias(name))
     cut = parts(members, PART, "mp").join(parts(seekers, QUERIES, "qp"), "leaf")
-    deal = lambda df, own, n, other, m: df.join(cut, "leaf").select("leaf", "cid", "v", F.pmod(F.xxhash64("cid"), n).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(m) - 1)).alias(other))
+    deal = lambda df, own, n, other, m, *more: df.join(cut, "leaf").select("leaf", "cid", "v", *more, F.pmod(F.xxhash64("cid"), n).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(m) - 1)).alias(other))
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = _matrix(left.column("v").combine_chunks()).astype(float), _matrix(right.column("v").combine_chunks()).astype(float)
         qid, cid = left.column("cid").combine_chunks(), right.column("cid").combine_chunks()
         if not len(a) or not len(b):
             return pa.Table.from_arrays([qid.slice(0, 0), cid.slice(0, 0), pa.array([], pa.float64())], names=["q", "c", "score"])
-        score = a @ b.T
+        score, floor = a @ b.T, left.column("floor").to_numpy()
         by_id = pa.compute.rank(cid).to_numpy()
         rows, cols = [], []
         for i, s in enumerate(score):
+            least = floor[i] - abs(floor[i]) * 1e-9  # products may differ in the last bits from leaf to leaf
             if len(s) > k + 1:  # ties at the edge stay in sight
-                at = np.flatnonzero(s >= np.partition(s, len(s) - k - 1)[len(s) - k - 1])
-            else:
-                at = np.arange(len(s))
+                least = max(least, np.partition(s, len(s) - k - 1)[len(s) - k - 1])
+            at = np.flatnonzero(s >= least)
             at = at[np.lexsort((by_id[at], -s[at]))][: k + 1]
             rows += [i] * len(at)
             cols += at.tolist()
+        rows, cols = np.array(rows, np.int64), np.array(cols, np.int64)  # none at all, where the floor is above all
         return pa.Table.from_arrays([qid.take(pa.array(rows)), cid.take(pa.array(cols)), pa.array(score[rows, cols])], names=["q", "c", "score"])
 
-    found = deal(seekers, "qi", F.col("qp"), "mi", "mp").groupBy("leaf", "mi", "qi").cogroup(deal(members, "mi", F.col("mp"), "qi", "qp").groupBy("leaf", "mi", "qi")).applyInArrow(rank, f"q {kind}, c {kind}, score double")
-    # A candidate met in several leaves may differ in the last bit there: one value for it.
-    found = found.groupBy("q", "c").agg(F.max("score").alias("score"))
+    held = deal(members, "mi", F.col("mp"), "qi", "qp")
+
+    def ranked(asked: DataFrame) -> DataFrame:
+        """(q, c, score); a candidate met in several leaves may differ in the last bit there: one value for it."""
+        own = deal(asked, "qi", F.col("qp"), "mi", "mp", "floor")
+        pairs = own.groupBy("leaf", "mi", "qi").cogroup(held.groupBy("leaf", "mi", "qi")).applyInArrow(rank, f"q {kind}, c {kind}, score double")
+        return pairs.groupBy("q", "c").agg(F.max("score").alias("score"))
+
+    first = ranked(seekers.where("own").withColumn("floor", F.lit(float("-inf"))))
+    # What scores less than k + 1 classes already found can't be among the nearest.
+    floors = first.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))).where(F.col("r") <= k + 1).groupBy("q").agg(F.when(F.count("*") > k, F.min("score")).alias("floor"))
+    rest = seekers.where("NOT own").join(floors.select(F.col("q").alias("cid"), "floor"), "cid", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    found = first.union(ranked(rest)).groupBy("q", "c").agg(F.max("score").alias("score"))
     best = found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))).where(F.col("r") <= k + 1)
     ids = best.join(classes.select(F.col("cid").alias("c"), "ids"), "c").select("q", "score", F.explode("ids").alias("vec_id")).groupBy("q", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
