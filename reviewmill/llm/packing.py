@@ -42,8 +42,8 @@ class _Encoder:
     """Ids of many texts, as 32-bit numbers. What follows each blank is remembered; what a batch has anew is encoded in
     one call, as the vocabulary's pattern divides it at the blanks anyway."""
 
-    #: Remembered segments; about 200 MB. Over it, all is forgotten before the next batch.
-    MOST = 1_200_000
+    #: Remembered segments; about 130 MB. Over it, all is forgotten before the next batch.
+    MOST = 800_000
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
