@@ -8,8 +8,12 @@ the deepest level in salted parts. Each part of such a region also gets the regi
 first class, so that the parts stay joined. Neighbours inside a region are compared on
 signatures: round one confirms the edges of a maximum spanning forest of the promising
 pairs; round two brings the whole sets of members whose components still differ to
-their regions and confirms what joins them there. So a group of m copies costs about
-m confirmations and never sends out m squared pairs.
+their regions and confirms what joins them there. In round two a region of more than
+REGION classes is read whole, at the first level: its classes are dealt into blocks, and
+each pair of blocks is a region of its own, but for two blocks of one component, which
+have nothing left to join. So each promising pair that agrees on LEVELS[0] values of a
+tree is seen; a group of m copies costs about m confirmations and never sends out m
+squared pairs.
 
 Defined results: a null, empty or blank text has no shingles and links with nothing;
 rows of one doc_id are one document for links; a row with a null doc_id takes no part
@@ -35,6 +39,8 @@ PERCENT = 75
 TREES, DEPTH = 16, 6
 LEVELS = (2, 4, 6)
 REGION = 512
+#: A block of a large region has up to this many times REGION classes: signatures alone are compared there.
+WIDE = 8
 #: Pairs whose signatures agree on at least this share are confirmed; four standard errors below 0.75.
 PROMISING = 0.57
 _K = TREES * DEPTH
@@ -90,13 +96,13 @@ def forest(reps: DataFrame) -> DataFrame:
     return reps.select("id", "sig").mapInArrow(run, f"id {kind}, " + ", ".join(f"p{i} long" for i in range(len(LEVELS))))
 
 
-def regions(reps: DataFrame) -> DataFrame:
-    """(region, id) with two to about REGION classes each; regions of the same classes come once."""
+def regions(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(region, id) with two to about REGION classes each, and (region, id) of the whole first-level regions of more; regions of the same classes come once."""
     rows = staged(forest(reps), "forest")
     top = rows.groupBy("p0").agg(F.count("*").alias("n0"), F.min("id").alias("first")).where("n0 > 1")
     top = staged(top, "regions-by-level")
     small = rows.join(top.where(F.col("n0") <= REGION).select("p0"), "p0").select(F.col("p0").alias("region"), "id")
-    rows = staged(rows.join(top.where(F.col("n0") > REGION), "p0"), "large-regions")
+    rows = large = staged(rows.join(top.where(F.col("n0") > REGION), "p0"), "large-regions")
     for i in range(1, len(LEVELS)):
         rows = rows.join(rows.groupBy(f"p{i}").agg(F.count("*").alias(f"n{i}")), f"p{i}")
     last = len(LEVELS) - 1
@@ -107,10 +113,33 @@ def regions(reps: DataFrame) -> DataFrame:
     rows = rows.withColumn("region", region)
     deep = rows.select("region", "id").union(rows.select("region", F.col("first").alias("id"))).distinct()
     every = staged(small.union(deep), "regions")
+    return _once(every), _once(large.select(F.col("p0").alias("region"), "id"))
+
+
+def _once(every: DataFrame) -> DataFrame:
     same = every.groupBy("region").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "id")).alias("x")).where("n > 1")
     return every.join(same.groupBy("n", "s", "x").agg(F.min("region").alias("region")).select("region"), "region", "left_semi")
 
 
+def block_pairs(rows: DataFrame) -> DataFrame:
+    """(region, id, root, side): each large region's pairs of blocks as regions; rows are (region, id, root), staged.
+
+    A component of more members of a region than a block holds has blocks of its own, which are not paired with each other.
+    A pair of two different blocks has both sides and is compared across them only.
+    """
+    sizes = rows.groupBy("region", "root").agg(F.count("*").alias("n")).withColumn("own", F.col("n") > WIDE * REGION)
+    open_ = sizes.groupBy("region").agg(F.count("*").alias("roots"), F.sum(F.when(F.col("own"), 0).otherwise(F.col("n"))).alias("rest")).where("roots > 1")
+    parts = F.ceil(F.when(F.col("own"), F.col("n")).otherwise(F.col("rest")) / (WIDE * REGION))
+    dealt = rows.join(sizes, ["region", "root"]).join(open_, "region").select("region", "id", "root", F.when(F.col("own"), F.col("root")).alias("of"), F.pmod(F.xxhash64("id"), parts).alias("salt"))
+    dealt = staged(dealt.select("region", "id", "root", "of", F.xxhash64(F.col("of").isNull(), "of", "salt").alias("block")), "blocks")
+    blocks = dealt.select("region", "block", "of").distinct()
+    two = blocks.withColumnsRenamed({"block": "x", "of": "of_x"}).join(blocks.withColumnsRenamed({"block": "y", "of": "of_y"}), "region")
+    two = two.where("x <= y AND (of_x IS NULL OR of_y IS NULL OR of_x <> of_y)").select("region", "x", "y", F.xxhash64("region", "x", "y").alias("pair"))
+    left = dealt.join(two.withColumnRenamed("x", "block"), ["region", "block"]).withColumn("side", F.lit(0))
+    right = dealt.join(two.where("x < y").withColumnRenamed("y", "block"), ["region", "block"]).withColumn("side", F.lit(1))
+    return left.select(F.col("pair").alias("region"), "id", "root", "side").union(right.select("pair", "id", "root", "side"))
+
+
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Each region's rows, from batches sorted by region; a region is bounded, so what is carried over is too."""
     rest = None
@@ -134,14 +163,19 @@ def _root(parent: list[int], i: int) -> int:
     return i
 
 
-def _alike(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The promising pairs of a region, the most alike first."""
+def _alike(sig: np.ndarray, side: np.ndarray | None = None, code: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The promising pairs of a region, the most alike first; only those across its sides if it has two, and of different codes."""
     left, right, score = [], [], []
-    for i in range(len(sig) - 1):
-        same = (sig[i + 1 :] == sig[i]).sum(1)
+    far = None if side is None or side.min() == side.max() else np.flatnonzero(side != side[0])
+    other = None if far is None else sig[far]
+    for i in range(len(sig) - 1) if far is None else np.flatnonzero(side == side[0]).tolist():
+        same = ((sig[i + 1 :] if far is None else other) == sig[i]).sum(1)
         at = np.flatnonzero(same >= PROMISING * _K)
+        to = at + i + 1 if far is None else far[at]
+        if code is not None:
+            at, to = at[code[to] != code[i]], to[code[to] != code[i]]
         left.append(np.full(len(at), i))
-        right.append(at + i + 1)
+        right.append(to)
         score.append(same[at])
     order = np.argsort(-np.concatenate(score), kind="stable")
     return np.concatenate(left)[order], np.concatenate(right)[order]
@@ -175,28 +209,38 @@ def spanning_pairs(rows: DataFrame) -> DataFrame:
 
 
 def unsettled(rows: DataFrame) -> DataFrame:
-    """(region, id, sig, root) of the members that have a promising pair with another root; rows likewise."""
+    """(region, id, sig, root, side) of the members that have a promising pair with another root; rows likewise. Many members come in pairs of parts, as whole sets are brought to them."""
+
+    limit = REGION
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _members(batches):
             roots = t.column("root").to_pylist()
             if len(set(roots)) < 2:
                 continue
-            left, right = _alike(_signatures(t))
             code = {r: k for k, r in enumerate(dict.fromkeys(roots))}
-            code = np.array([code[r] for r in roots])
-            apart = code[left] != code[right]
-            at = np.unique(np.concatenate([left[apart], right[apart]]))
-            if len(at):
+            left, right = _alike(_signatures(t), t.column("side").to_numpy(), np.array([code[r] for r in roots]))
+            at, of = np.unique(np.concatenate([left, right]), return_inverse=True)
+            if 0 < len(at) <= 2 * limit:
                 yield from t.take(pa.array(at)).combine_chunks().to_batches()
+            elif len(at):
+                part, n = of // limit, len(left)
+                for a, b in np.unique(np.sort(np.stack([part[:n], part[n:]], 1), 1), axis=0).tolist():
+                    mine = np.concatenate([at[k * limit : (k + 1) * limit] for k in sorted({a, b})])
+                    side = (np.arange(len(mine)) >= limit).astype(np.int32)
+                    with np.errstate(over="ignore"):
+                        name = mix(mix(t.column("region").to_numpy()[:1].view(np.uint64) + np.uint64(a + 1)) + np.uint64(b + 1)).view(np.int64)
+                    got = t.take(pa.array(mine)).combine_chunks()
+                    columns = [pa.array(np.repeat(name, len(mine))), got.column("id"), got.column("sig"), got.column("root"), pa.array(side)]
+                    yield from pa.Table.from_arrays(columns, schema=t.schema).to_batches()
 
     kinds = dict(rows.dtypes)
-    columns = rows.select("region", "id", "sig", "root")
-    return columns.repartition("region").sortWithinPartitions("region").mapInArrow(run, f"region long, id {kinds['id']}, sig binary, root {kinds['id']}")
+    columns = rows.select("region", "id", "sig", "root", "side")
+    return columns.repartition("region").sortWithinPartitions("region").mapInArrow(run, f"region long, id {kinds['id']}, sig binary, root {kinds['id']}, side int")
 
 
 def settled(rows: DataFrame) -> DataFrame:
-    """(a, b): links, confirmed on whole sets, that join members of different roots; rows are (region, id, sig, root, words).
+    """(a, b): links, confirmed on whole sets, that join members of different roots; rows are (region, id, sig, root, side, words).
 
     A pair that is joined already is not compared, so a region yields fewer links than it has members.
     """
@@ -209,7 +253,7 @@ def settled(rows: DataFrame) -> DataFrame:
             roots, first = t.column("root").to_pylist(), {}
             parent = [first.setdefault(r, i) for i, r in enumerate(roots)]
             sets = [np.frombuffer(w, np.uint64) for w in t.column("words").to_pylist()]
-            left, right = _alike(_signatures(t))
+            left, right = _alike(_signatures(t), t.column("side").to_numpy())
             kept = []
             for i, j in zip(left.tolist(), right.tolist(), strict=True):
                 x, y = _root(parent, i), _root(parent, j)
@@ -268,17 +312,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = linked.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
     members = staged(linked.select("id", "h1", "h2").join(classes, ["h1", "h2"]).select("id", "rep").distinct(), "classes")
     reps = staged(linked.join(members.where("id = rep").select("id"), "id", "left_semi").select("id", "sig").dropDuplicates(["id"]), "representatives")
-    every = regions(reps)
-    near = staged(every.join(_bytes_of(reps), "id"), "region-members")
+    every, crowded = regions(reps)
+    small = _bytes_of(reps)
+    near = staged(every.join(small, "id"), "region-members")
 
     first = staged(spanning_pairs(near), "pairs")
     ids = first.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = staged(sets_of(docs, ids, id_col, text_col), "sets")
     links = staged(confirmed(first, sets), "links")
     roots = connected_components(links)
-    # Round two, for the members of regions by the component they have reached. Every one that has a promising pair has its set by now.
-    labelled = near.join(roots.withColumnsRenamed({"node": "id"}), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    # Round two, for the members of regions by the component they have reached, and for the large regions whole.
+    labels = roots.withColumnsRenamed({"node": "id"})
+    root = F.coalesce("root", "id")
+    labelled = near.join(labels, "id", "left").withColumns({"root": root, "side": F.lit(0)})
     open_ = staged(unsettled(labelled), "unsettled")
+    crowded = staged(crowded.join(labels, "id", "left").select("region", "id", root.alias("root")), "crowded-regions")
+    if not crowded.isEmpty():
+        open_ = open_.union(staged(unsettled(block_pairs(crowded).join(small, "id")), "unsettled"))
+        # Who has a promising pair in the small regions has its set by now; who has one only in a large region may not.
+        late = staged(open_.select("id").distinct().join(ids, "id", "left_anti"), "late")
+        if not late.isEmpty():
+            sets = sets.union(staged(sets_of(docs, late, id_col, text_col), "sets"))
     more = staged(settled(open_.join(sets, "id")), "links")
     if not more.isEmpty():
         roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))

@@ -75,6 +75,27 @@ def test_near_duplicates_in_regions_that_are_split(spark, monkeypatch):
     assert got == components(rows)
 
 
+def crowded_rows(seed=1):
+    """One crowded group of unlinked documents (about 0.65 alike) with pairs of about 0.76, none through the smallest id."""
+    r, out = random.Random(seed), []
+    base = [f"b{k}" for k in range(300)]
+    for g in range(125):
+        tail = [f"t{g}_{k}" for k in range(80)]
+        out += [base + tail, base + tail[:-46] + [f"u{g}_{k}" for k in range(46)]]
+    rows = [(0, " ".join(base + [f"z{k}" for k in range(80)]))] + [(k + 1, " ".join(w)) for k, w in enumerate(out)]
+    r.shuffle(rows)
+    return rows
+
+
+def test_near_duplicates_in_a_crowded_region(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "REGION", 8)
+    monkeypatch.setattr(minhash, "WIDE", 2)
+    rows = crowded_rows()
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert len({c for _, c, _ in got.values()}) == 126
+    assert got == components(rows)
+
+
 def test_near_duplicates_edges(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (4, "q r s t u v w"), (4, "a b c d e f"), (7, "q r s t u v w")]
