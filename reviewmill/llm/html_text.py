@@ -6,8 +6,10 @@ by a Gaussian along the page, are cut at a threshold (a share of the page's own
 spread); runs of lines above it, with the short lines between them, are content
 regions. Lines inside elements that never hold the article (menus, footers, adverts,
 forms, comments, notices) bound regions and are never content. Where the page marks
-article or main elements, those are the regions. Of several regions, those with at
-least a tenth of the largest one's text stay.
+article or main elements, all their lines that are not kept apart are content, whatever
+their ratio or size. On other pages ratios are capped by the spread of their
+logarithms, so that one long line doesn't lift the threshold over the others; of
+several regions, those with at least a tenth of the largest one's text stay.
 
 Defined results: a null or empty html gives the empty text; broken markup is read as
 far as the parser can; repeated rows, null ids and null urls give a row each; an
@@ -38,8 +40,10 @@ NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|b
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
 SPREAD = 2.0
-#: Of the standard deviation of the smoothed ratios.
+#: Of the standard deviation of the ratios.
 THRESHOLD = 0.25
+#: Ratios count up to this many standard deviations of their logarithms over the mean logarithm.
+FAR = 2.0
 
 
 class Lines(HTMLParser):
@@ -134,6 +138,14 @@ def ratios(lines: list[tuple[str, int, bool, bool]]) -> np.ndarray:
     return np.array([len(s) / max(1, t) for s, t, _, _ in lines], float)
 
 
+def capped(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """x up to what lies FAR from the others' logarithms; own are the lines that count."""
+    if not own.any():
+        return x
+    logs = np.log1p(x[own])
+    return np.minimum(x, np.expm1(logs.mean() + FAR * logs.std()))
+
+
 def smoothed(x: np.ndarray, spread: float = SPREAD) -> np.ndarray:
     k = int(3 * spread)
     kernel = np.exp(-np.arange(-k, k + 1) ** 2 / (2 * spread * spread))
@@ -154,11 +166,11 @@ def main_text(html: str) -> str:
         return ""
     apart = np.array([x[3] for x in lines])
     marked = np.array([x[2] for x in lines]) & ~apart
-    ratio = np.where(apart, 0.0, ratios(lines))
+    ratio = np.where(apart, 0.0, capped(ratios(lines), ~apart))
     content = smoothed(ratio) >= max(THRESHOLD * ratio.std(), 1e-9)
     content &= ~apart
     if marked.any():
-        content = _regions(marked, lines, ~marked)
+        content = marked
     elif content.any():
         content = _regions(content, lines, apart)
     return "\n".join(x[0] for x, c in zip(lines, content, strict=True) if c)

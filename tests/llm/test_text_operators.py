@@ -121,6 +121,15 @@ def test_html(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_html_keeps_short_parts_of_marked_and_loose_pages():
+    long = "A long body with many words in it. " * 60
+    cut = f"<article><h1>Head</h1><p>Lead.</p><div class=ad>Buy</div><p>{long}</p><form>mail</form><p>Close.</p></article><article><p>Brief.</p></article>"
+    assert html_text.main_text(cut) == f"Head\nLead.\n{long.strip()}\nClose.\nBrief."
+    paragraphs = [f"Paragraph {k} of some thirty words or so, " + "as they stand on most pages. " * 6 for k in range(30)]
+    loose = "".join(f"<p>{x}</p>" for x in [*paragraphs, long * 20])
+    assert html_text.main_text(loose).split("\n") == [x.strip() for x in [*paragraphs, long * 20]]
+
+
 def brute_rule(url):
     host = path = ""
     if url is not None and "://" in url:
