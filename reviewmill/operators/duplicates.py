@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,12 +43,14 @@ def author_clusters(pairs: DataFrame, key: str = "author_key") -> DataFrame:
     return pairs.groupBy(key).agg(F.count("*").alias("pairs"), (F.count("*") + 1).alias("stated_size"))
 
 
-def cluster_sizes(pairs: DataFrame, key: str = "author_key", rounds: int = 20) -> DataFrame:
-    """(key, root, size): connected components; a component never leaves its author. Labels halve their distance each round."""
+def cluster_sizes(pairs: DataFrame, key: str = "author_key", rounds: int | None = None) -> DataFrame:
+    """(key, root, size): connected components; a component never leaves its author. Labels halve their distance each round, until none changes; an error if that takes more than rounds."""
     edges = pairs.select(key, F.col("left").alias("a"), F.col("right").alias("b"))
     both = cut_lineage(edges.union(edges.select(key, "b", "a")))
     labels = both.select(key, F.col("a").alias("node")).distinct().withColumn("root", F.col("node"))
-    for _ in range(rounds):
+    for k in count():
+        if k == rounds:
+            raise RuntimeError("clusters did not settle")
         near = both.join(labels.select(key, F.col("node").alias("b"), F.col("root").alias("r")), [key, "b"]).groupBy(key, F.col("a").alias("node")).agg(F.min("r").alias("r"))
         new = labels.join(near, [key, "node"]).select(key, "node", F.least("root", "r").alias("root"))
         hop = new.select(key, F.col("node").alias("root"), F.col("root").alias("further"))

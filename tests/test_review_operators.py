@@ -161,3 +161,10 @@ def test_query_equals_sql(spark, name):
     names = [d[0] for d in want.description]
     assert sorted(names) == sorted(df.columns)
     assert sorted((tuple(norm(r[c]) for c in names) for r in df.collect()), key=repr) == sorted((tuple(map(norm, r)) for r in want.fetchall()), key=repr)
+
+
+def test_clusters_settle_or_fail(spark):
+    pairs = spark.createDataFrame([("a", k, k + 1) for k in range(1, 12)], "author_key string, left long, right long")
+    assert [tuple(r) for r in duplicates.cluster_sizes(pairs).collect()] == [("a", 1, 12)]
+    with pytest.raises(RuntimeError, match="settle"):
+        duplicates.cluster_sizes(pairs, rounds=1)
