@@ -338,8 +338,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     # Rows of one id are one document, so an id may stand in several classes.
     own = members.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    shared = own.groupBy("a").count().where("count > 1")
-    if not shared.isEmpty():
+    if not members.groupBy("id").count().where("count > 1").isEmpty():
         roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(own))
     final = members.groupBy("id").agg(F.min("rep").alias("rep")).join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("id", F.coalesce("root", "rep").alias("component_id"))
     out = all_rows.select("id", "n_shingles").join(final, "id", "left")

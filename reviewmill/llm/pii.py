@@ -218,6 +218,7 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
         *(F.size(F.filter("spans", _is(k))).cast("long").alias(f"n_{k}") for k in BASE_KINDS),
         F.sha2(F.concat_ws(",", F.transform(base, said)), 256).alias("base_sha256"),
         F.concat_ws(",", F.transform("spans", said)).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 

@@ -50,8 +50,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return cleaned.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), passage=200)
+    return cleaned.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passage_bytes")
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -127,32 +128,46 @@ def repeat_rows():
     return rows + [(200 + i, shared[4] + "x") for i in range(5)]
 
 
-def check_repeats(spark):
-    rows = repeat_rows()
-    got = repeats.remove_repeats(frame(spark, rows)).select("n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
-    assert sorted(map(tuple, got)) == sorted(brute_repeats([(t or "").encode() for _, t in rows]))
+def check_repeats(spark, rows, length, passage=None):
+    got = repeats.remove_repeats(frame(spark, rows), length=length, passage=passage).select("n_bytes", "n_removed", "n_spans", F.sha2("kept", 256), "n_passage_bytes").collect()
+    texts = [(t or "").encode() for _, t in rows]
+    assert sorted(map(tuple, got)) == sorted((*x, y[1]) for x, y in zip(brute_repeats(texts, length), brute_repeats(texts, passage or length), strict=True))
 
 
-def test_repeats(spark):
-    check_repeats(spark)
+@pytest.mark.parametrize(("length", "passage"), [(400, None), (400, 200), (200, None), (60, 150)])
+def test_repeats(spark, length, passage):
+    check_repeats(spark, repeat_rows(), length, passage)
 
 
-def test_repeats_of_hot_anchors(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "HOT", 10)
-    check_repeats(spark)
+@pytest.mark.parametrize(("length", "passage"), [(400, None), (400, 200), (60, 150)])
+def test_repeats_of_crowded_anchors(spark, monkeypatch, length, passage):
+    monkeypatch.setattr(repeats, "LIMIT", 4)
+    r = random.Random(4)
+    some = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    common = some(700)
+    rows = [(i, some(r.randint(0, 90)) + common[r.choice([0, 0, 7, 150]) : r.choice([700, 700, 690, 430])] + some(r.randint(0, 90))) for i in range(60)]
+    check_repeats(spark, repeat_rows() + rows, length, passage)
 
 
 def test_repeats_empty(spark):
     assert repeats.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_repeats_keeps_columns_of_any_name(spark):
+    text = "".join(random.Random(5).choice("abcd ") for _ in range(900))
+    docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string").withColumns({"row": F.lit(7), "_row": F.lit(8), "_": F.lit(9), "ranges": F.lit(1), "kept": F.lit(2)})
+    got = repeats.remove_repeats(docs).select("row.*", "text").collect()
+    assert [(x.row, x._row, x["_"], x.ranges, x.kept, x.text) for x in got] == [(7, 8, 9, 1, 2, "")] * 2
+    assert pii.redact(docs).select("row", "_row", "_", "text").first()[:3] == (7, 8, 9)
+
+
 def test_columnwise_order_is_exact():
     r = random.Random(8)
     left, right = (["".join(r.choice("ab") for _ in range(n)).encode() for _ in range(3)] for n in (300, 300))
     frags = [r.choice(left)[-k:] + b"S" * 100 + r.choice(right)[:m] for k, m in ((r.randint(0, 300), r.randint(0, 300)) for _ in range(60))]
     frags = [f for f in set(frags) if len(f) >= 400]
     at = np.array([f.index(b"S" * 100) for f in frags])
-    got = repeats.columnwise(frags, at)
+    got = repeats.columnwise(frags, at) >= 400
     for i, f in enumerate(frags):
         for c in range(301):
             a = c - 300 + at[i]
