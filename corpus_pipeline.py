@@ -14,6 +14,8 @@ from reviewmill.llm import minhash, packing, pii, quality, repeats
 from reviewmill.llm.common import staged, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Bytes of a repeated passage: of any 51 words, 99 in 100 take 240 or more.
+PASSAGE = 200
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +29,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that stand elsewhere too."""
-    cleaned = repeats.remove_repeats(docs.select(*COLUMNS))
+    """Texts without the passages of PASSAGE bytes or more that stand elsewhere too."""
+    cleaned = repeats.remove_repeats(docs.select(*COLUMNS), length=PASSAGE)
     return cleaned.select("row.*", "text").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
