@@ -38,13 +38,10 @@ def valid_rating(c: Column) -> Column:
 
 
 def compare_versions(a: Column, b: Column) -> Column:
-    """-1, 0 or 1 by dotted numeric parts; a missing part is 0."""
-    part = lambda v, i: F.coalesce(F.get(F.split(v, r"\."), F.lit(i)).try_cast("int"), F.lit(0))
-    out = F.lit(0)
-    for i in (2, 1, 0):
-        x, y = part(a, i), part(b, i)
-        out = F.when(x < y, -1).when(x > y, 1).otherwise(out)
-    return out
+    """-1, 0 or 1 by dotted numeric parts, however many; a missing part is 0."""
+    parts = lambda v: F.transform(F.split(F.coalesce(v, F.lit("")), r"\."), lambda x: F.coalesce(x.try_cast("long"), F.lit(0)))
+    steps = F.zip_with(parts(a), parts(b), lambda x, y: F.signum(F.coalesce(x, F.lit(0)) - F.coalesce(y, F.lit(0))).cast("int"))
+    return F.coalesce(F.get(F.filter(steps, lambda s: s != 0), F.lit(0)), F.lit(0))
 
 
 def backoff_ms(base: int, attempt: Column, most: int) -> Column:

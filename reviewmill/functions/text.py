@@ -19,7 +19,16 @@ MARKER = r"(?i)(…|\.\.\.)\s*((read|show|see)?\s*more)?\s*$"
 MAX_GRAPHEMES = 5000
 PASSES = 5
 
-_zwj = re.compile("(?<![\u00a9\u00ae\u203c-\u3299\U0001f000-\U0001faff\ufe0f])\u200d|\u200d(?![\u00a9\u00ae\u203c-\u3299\U0001f000-\U0001faff])")
+# Code points of pictographs, as ranges.
+PICTOGRAPHS = """
+00A9 00AE 203C 2049 2122 2139 2194-2199 21A9-21AA 231A-231B 2328 2388 23CF 23E9-23F3 23F8-23FA 24C2 25AA-25AB 25B6 25C0 25FB-25FE
+2600-2605 2607-2612 2614-2685 2690-2705 2708-2712 2714 2716 271D 2721 2728 2733-2734 2744 2747 274C 274E 2753-2755 2757 2763-2767
+2795-2797 27A1 27B0 27BF 2934-2935 2B05-2B07 2B1B-2B1C 2B50 2B55 3030 303D 3297 3299
+1F000-1F0FF 1F10D-1F10F 1F12F 1F16C-1F171 1F17E-1F17F 1F18E 1F191-1F19A 1F1AD-1F1E5 1F201-1F20F 1F21A 1F22F 1F232-1F23A 1F23C-1F23F
+1F249-1F3FA 1F400-1F53D 1F546-1F64F 1F680-1F6FF 1F774-1F77F 1F7D5-1F7FF 1F80C-1F80F 1F848-1F84F 1F85A-1F85F 1F888-1F88F 1F8AE-1F8FF
+1F90C-1F93A 1F93C-1F945 1F947-1FAFF 1FC00-1FFFD
+"""
+_PICTOGRAPH = "[" + "".join("-".join(rf"\x{{{x}}}" for x in r.split("-")) for r in PICTOGRAPHS.split()) + "]"
 _entity = re.compile(r"&(?:#(\d+)|#[xX]([0-9a-fA-F]+)|(\w+));")
 _markup = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(?=[!?/A-Za-z])[^>]*(?:>|$)", re.S)
 
@@ -138,10 +147,9 @@ def decode_and_strip(s: pd.Series) -> pd.Series:
     return s.map(lambda t: t if t is None or not ("&" in t or "<" in t) else run(t))
 
 
-@F.pandas_udf(StringType())
-def strip_joiners(s: pd.Series) -> pd.Series:
+def strip_joiners(c: Column) -> Column:
     """Zero-width joiners stay only between two pictographs."""
-    return s.map(lambda t: t if t is None or "\u200d" not in t else _zwj.sub("", t))
+    return F.regexp_replace(c, rf"({_PICTOGRAPH}\x{{200D}}(?={_PICTOGRAPH}))|\x{{200D}}", "$1")
 
 
 def strip_controls(c: Column) -> Column:

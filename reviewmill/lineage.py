@@ -13,6 +13,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="reviewmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder}/cut-{uuid.uuid4().hex}"

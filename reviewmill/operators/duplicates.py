@@ -2,40 +2,95 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from itertools import count
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import half_up
-from ..lineage import cut_lineage
 from ..functions.text import fold
+from ..lineage import cut_lineage
 
 THRESHOLD = 0.92
 
 
-def bigrams(text: Column) -> Column:
-    """The two-character strings of a folded text."""
-    return F.regexp_extract_all(text, F.lit("(?s)(?=(..))"), F.lit(1))
+#: Texts of one author and length band that are compared together, about; more are compared as pairs of blocks.
+BLOCK = 256
+
+
+def _profiles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Two-character strings of all texts (as numbers of a common list), their counts, where each text's begin, and how many the list has."""
+    found, counts = [], []
+    for t in texts:
+        c = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        g, n = np.unique(c[:-1] << np.uint64(32) | c[1:], return_counts=True)
+        found.append(g)
+        counts.append(n)
+    known, of = np.unique(np.concatenate(found), return_inverse=True)
+    begin = np.concatenate([[0], np.cumsum([len(g) for g in found])])
+    return of, np.concatenate(counts), begin, len(known)
+
+
+def _alike(ids: list, texts: list[str], side: np.ndarray, threshold: float) -> Iterator[tuple]:
+    """(left, right, similarity) of the pairs across the two sides, or within the one, that reach the threshold."""
+    order = np.argsort([len(t) for t in texts], kind="stable")
+    ids, texts, side = [ids[i] for i in order], [texts[i] for i in order], side[order]
+    size = np.array([len(t) - 1 for t in texts])
+    gram, n, begin, known = _profiles(texts)
+    own = np.zeros(known, np.int64)
+    two = side.min() != side.max()
+    for i in range(len(texts)):
+        # Longer ones follow; those too long to reach the threshold are never looked at.
+        stop = int(np.searchsorted(-(2.0 * size[i] - threshold * (size[i] + size)), 0, side="right"))
+        if stop <= i + 1:
+            continue
+        a, b = begin[i + 1], begin[stop]
+        own[gram[begin[i] : begin[i + 1]]] = n[begin[i] : begin[i + 1]]
+        shared = np.add.reduceat(np.minimum(own[gram[a:b]], n[a:b]), begin[i + 1 : stop] - a)
+        own[gram[begin[i] : begin[i + 1]]] = 0
+        dice = 2.0 * shared / (size[i] + size[i + 1 : stop])
+        ok = dice >= threshold
+        if two:
+            ok &= side[i + 1 : stop] != side[i]
+        for j in np.flatnonzero(ok).tolist():
+            x, y = ids[i], ids[i + 1 + j]
+            if x != y:
+                yield (min(x, y), max(x, y), float(dice[j]))
 
 
 def similarity_pairs(reviews: DataFrame, key: str = "author_key", threshold: float = THRESHOLD) -> DataFrame:
     """(key, left, right, similarity) with left < right: 2 * shared / (all bigrams of both), at least the threshold.
 
-    Bigram counts are joined on key and bigram, so that a pair costs what it shares; pairs whose sizes alone
-    forbid the threshold never meet.
+    An author's texts are dealt into bands of length, such that texts which can reach the threshold are in the same band
+    or in two adjacent ones, and large bands into blocks. A task compares two blocks and sends out pairs
+    that reach the threshold, so a busy author's work is spread and nothing else leaves a task.
     """
-    folded = reviews.where(F.col(key).isNotNull() & (F.trim(key) != "")).select(key, "id", fold(F.coalesce("text", F.lit(""))).alias("t")).withColumn("size", F.greatest(F.length("t") - 1, F.lit(0)))
-    profile = folded.select(key, "id", "size", F.explode(bigrams(F.col("t"))).alias("g")).groupBy(key, "id", "size", "g").agg(F.count("*").alias("n"))
-    a, b = (profile.withColumnsRenamed({"id": s, "n": f"n_{s}", "size": f"size_{s}"}) for s in ("left", "right"))
-    small, large = F.least("size_left", "size_right"), F.greatest("size_left", "size_right")
-    both = a.join(b, [key, "g"]).where((F.col("left") < F.col("right")) & (2.0 * small >= threshold * (small + large)))
-    scored = both.groupBy(key, "left", "right", "size_left", "size_right").agg(F.sum(F.least("n_left", "n_right")).alias("shared"))
-    dice = 2.0 * F.col("shared") / (F.col("size_left") + F.col("size_right"))
+    kind, key_kind = dict(reviews.dtypes)["id"], dict(reviews.dtypes)[key]
+    folded = reviews.where(F.col(key).isNotNull() & (F.trim(key) != "")).select(F.col(key).alias("k"), "id", fold(F.coalesce("text", F.lit(""))).alias("t")).withColumn("size", F.greatest(F.length("t") - 1, F.lit(0)))
+    longer = folded.where("size > 0").withColumn("band", F.floor(F.log("size") / (math.log((2 - threshold) / threshold) * (1 + 1e-6))))
+    sizes = longer.groupBy("k", "band").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    dealt = cut_lineage(longer.join(sizes, ["k", "band"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).select("k", "id", "t", "band", "part"))
+    blocks = dealt.select("k", "band", "part").distinct()
+    near = blocks.select("k", F.col("band").alias("x"), F.col("part").alias("px"), F.explode(F.array("band", F.col("band") + 1)).alias("y"))
+    two = near.join(blocks.select("k", F.col("band").alias("y"), F.col("part").alias("py")), ["k", "y"]).where("x < y OR px <= py")
+    left = dealt.join(two.withColumnsRenamed({"x": "band", "px": "part"}), ["k", "band", "part"]).select("k", F.col("band").alias("x"), F.col("part").alias("px"), "y", "py", "id", "t", F.lit(0).alias("side"))
+    right = dealt.join(two.where("x < y OR px < py").withColumnsRenamed({"y": "band", "py": "part"}), ["k", "band", "part"]).select("k", "x", "px", F.col("band").alias("y"), F.col("part").alias("py"), "id", "t", F.lit(1).alias("side"))
+
+    def compare(group: pa.Table) -> pa.Table:
+        rows = list(_alike(group.column("id").to_pylist(), group.column("t").to_pylist(), group.column("side").to_numpy(), threshold))
+        ids = group.schema.field("id").type
+        name = pa.array([group.column("k")[0].as_py()] * len(rows), group.schema.field("k").type)
+        return pa.Table.from_arrays([name, pa.array([r[0] for r in rows], ids), pa.array([r[1] for r in rows], ids), pa.array([r[2] for r in rows], pa.float64())], names=["k", "left", "right", "similarity"])
+
+    found = left.union(right).groupBy("k", "x", "px", "y", "py").applyInArrow(compare, f"k {key_kind}, left {kind}, right {kind}, similarity double").distinct()
     # Texts too short for a bigram are alike only if equal.
-    tiny = folded.where("size = 0").select(key, "id", "t")
-    equal = tiny.select(key, F.col("id").alias("left"), "t").join(tiny.select(key, F.col("id").alias("right"), "t"), [key, "t"]).where("left < right").select(key, "left", "right", F.lit(1.0).alias("similarity"))
-    return scored.withColumn("similarity", dice).where(F.col("similarity") >= threshold).select(key, "left", "right", half_up(F.col("similarity"), 4).alias("similarity")).unionByName(equal)
+    tiny = folded.where("size = 0").select("k", "id", "t")
+    equal = tiny.select("k", F.col("id").alias("left"), "t").join(tiny.select("k", F.col("id").alias("right"), "t"), ["k", "t"]).where("left < right").select("k", "left", "right", F.lit(1.0).alias("similarity"))
+    return found.unionByName(equal).select(F.col("k").alias(key), "left", "right", half_up(F.col("similarity"), 4).alias("similarity"))
 
 
 def author_clusters(pairs: DataFrame, key: str = "author_key") -> DataFrame:

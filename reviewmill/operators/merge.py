@@ -55,6 +55,13 @@ def reconcile(ledger: DataFrame, observed: DataFrame, harvests: DataFrame, denyl
     )
 
 
+def record_harvests(known: DataFrame, harvests: DataFrame) -> DataFrame:
+    """(listing, updated_at, last_full_harvest_at) after the harvests: a complete one sets both times, another one only the first."""
+    j = known.join(harvests.select("listing", "now", "completeness"), "listing", "full_outer")
+    full = F.coalesce(F.col("completeness").isin(*COMPLETE), F.lit(False))
+    return j.select("listing", F.coalesce("now", "updated_at").alias("updated_at"), F.when(full, F.col("now")).otherwise(F.col("last_full_harvest_at")).alias("last_full_harvest_at"))
+
+
 def tally(merged: DataFrame, *by: str) -> DataFrame:
     return merged.groupBy(*by).agg(*(F.count_if(F.col("outcome") == o).alias(o.lower()) for o in OUTCOMES))
 

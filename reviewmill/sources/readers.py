@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 REQUIRED = ("author_name", "rating", "date")
@@ -76,24 +76,25 @@ def csv_stop_reason(rows: Column, cap: Column) -> Column:
     return F.when(rows >= cap, "cap_reached").otherwise("target_reached")
 
 
-def place_reviews(df: DataFrame) -> DataFrame:
-    """Reviews of place details (status, result): the first five that have a rating or a text."""
-    each = df.select(F.col("result.rating").alias("advertised_rating"), F.col("result.user_ratings_total").alias("advertised_total"), F.posexplode("result.reviews").alias("pos", "r"))
-    return each.where((F.col("pos") < MAX_PLACE_REVIEWS) & (F.col("r.rating").isNotNull() | F.col("r.text").isNotNull())).select("advertised_rating", "advertised_total", "pos", "r.author_name", "r.rating", "r.text", F.col("r.relative_time_description").alias("relative_date"), F.lit("cap_reached").alias("stop_reason"))
+def place_reviews(df: DataFrame, *by: str) -> DataFrame:
+    """Reviews of place details (by..., result): the first five that have a rating or a text."""
+    each = df.select(*by, F.col("result.rating").alias("advertised_rating"), F.col("result.user_ratings_total").alias("advertised_total"), F.posexplode("result.reviews").alias("pos", "r"))
+    return each.where((F.col("pos") < MAX_PLACE_REVIEWS) & (F.col("r.rating").isNotNull() | F.col("r.text").isNotNull())).select(*by, "advertised_rating", "advertised_total", "pos", "r.author_name", "r.rating", "r.text", F.col("r.relative_time_description").alias("relative_date"), F.lit("cap_reached").alias("stop_reason"))
 
 
-def paged_reviews(df: DataFrame, page: str = "page") -> DataFrame:
-    """Reviews of business-profile pages (page, totalReviewCount, reviews): words as ratings, and how many were seen after each page."""
+def paged_reviews(df: DataFrame, *by: str, page: str = "page") -> DataFrame:
+    """Reviews of each listing's business-profile pages (by..., page, totalReviewCount, reviews), the first MAX_PAGES of them: words as ratings, and how many were seen after each page."""
     words = F.create_map(*[F.lit(v) for k, n in WORD_RATINGS.items() for v in (k, n)])
-    seen = F.expr(f"sum(size(reviews)) OVER (ORDER BY {page} ROWS UNBOUNDED PRECEDING)")
+    # A listing has at most MAX_PAGES pages here.
+    seen = F.sum(F.size("reviews")).over(Window.partitionBy(*by).orderBy(page).rowsBetween(Window.unboundedPreceding, 0))
     rows = df.where(F.col(page) < MAX_PAGES).withColumn("growth", seen)
-    return rows.select(page, F.col("totalReviewCount").alias("advertised_total"), "growth", F.posexplode("reviews").alias("pos", "r")).select(page, "advertised_total", "growth", "pos", F.col("r.reviewer.displayName").alias("author_name"), words[F.col("r.starRating")].alias("rating"), F.col("r.comment").alias("text"), F.col("r.createTime").alias("date"))
+    return rows.select(*by, page, F.col("totalReviewCount").alias("advertised_total"), "growth", F.posexplode("reviews").alias("pos", "r")).select(*by, page, "advertised_total", "growth", "pos", F.col("r.reviewer.displayName").alias("author_name"), words[F.col("r.starRating")].alias("rating"), F.col("r.comment").alias("text"), F.col("r.createTime").alias("date"))
 
 
 def read_health(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(records, lines that can't be read) of a JSONL series."""
-    rows = spark.read.schema(schema + ", _corrupt string").json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
-    return rows.where("_corrupt IS NULL").drop("_corrupt"), rows.where("_corrupt IS NOT NULL").select("_corrupt")
+    rows = spark.read.text(path).select("value", F.from_json("value", schema + ", _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    return rows.where("r._corrupt IS NULL").select("r.*").drop("_corrupt"), rows.where("r._corrupt IS NOT NULL").select("r._corrupt")
 
 
 class _Blocks(HTMLParser):

@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.merge import reconcile
+from ..lineage import cut_lineage
+from ..operators.merge import reconcile, record_harvests
 
+HARVESTS = "listing string, updated_at string, last_full_harvest_at string"
 LEDGER = "listing string, id string, content_hash string, state string, first_seen_at string, last_seen_at string, last_updated_at string, revision int, missing_streak int, tombstoned_at string, history array<string>"
 
 
 def current(spark: SparkSession, folder: str) -> DataFrame:
     """The ledger's last version; empty before the first."""
-    pointer = _pointer(spark, folder)
+    return _version(spark, folder, "reviews", LEDGER)
+
+
+def harvests(spark: SparkSession, folder: str) -> DataFrame:
+    """When each listing was harvested last, and last completely."""
+    return _version(spark, folder, "harvests", HARVESTS)
+
+
+def _version(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
+    pointer = _pointer(spark, f"{folder}/harvests")
     if pointer is None:
-        return spark.createDataFrame([], LEDGER)
-    return spark.read.schema(LEDGER).parquet(f"{folder}/version={pointer}")
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{folder}/{name}/version={pointer}")
 
 
 def _pointer(spark: SparkSession, folder: str) -> int | None:
@@ -30,24 +41,34 @@ def _pointer(spark: SparkSession, folder: str) -> int | None:
     return max((int(n.partition("=")[2]) for n in done), default=None)
 
 
-def merge_stream(harvests: DataFrame, folder: str, checkpoint: str, denylist: DataFrame) -> StreamingQuery:
+def merge_stream(harvested: DataFrame, folder: str, checkpoint: str, denylist: DataFrame) -> StreamingQuery:
     """Merge a stream of (listing, now, completeness, id, content_hash) rows into the ledger under folder.
 
-    A micro-batch's version number is its batch id, so a batch that is run again overwrites what it wrote and counts
-    no absence twice. A harvest without reviews is a row whose id is null.
+    The harvests of a listing in one micro-batch are merged one after the other, in order of their times. A listing's last complete
+    harvest is kept with the ledger, so one that comes again at the same instant, in whatever batch, counts no absence
+    twice. A micro-batch's version number is its batch id; the harvests' table is written last and names the
+    version. A harvest without reviews is a row whose id is null.
     """
-    spark = harvests.sparkSession
+    spark = harvested.sparkSession
 
     def step(batch: DataFrame, number: int) -> None:
-        prior = _pointer(spark, folder)
+        prior = _pointer(spark, f"{folder}/harvests")
         if prior is not None and prior >= number:
             return
-        runs = batch.groupBy("listing").agg(F.max("now").alias("now"), F.max_by("completeness", "now").alias("completeness")).withColumn("last_full_harvest_at", F.lit(None).cast("string"))
-        seen = batch.where("id IS NOT NULL").groupBy("listing", "id").agg(F.max_by("content_hash", "now").alias("content_hash"))
-        merged = reconcile(current(spark, folder), seen, runs, denylist)
-        merged.select(*(x.strip().split(" ")[0] for x in LEDGER.split(", "))).write.mode("overwrite").parquet(f"{folder}/version={number}")
+        batch = cut_lineage(batch)
+        # A listing's harvests in a batch are few; each round merges one of every listing.
+        runs = cut_lineage(batch.groupBy("listing", "now").agg(F.max("completeness").alias("completeness")).withColumn("turn", F.row_number().over(Window.partitionBy("listing").orderBy("now"))))
+        ledger, times = current(spark, folder), harvests(spark, folder)
+        for turn in range(1, (runs.agg(F.max("turn")).first()[0] or 0) + 1):
+            now = runs.where(F.col("turn") == turn).drop("turn")
+            seen = batch.where("id IS NOT NULL").join(now.select("listing", "now"), ["listing", "now"], "left_semi").groupBy("listing", "id").agg(F.max("content_hash").alias("content_hash"))
+            merged = reconcile(ledger, seen, now.join(times.select("listing", "last_full_harvest_at"), "listing", "left"), denylist)
+            ledger = cut_lineage(merged.select(*(x.strip().split(" ")[0] for x in LEDGER.split(", "))))
+            times = cut_lineage(record_harvests(times, now))
+        ledger.write.mode("overwrite").parquet(f"{folder}/reviews/version={number}")
+        times.write.mode("overwrite").parquet(f"{folder}/harvests/version={number}")
 
-    return harvests.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return harvested.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def hourly_counts(requests: DataFrame, late: str = "2 hours") -> DataFrame:

@@ -5,10 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewmill.functions import dates, identity, language, numbers, text, urls
-from reviewmill.operators import duplicates, health, merge, ordering, rules, schedule, stats
+from reviewmill.operators import duplicates, health, merge, ordering, rules, runs, schedule, stats
 from reviewmill.plans import QUERIES, SQL
 from reviewmill.plans.queries import PHRASES
-from reviewmill.sources import readers
+from reviewmill.sources import extraction, readers
 from reviewmill.streaming import breaker, ledger
 
 SMALL = "/root/testdata/sf0.001"
@@ -38,6 +38,7 @@ def test_text(spark):
     assert one(spark, "&lt;b&gt;x", text.decode_and_strip(c)) == "x"
     assert one(spark, "é", text.nfc(c)) == "é" and one(spark, "é", text.nfd(c)) == "é"
     assert one(spark, "a‍b 👨‍👩", text.strip_joiners(c)) == "ab 👨‍👩"
+    assert one(spark, "か\u200dな 👨\u200d👩\u200d👧\u200d \u200d👨 ❤\ufe0f\u200d🔥", text.strip_joiners(c)) == "かな 👨\u200d👩\u200d👧 👨 ❤\ufe0f🔥"
     assert one(spark, "ada  lovelace", text.initials(c)) == "AL"
     assert one(spark, "éa🙂" * 10, text.bound(c, 4)) == "éa🙂é"
     assert one(spark, "  ", text.blank_to_null(c)) is None
@@ -89,6 +90,82 @@ def test_streamed_ledger_equals_batches(spark, tmp_path):
     assert out == {"1": ("active", 2, 0), "2": ("unconfirmed", 1, 1)}
 
 
+def test_streamed_harvests_in_order_and_replayed(spark, tmp_path):
+    """Two harvests in one batch count twice; one that comes again at the same instant in a later batch counts nothing."""
+    schema = "listing string, now string, completeness string, id string, content_hash string"
+    batches = [
+        [("a", "t1", "full", "1", "h"), ("a", "t1", "full", "2", "h")],
+        [("a", "t2", "full", "1", "h"), ("a", "t3", "partial", "1", "x"), ("a", "t4", "full", "1", "x")],
+        [("a", "t4", "full", "1", "x")],
+        [("a", "t5", "full", "1", "x"), ("b", "t5", "full", None, None)],
+    ]
+    source, seen = tmp_path / "in", []
+    for r in batches:
+        spark.createDataFrame(r, schema).coalesce(1).write.mode("append").parquet(str(source))
+        ledger.merge_stream(spark.readStream.schema(schema).parquet(str(source)), str(tmp_path / "ledger"), str(tmp_path / "check"), spark.createDataFrame([], "id string")).awaitTermination()
+        seen.append({x.id: (x.state, x.revision, x.missing_streak) for x in ledger.current(spark, str(tmp_path / "ledger")).collect()})
+    assert [x["2"] for x in seen] == [("active", 1, 0), ("unconfirmed", 1, 2), ("unconfirmed", 1, 2), ("tombstoned", 1, 3)]
+    assert [x["1"] for x in seen] == [("active", 1, 0), ("active", 2, 0), ("active", 2, 0), ("active", 2, 0)]
+    assert {(x.listing, x.updated_at, x.last_full_harvest_at) for x in ledger.harvests(spark, str(tmp_path / "ledger")).collect()} == {("a", "t5", "t5"), ("b", "t5", "t5")}
+
+
+def test_streamed_breaker(spark, tmp_path):
+    rows = [("k", 0, False)] * 5 + [("k", 1, True), ("k", 15 * 60_000, False), ("k", 16 * 60_000, True), ("k", 60 * 60_000, True), ("other", 5, True)]
+    source = tmp_path / "in"
+    for r in (rows[:6], rows[6:]):
+        spark.createDataFrame(r, "key string, at_ms long, ok boolean").coalesce(1).write.mode("append").parquet(str(source))
+        stream = breaker.breaker(spark.readStream.schema("key string, at_ms long, ok boolean").parquet(str(source)))
+        stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    got = [(x.admitted, x.state) for x in spark.read.parquet(str(tmp_path / "out")).where("key = 'k'").orderBy("at_ms").collect()]
+    assert sorted(got) == sorted([(True, "closed")] * 4 + [(True, "open"), (False, "open"), (True, "open"), (False, "open"), (True, "closed")])
+
+
+def test_health_series_is_appended(spark, tmp_path):
+    own = spark.createDataFrame([("r1", "t1", "c", "l", "succeeded", 5), ("r2", "t2", "", "l", "who", None)], "run_id string, recorded_at string, client_slug string, listing_key string, outcome string, observed_count long")
+    for _ in range(2):
+        bad = runs.append_health(runs.health_records(own), str(tmp_path / "health")).collect()
+    assert [(x.run_id, x.problems) for x in bad] == [("r2", ["client_slug is missing", 'outcome "who" is not one of succeeded, failed, blocked, deferred, skipped'])]
+    lines = [x.value for x in spark.read.text(str(tmp_path / "health")).collect()]
+    assert len(lines) == 2 and '"coverage":null' in lines[0]
+    (tmp_path / "health" / "broken.json").write_text("{not json\n")
+    good, broken = readers.read_health(spark, str(tmp_path / "health"), "run_id string, observed_count long, coverage double")
+    assert [(x.run_id, x.observed_count, x.coverage) for x in good.collect()] == [("r1", 5, None)] * 2 and broken.count() == 1
+
+
+def test_state_is_replaced_by_key(spark, tmp_path):
+    state = lambda *rows: spark.createDataFrame(list(rows), "n int, source string")
+    runs.save_state(state((1, "a"), (2, "b")), str(tmp_path / "s"), "source")
+    runs.save_state(state((3, "b")), str(tmp_path / "s"), "source")
+    assert {(x.source, x.n) for x in spark.read.parquet(str(tmp_path / "s")).collect()} == {("a", 1), ("b", 3)}
+    with pytest.raises(ValueError):
+        runs.save_state(state((3, "../b")), str(tmp_path / "s"), "source")
+
+
+def test_extraction_reads_what_the_pack_says(spark):
+    html = """<body><div id=s><div class="r x"><b class=n>Ann</b><i data-stars="4,0">x</i><p class=t>One<br>two<script>no</script></p><div class=o><p class=t>Thanks</p></div></div>
+      <div class=r><b class=n>Bob</b><i data-stars="9">x</i></div><div class=r><i data-stars="5">x</i><p class=t>No name</p></div></div></div></body>"""
+    pack = {"surface": ("#none", "div[id^=s]"), "node": ("div > .r", "div.r"), "reply": (".o",), "fields": {"rating": (("i[data-stars]", "data-stars"),), "author_name": (("b.n", None),), "text": (("p.t", None),), "reply_text": (("p.t", None),)}}
+    pages = spark.createDataFrame([(1, html), (2, "<div id=s></div>"), (3, None)], "page_id long, html string")
+    rows = extraction.extracted(extraction.located(pages, pack), F.lit("en")).orderBy("page_id", "ordinal").collect()
+    got = [(x.page_id, x.ordinal, x.rating, x.author_name, x.text, x.reply_text, x.quarantine and tuple(x.quarantine)) for x in rows]
+    assert got == [
+        (1, 0, 4, "Ann", "One two", "Thanks", None), (1, 1, None, "Bob", None, None, ("ERR-PARSE-RATING-INVALID", "rating")), (1, 2, 5, None, "No name", None, ("ERR-PARSE-FIELD-REQUIRED", "author_name")),
+        (2, None, None, None, None, None, ("ERR-PARSE-EMPTY-UNEXPECTED", None)), (3, None, None, None, None, None, ("ERR-PARSE-STRUCTURE", None)),
+    ]
+    calm = extraction.extracted(extraction.located(pages, pack), F.lit("en"), emptied=F.col("page_id") == 2)
+    assert {x.page_id for x in calm.collect()} == {1, 3}
+
+
+def test_versions_and_secrets(spark):
+    c = F.col("v")
+    assert one(spark, "1.2.3.4", numbers.compare_versions(c, F.lit("1.2.3.5"))) == -1 and one(spark, "1.2", numbers.compare_versions(c, F.lit("1.2.0.0"))) == 0 and one(spark, "10", numbers.compare_versions(c, F.lit("9.9.9"))) == 1
+    fields = spark.createDataFrame([({"note": "has abcdefgh and abcdef", "abcdef": "1", "short": "xyz", "url": "https://a.b/c?token=1", "Cookie": "z"},)], "m map<string,string>")
+    got = fields.select(runs.redacted(F.col("m"), {"long": "abcdefgh", "part": "abcdef", "tiny": "xyz"}).alias("r")).first().r
+    assert got == {"note": "has «redacted:long» and «redacted:part»", "«redacted:part»": "1", "short": "«redacted:tiny»", "url": "https://a.b/c"}
+    with pytest.raises(ValueError):
+        runs.enriched(fields, {"rating": F.lit(1)})
+
+
 def test_breaker():
     state, seen = ("closed", 0, 0, 0), []
     for at, ok in [(0, False)] * 5 + [(1, True), (15 * 60_000, False), (16 * 60_000, True), (60 * 60_000, True)]:
