@@ -1,15 +1,15 @@
 """Main text of HTML pages by text-to-tag ratios.
 
 The standard library's parser streams events. Its text is cut into lines at
-block-level tags; each line gets its ratio of text to tags. The ratios, smoothed
-by a Gaussian along the page, are cut at a threshold (a share of the page's own
-spread); runs of lines above it, with the short lines between them, are content
-regions. Lines inside elements that never hold the article (menus, footers, adverts,
-forms, comments, notices) bound regions and are never content. Where the page marks
-article or main elements, all their lines that are not kept apart are content, whatever
-their ratio or size. On other pages ratios are capped by the spread of their
-logarithms, so that one long line doesn't lift the threshold over the others; of
-several regions, those with at least a tenth of the largest one's text stay.
+block-level tags; each line gets its ratio of text to tags. The logarithms of the ratios,
+smoothed by a Gaussian along the page, fall into two clusters by their distance from
+nothing and from the mean of the upper cluster; lines of the upper one are content lines.
+They select the regions. A region is an article (or main) element where the page marks
+some, else what stands between two lines that are kept apart; it is selected if
+it holds a content line. A marked region is content from end to end; of another one, what
+stands from its first to its last content line, if that is at least a tenth of the largest such
+run's text. Lines inside elements that never hold the article (menus, footers,
+adverts, forms, comments, notices) bound regions, count as empty and are never content.
 
 Defined results: a null or empty html gives the empty text; broken markup is read as
 far as the parser can; repeated rows, null ids and null urls give a row each; an
@@ -40,27 +40,23 @@ NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|b
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
 SPREAD = 2.0
-#: Of the standard deviation of the ratios.
-THRESHOLD = 0.25
-#: Ratios count up to this many standard deviations of their logarithms over the mean logarithm.
-FAR = 2.0
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, in an article, kept apart) for each block-level line."""
+    """Collects (text, tags, number of its article or 0, kept apart) for each block-level line."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, int]] = []  # name, then the two counters as they were before it
-        self.silent = self.apart = self.main = 0
+        self.silent = self.apart = self.main = self.articles = 0
         self.text: list[str] = []
         self.tags = 0
-        self.lines: list[tuple[str, int, bool, bool]] = []
+        self.lines: list[tuple[str, int, int, bool]] = []
 
     def flush(self) -> None:
         s = " ".join("".join(self.text).split())
         if s or self.tags:
-            self.lines.append((s, self.tags, self.main > 0, self.apart > 0))
+            self.lines.append((s, self.tags, self.articles if self.main else 0, self.apart > 0))
         self.text, self.tags = [], 0
 
     def shut(self, k: int) -> None:
@@ -96,7 +92,9 @@ class Lines(HTMLParser):
             self.silent += 1
         elif tag in ASIDE or (tag not in MAIN and tag not in ("html", "body") and self.named(attrs)):
             self.apart += 1
-        self.main += tag in MAIN
+        if tag in MAIN:
+            self.articles += not self.main
+            self.main += 1
         self.open.append(before)
 
     @staticmethod
@@ -134,16 +132,9 @@ class Lines(HTMLParser):
             self.text.append(data)
 
 
-def ratios(lines: list[tuple[str, int, bool, bool]]) -> np.ndarray:
-    return np.array([len(s) / max(1, t) for s, t, _, _ in lines], float)
-
-
-def capped(x: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """x up to what lies FAR from the others' logarithms; own are the lines that count."""
-    if not own.any():
-        return x
-    logs = np.log1p(x[own])
-    return np.minimum(x, np.expm1(logs.mean() + FAR * logs.std()))
+def ratios(lines: list[tuple[str, int, int, bool]]) -> np.ndarray:
+    """Logarithms of text to tags; 0 for what is kept apart."""
+    return np.log1p([0.0 if apart else len(s) / max(1, t) for s, t, _, apart in lines])
 
 
 def smoothed(x: np.ndarray, spread: float = SPREAD) -> np.ndarray:
@@ -153,47 +144,40 @@ def smoothed(x: np.ndarray, spread: float = SPREAD) -> np.ndarray:
     return np.convolve(x, kernel)[k : k + len(x)] / weight
 
 
+def threshold(x: np.ndarray) -> float:
+    """Where two clusters of x part, one with its centre at 0, the other at its mean."""
+    high = x.max()
+    while (new := x[x >= high / 2].mean()) < high:
+        high = new
+    return high / 2
+
+
 def main_text(html: str) -> str:
     """Blocks of the content regions, in page order, joined by a line break."""
-    if not html:
-        return ""
     parser = Lines()
-    parser.feed(html)
+    parser.feed(html or "")
     parser.close()
     parser.flush()
     lines = [x for x in parser.lines if x[0]]
-    if not lines:
+    apart = np.array([x[3] for x in lines], bool)
+    article = np.array([x[2] for x in lines], np.int64)
+    own = ~apart & (article > 0) if (article[~apart] > 0).any() else ~apart
+    if not own.any():
         return ""
-    apart = np.array([x[3] for x in lines])
-    marked = np.array([x[2] for x in lines]) & ~apart
-    ratio = np.where(apart, 0.0, capped(ratios(lines), ~apart))
-    content = smoothed(ratio) >= max(THRESHOLD * ratio.std(), 1e-9)
-    content &= ~apart
-    if marked.any():
-        content = marked
-    elif content.any():
-        content = _regions(content, lines, apart)
+    ratio = smoothed(ratios(lines))
+    content = own & (ratio >= threshold(ratio[own]))
+    content = own & np.isin(article, article[content]) if article[own].any() else _runs(content, lines, apart)
     return "\n".join(x[0] for x, c in zip(lines, content, strict=True) if c)
 
 
-def _regions(content: np.ndarray, lines, apart: np.ndarray) -> np.ndarray:
-    """Runs of content with what stands between them, cut where a kept-apart line stands; those with over a tenth of the largest one's text."""
-    runs, start = [], None
-    for i in range(len(lines) + 1):
-        stop = i == len(lines) or apart[i]
-        if stop:
-            if start is not None:
-                at = [k for k in range(start, i) if content[k]]
-                if at:
-                    runs.append((at[0], at[-1] + 1))
-            start = None
-        elif start is None:
-            start = i
-    out = np.zeros(len(lines), bool)
+def _runs(content: np.ndarray, lines, apart: np.ndarray) -> np.ndarray:
+    """From the first to the last content line between two kept-apart lines; of these runs, those with at least a tenth of the largest one's text."""
+    edges = [-1, *np.flatnonzero(apart).tolist(), len(lines)]
+    runs = [(at[0], at[-1] + 1) for a, b in zip(edges, edges[1:], strict=False) if len(at := np.flatnonzero(content[a + 1 : b]) + a + 1)]
     sizes = [sum(len(lines[k][0]) for k in range(a, b)) for a, b in runs]
+    out = np.zeros(len(lines), bool)
     for (a, b), n in zip(runs, sizes, strict=True):
-        if 10 * n >= max(sizes):
-            out[a:b] = True
+        out[a:b] = 10 * n >= max(sizes)
     return out
 
 

@@ -1,19 +1,20 @@
 """Near-duplicates by a MinHash LSH forest, links confirmed on whole shingle sets.
 
 Documents with equal shingle sets form a class; its smallest doc_id stands for it.
-TREES orders of the class signatures are kept, each by its own DEPTH values. In a
-tree, classes that agree on the first LEVELS[0] values share a region; a region of
-more than REGION classes is read at the next level's longer common prefix, and below
-the deepest level in salted parts. Each part of such a region also gets the region's
-first class, so that the parts stay joined. Neighbours inside a region are compared on
-signatures: round one confirms the edges of a maximum spanning forest of the promising
-pairs; round two brings the whole sets of members whose components still differ to
-their regions and confirms what joins them there. In round two a region of more than
-REGION classes is read whole, at the first level: its classes are dealt into blocks, and
-each pair of blocks is a region of its own, but for two blocks of one component, which
-have nothing left to join. So each promising pair that agrees on LEVELS[0] values of a
-tree is seen; a group of m copies costs about m confirmations and never sends out m
-squared pairs.
+TREES orders of the classes are kept, each sorted by its own DEPTH signature values. What
+adjacent classes have in common (their longest common prefix) divides an order into
+regions: runs that share the first LEAST values, and where such a run has more than
+REGION classes, as many more values as bring its parts down to that; so the depth
+follows each region's density. What shares all DEPTH values is cut into runs of REGION
+classes. Each part of a divided region also gets the region's first class, so that the
+parts stay joined. Neighbours inside a region are compared on signatures: round one
+confirms the edges of a maximum spanning forest of the promising pairs; round two brings
+the whole sets of members whose components still differ to their regions and confirms
+what joins them there. In round two a region of more than REGION classes is read whole, at
+depth LEAST: its classes are dealt into blocks, and each pair of blocks is a region of
+its own, but for two blocks of one component, which have nothing left to join. So each
+promising pair that agrees on LEAST values of an order is seen; a group of m copies costs
+about m confirmations and never sends out m squared pairs.
 
 Defined results: a null, empty or blank text has no shingles and links with nothing;
 rows of one doc_id are one document for links; a row with a null doc_id takes no part
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +38,10 @@ from .shingles import mix, shingle_sets
 
 WORDS = 5
 PERCENT = 75
-TREES, DEPTH = 16, 6
-LEVELS = (2, 4, 6)
+TREES, DEPTH, LEAST = 16, 6, 2
 REGION = 512
+#: Rows of a sorted order whose common prefixes are in memory at a time.
+RUN = 1 << 19
 #: A block of a large region has up to this many times REGION classes: signatures alone are compared there.
 WIDE = 8
 #: Pairs whose signatures agree on at least this share are confirmed; four standard errors below 0.75.
@@ -73,47 +76,117 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_shingles long, h1 long, h2 long, sig binary")
 
 
-def forest(reps: DataFrame) -> DataFrame:
-    """(id, p0, p1, ...): for each class and tree, the hash of the tree and the common prefix at each level."""
+def orders(reps: DataFrame) -> DataFrame:
+    """(key, id): each class once in each tree, a key being the tree and its DEPTH values, big-endian; sorted across the partitions."""
     kind = dict(reps.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = np.arange(TREES, dtype=np.uint64)
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            v = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(n, TREES, DEPTH).astype(np.uint64)
-            ids = pa.compute.take(batch.column("id"), pa.array(np.repeat(np.arange(n), TREES)))
-            out, h = [], np.broadcast_to(mix(tree + np.uint64(1)), (n, TREES))
-            with np.errstate(over="ignore"):
-                for k in range(DEPTH):
-                    h = mix(h * _A[1] + v[:, :, k])
-                    if k + 1 in LEVELS:
-                        out.append(pa.array(h.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([ids, *out], names=["id", *(f"p{i}" for i in range(len(LEVELS)))])
+            v = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).astype(">u4")
+            keys = np.empty((n, TREES, 1 + 4 * DEPTH), np.uint8)
+            keys[:, :, 0] = np.arange(TREES)
+            keys[:, :, 1:] = v.view(np.uint8).reshape(n, TREES, 4 * DEPTH)
+            keys = pa.Array.from_buffers(pa.binary(), n * TREES, [None, pa.py_buffer(np.arange(n * TREES + 1, dtype=np.int32) * keys.shape[2]), pa.py_buffer(keys)])
+            yield pa.RecordBatch.from_arrays([keys, pa.compute.take(batch.column("id"), pa.array(np.repeat(np.arange(n), TREES)))], names=["key", "id"])
 
-    return reps.select("id", "sig").mapInArrow(run, f"id {kind}, " + ", ".join(f"p{i} long" for i in range(len(LEVELS))))
+    rows = reps.select("id", "sig").mapInArrow(run, f"key binary, id {kind}").withColumn("h", F.xxhash64("id"))
+    return rows.repartitionByRange("key", "h").sortWithinPartitions("key", "h").select("key", "id")
+
+
+_PREFIX = [f"p{d}" for d in range(LEAST, DEPTH + 1)]
+_SIZE = [f"n{d}" for d in range(LEAST, DEPTH + 1)]
+
+
+def depths(keys: np.ndarray, limit: int) -> tuple[np.ndarray, ...]:
+    """For the rows of a part of an order (numbers of tree and values): hashes of their prefixes, sizes of the runs that share them, whether such a run touches an end of the part, and the depth.
+
+    The depth is the least at which the run has at most limit rows; DEPTH + 1 if none has; 0 if that takes what lies beyond the ends.
+    """
+    m = len(keys)
+    differ = keys[1:] != keys[:-1]
+    shared = np.where(differ.any(1), differ.argmax(1), keys.shape[1])  # values in common with the row before, the tree included
+    hashes, sizes, edge = [], [], []
+    with np.errstate(over="ignore"):
+        h = mix(keys[:, 0].astype(np.uint64) + np.uint64(1))
+        for d in range(1, DEPTH + 1):
+            h = mix(h * _A[1] + keys[:, d].astype(np.uint64))
+            if d < LEAST:
+                continue
+            start = np.flatnonzero(np.concatenate([[True], shared <= d]))
+            of = np.cumsum(np.concatenate([[True], shared <= d])) - 1
+            sizes.append(np.diff(np.append(start, m))[of])
+            edge.append((of == 0) | (of == of[-1]))
+            hashes.append(h)
+    depth, open_ = np.full(m, DEPTH + 1), np.ones(m, bool)
+    for i in range(len(sizes)):
+        fits = open_ & (sizes[i] <= limit)
+        depth[fits] = np.where(edge[i][fits], 0, LEAST + i)
+        open_ &= ~fits
+    return np.stack(hashes), np.stack(sizes), np.stack(edge), depth
 
 
 def regions(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(region, id) with two to about REGION classes each, and (region, id) of the whole first-level regions of more; regions of the same classes come once."""
-    rows = staged(forest(reps), "forest")
-    top = rows.groupBy("p0").agg(F.count("*").alias("n0"), F.min("id").alias("first")).where("n0 > 1")
-    top = staged(top, "regions-by-level")
-    small = rows.join(top.where(F.col("n0") <= REGION).select("p0"), "p0").select(F.col("p0").alias("region"), "id")
-    rows = large = staged(rows.join(top.where(F.col("n0") > REGION), "p0"), "large-regions")
-    for i in range(1, len(LEVELS)):
-        rows = rows.join(rows.groupBy(f"p{i}").agg(F.count("*").alias(f"n{i}")), f"p{i}")
-    last = len(LEVELS) - 1
-    salt = F.pmod(F.xxhash64("id"), F.ceil(F.col(f"n{last}") / REGION))
-    region = F.xxhash64(f"p{last}", salt)
-    for i in range(last, 0, -1):
-        region = F.when(F.col(f"n{i}") <= REGION, F.col(f"p{i}")).otherwise(region)
-    rows = rows.withColumn("region", region)
-    deep = rows.select("region", "id").union(rows.select("region", F.col("first").alias("id"))).distinct()
-    every = staged(small.union(deep), "regions")
-    return _once(every), _once(large.select(F.col("p0").alias("region"), "id"))
+    """(region, id) with two to about REGION classes each, and (region, id) of the whole regions of depth LEAST of more; regions of the same classes come once."""
+    kind, limit, most = dict(reps.dtypes)["id"], REGION, RUN
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, table in enumerate(_runs(batches, most)):
+            n = table.num_rows
+            raw = np.frombuffer(b"".join(table.column("key").to_pylist()), np.uint8).reshape(n, -1)
+            keys = np.concatenate([raw[:, :1].astype(np.uint32), np.ascontiguousarray(raw[:, 1:]).view(">u4").astype(np.uint32)], 1)
+            hashes, sizes, edge, depth = depths(keys, limit)
+            own = np.where(depth > DEPTH, hashes[-1], hashes[np.clip(depth - LEAST, 0, DEPTH - LEAST), np.arange(n)])
+            deep = np.flatnonzero(depth > DEPTH)
+            if len(deep):  # runs of REGION rows of those that share all values
+                with np.errstate(over="ignore"):
+                    own[deep] = mix(own[deep] + np.uint64(TaskContext.get().partitionId() << 32 | k) * _A[2] + (deep // limit).astype(np.uint64))
+            crowded = sizes[0] > limit
+            keep = np.flatnonzero(crowded | (depth == 0) | (sizes[0] > 1))
+            out = [pa.compute.take(table.column("id").combine_chunks(), pa.array(keep)), pa.array(own[keep].view(np.int64)), pa.array(depth[keep].astype(np.int32)), pa.array(crowded[keep])]
+            yield pa.RecordBatch.from_arrays([*out, *(pa.array(x[keep].view(np.int64)) for x in hashes), *(pa.array(x[keep].astype(np.int64)) for x in sizes), pa.array(np.zeros(len(keep), bool))], names=names)
+            # The runs at the two ends, whose other parts may lie beyond them.
+            ends = [(hashes[d, i].view(np.int64), sizes[d, i]) for d in range(len(sizes)) for i in ([0] if sizes[d, 0] == n else [0, n - 1])]
+            none = pa.array([None] * len(ends), out[0].type)
+            p, c = (pa.array(np.array(x, np.int64)) for x in zip(*ends, strict=True))
+            yield pa.RecordBatch.from_arrays([none, p, pa.array(np.zeros(len(ends), np.int32)), pa.array(np.zeros(len(ends), bool)), *[p] * len(_PREFIX), *[c] * len(_SIZE), pa.array(np.ones(len(ends), bool))], names=names)
+
+    names = ["id", "region", "depth", "crowded", *_PREFIX, *_SIZE, "is_end"]
+    schema = f"id {kind}, region long, depth int, crowded boolean, " + ", ".join(f"{x} long" for x in [*_PREFIX, *_SIZE]) + ", is_end boolean"
+    rows = staged(orders(reps).mapInArrow(run, schema), "orders")
+    # What depends on rows beyond an end: sizes over all parts.
+    ends = rows.where("is_end").groupBy(F.col("region").alias("p")).agg(F.sum(_SIZE[0]).alias("all"))
+    open_ = rows.where("NOT is_end AND depth = 0")
+    each = open_.select("id", F.col(_PREFIX[0]).alias("top"), F.explode(F.array(*(F.struct(F.lit(LEAST + i).alias("d"), F.col(p).alias("p"), F.col(n).alias("n")) for i, (p, n) in enumerate(zip(_PREFIX, _SIZE, strict=True))))).alias("x")).select("id", "top", "x.*")
+    each = each.join(ends, "p", "left").withColumn("n", F.coalesce("all", "n"))
+    solved = each.groupBy("id", "top").agg(F.max(F.when(F.col("d") == LEAST, F.col("n"))).alias("n0"), F.min(F.when(F.col("n") <= limit, F.struct("d", "p"))).alias("best"), F.max(F.when(F.col("d") == DEPTH, F.struct("p", "n"))).alias("last"))
+    region = F.coalesce(F.col("best.p"), F.xxhash64(F.col("last.p"), F.pmod(F.xxhash64("id"), F.ceil(F.col("last.n") / limit))))
+    solved = solved.select("id", region.alias("region"), "top", (F.col("n0") > limit).alias("crowded"))
+    known = rows.where("NOT is_end AND depth > 0").select("id", "region", F.col(_PREFIX[0]).alias("top"), "crowded")
+    every = staged(known.union(solved), "regions")
+    large = every.where("crowded")
+    first = staged(large.groupBy("top").agg(F.min("id").alias("first")), "firsts")
+    joined = large.select("top", "region").distinct().join(first, "top").select("region", F.col("first").alias("id"))
+    parts = every.select("region", "id").union(joined).distinct()
+    return _once(staged(parts, "parts")), _once(large.select(F.col("top").alias("region"), "id"))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """The rows in order, about most at a time."""
+    held, size = [], 0
+    for batch in batches:
+        while batch.num_rows:
+            part = batch.slice(0, most - size)
+            batch = batch.slice(part.num_rows)
+            held.append(part)
+            size += part.num_rows
+            if size >= most:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held)
 
 
 def _once(every: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Packing of documents into token sequences by lexical retrieval.
 
 A document is cut after each LENGTH tokens; whole cuts are sequences of their own.
-What is left of it (its tail) is dealt to a shard of about SHARD tails. A shard has a
-BM25 inverted index of its tails, weighted by document frequencies over all tails of
+What is left of it is its tail. Tails are sorted by content (their rarest terms among
+those that at least SHARD tails hold) over the whole corpus, and each SHARD adjacent ones
+are a shard with a BM25 inverted index, weighted by document frequencies over all tails of
 the corpus. Seeds are taken longest first; the index returns the unused tails nearest
 to a seed, which fill its window greedily, the last one cut to fit; the rest of that
 one stays unused. Only the last window of a shard can fall short: it is cut into powers
@@ -15,6 +16,8 @@ table gives none; texts are tokenized whole. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -30,13 +33,23 @@ from .common import staged, text_chunks
 LENGTH = 1024
 END = 0
 SHARD = 2048
-#: BM25, and the rarest terms of a seed that are looked up.
-K1, B, TERMS = 1.2, 0.75, 16
+#: BM25.
+K1, B = 1.2, 0.75
+#: Terms that tails are sorted by, and partitions they are sorted into, at most; a partition holds many shards.
+KEYS, PARTITIONS = 4, 10_000
 #: Neighbours looked at before the rest of the shard is sorted.
 FIRST = 48
 PIECE = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizer's file, which it finds in texts before anything else; only plain ones are known here."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)["added_tokens"]
+    if any(x[k] for x in found for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("only plain added tokens are supported")
+    return {x["content"]: x["id"] for x in found}
+
 
 class _Encoder:
     """Ids of many texts, as 32-bit numbers. What follows each blank is remembered; what a batch has anew is encoded in
@@ -45,7 +58,7 @@ class _Encoder:
     #: Remembered segments; about 130 MB. Over it, all is forgotten before the next batch.
     MOST = 800_000
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, added: dict[str, int]):
         import tiktoken
 
         ranks = ranks_of(path)
@@ -54,9 +67,13 @@ class _Encoder:
         for token, i in ranks.items():
             self.sizes[i] = len(token)
         self.known: dict[str, bytes] = {}
+        self.added = {s: array("I", [i]).tobytes() for s, i in added.items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
 
     def one(self, s: str) -> bytes:
-        return array("I", self.encode(s)).tobytes()
+        if self.cut is None or not self.cut.search(s):
+            return array("I", self.encode(s)).tobytes()
+        return b"".join(self.added[x] if k % 2 else array("I", self.encode(x)).tobytes() for k, x in enumerate(self.cut.split(s)))
 
     def learn(self, segments: list[str]) -> None:
         ids = np.array(self.encode(" " + " ".join(segments)), "<u4")
@@ -72,7 +89,7 @@ class _Encoder:
             self.known.clear()
         get, out, open_ = self.known.get, [], []
         for t in texts:
-            if not divisible(t):
+            if not divisible(t) or self.cut is not None and self.cut.search(t):
                 out.append(self.one(t))
                 continue
             first, *rest = t.split(" ")
@@ -92,21 +109,22 @@ class _Encoder:
         return out
 
 
-_encoders: dict[tuple[str, str], _Encoder] = {}
+_encoders: dict[tuple, _Encoder] = {}
 
 
-def _encoder(path: str, pattern: str) -> _Encoder:
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = _Encoder(path, pattern)
-    return _encoders[path, pattern]
+def _encoder(path: str, pattern: str, added: dict[str, int]) -> _Encoder:
+    key = (path, pattern, *added.items())
+    if key not in _encoders:
+        _encoders[key] = _Encoder(path, pattern, added)
+    return _encoders[key]
 
 
-def tokenized(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, length: int = LENGTH) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, pattern: str, added: dict[str, int], id_col: str, text_col: str, length: int = LENGTH) -> DataFrame:
     """Cuts of each document with its end token: whole ones, then the tail (which may be empty and is then left out). ids are 16-bit where they fit; salt is the row's number in its task and tells equal rows apart."""
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, rows = _encoder(path, pattern).many, np.array([END], "<u4").tobytes(), 0
+        encode, end, rows = _encoder(path, pattern, added).many, np.array([END], "<u4").tobytes(), 0
         for batch in batches:
             for part, texts in text_chunks(batch):
                 row, start, size, ids, tokens = [], [], [], [], []
@@ -147,7 +165,7 @@ def frequencies(tails: DataFrame) -> DataFrame:
 
 
 class Index:
-    """BM25 over a shard's tails: postings sorted by term, with each posting's weight."""
+    """BM25 over a shard's tails: postings sorted by term, with each posting's weight; terms of many tails as rows of a matrix."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray):
         sizes = np.array([len(d) for d in docs], np.int64)
@@ -158,14 +176,25 @@ class Index:
         self.weight = (idf[term] * n * (K1 + 1) / (n + norm[self.doc])).astype(np.float32)
         self.term, self.begin = np.unique(term, return_index=True)
         self.stop = np.append(self.begin[1:], len(term))
-        self.idf, self.n = idf, len(docs)
+        self.n = len(docs)
+        many = np.flatnonzero(16 * (self.stop - self.begin) > self.n)
+        self.row = np.full(len(self.term), -1, np.int64)
+        self.row[many] = np.arange(len(many))
+        self.dense = np.zeros((len(many), self.n), np.float32)
+        for r, i in enumerate(many.tolist()):
+            a, b = self.begin[i], self.stop[i]
+            self.dense[r, self.doc[a:b]] = self.weight[a:b]
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
-        out = np.zeros(self.n, np.float32)
-        for i in np.searchsorted(self.term, terms).tolist():
-            a, b = self.begin[i], self.stop[i]
-            out[self.doc[a:b]] += self.weight[a:b]
-        return out
+        """Each tail's score for these different terms, all of which the shard holds."""
+        at = np.searchsorted(self.term, terms)
+        row = self.row[at]
+        asked = np.zeros(len(self.dense), np.float32)
+        asked[row[row >= 0]] = 1
+        at = at[row < 0]
+        begin, size = self.begin[at], self.stop[at] - self.begin[at]
+        place = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return (asked @ self.dense + np.bincount(self.doc[place], self.weight[place], self.n)).astype(np.float32)
 
 
 def _nearest(score: np.ndarray, n: int) -> Iterator[int]:
@@ -192,8 +221,7 @@ def fill(docs: list[np.ndarray], idf: np.ndarray, length: int = LENGTH) -> list[
         room = length - int(left[seed])
         used[seed], left[seed] = len(docs[seed]), 0
         if room:
-            t = np.unique(docs[seed])
-            score = index.scores(t[np.argsort(-idf[t], kind="stable")[:TERMS]])
+            score = index.scores(np.unique(docs[seed]))
             score[left == 0] = -1
             for d in _nearest(score, np.count_nonzero(left)):
                 take = min(room, int(left[d]))
@@ -221,19 +249,23 @@ def fill(docs: list[np.ndarray], idf: np.ndarray, length: int = LENGTH) -> list[
     return sequences
 
 
-def pack(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """A row for each piece: doc_id, start, length, ids (binary: little-endian unsigned 32-bit), doc_tokens, sequence_id, offset."""
+def pack(docs: DataFrame, path: str, pattern: str, added: dict[str, int] | None = None, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """A row for each piece: doc_id, start, length, ids (binary: little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
+
+    ``added`` are tokens that are found in texts before the pattern divides them, with their ids.
+    """
     kind = dict(docs.dtypes)[id_col]
-    cuts = staged(tokenized(docs, path, pattern, id_col, text_col, length), "cuts")
+    cuts = staged(tokenized(docs, path, pattern, added or {}, id_col, text_col, length), "cuts")
     tails = cuts.where(F.col("length") < length)
     # One row for each token of the vocabulary at most, whatever the corpus.
     got = frequencies(tails).toArrow()
     number = tails.count()
     idf = np.zeros(max(1 << 16, int(max(got.column("term").to_pylist(), default=0)) + 1))
-    n = got.column("n").to_numpy()
-    idf[got.column("term").to_numpy()] = np.log1p((number - n + 0.5) / (n + 0.5))
-    idf = docs.sparkSession.sparkContext.broadcast(idf)
-    shards = max(1, -(-number // SHARD))
+    n, term = got.column("n").to_numpy(), got.column("term").to_numpy()
+    idf[term] = np.log1p((number - n + 0.5) / (n + 0.5))
+    sorts = np.zeros(len(idf), bool)
+    sorts[term] = n >= min(SHARD, number / 16)
+    known = docs.sparkSession.sparkContext.broadcast((idf, sorts))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 34
@@ -244,28 +276,58 @@ def pack(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
             at += 2 * n
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("length"), pa.array(ids, pa.binary()), batch.column("doc_tokens"), pa.array(sequence), pa.array(np.zeros(n, np.int64))], names=PIECE)
 
-    def shard(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks().sort_by([("doc_id", "ascending"), ("start", "ascending"), ("salt", "ascending"), ("ids", "ascending")])
-        number, size = table.column("shard")[0].as_py(), table.column("length").to_pylist()
+    def content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each tail with its rarest sorting terms, rarest first."""
+        idf, sorts = known.value
+        for batch in batches:
+            keys = []
+            for b, n in zip(batch.column("ids").to_pylist(), batch.column("length").to_pylist(), strict=True):
+                t = np.unique(_ids(b, n))
+                t = t[sorts[t]]
+                keys.append(t[np.argsort(-idf[t], kind="stable")[:KEYS]].astype(">u4").tobytes())
+            yield batch.append_column("content", pa.array(keys, pa.binary()))
+
+    def shard(table: pa.Table, number: int) -> tuple[pa.RecordBatch, int]:
+        """The pieces of a shard's sequences, which are numbered from number."""
+        size = table.column("length").to_pylist()
         docs = [_ids(b, k) for b, k in zip(table.column("ids").to_pylist(), size, strict=True)]
         row, begin, count, ids, sequence, offset = [], [], [], [], [], []
-        for s, window in enumerate(fill(docs, idf.value, length)):
+        for window in fill(docs, known.value[0], length):
             at = 0
             for d, a, b in window:
                 row.append(d)
                 begin.append(a)
                 count.append(b - a)
                 ids.append(docs[d][a:b].tobytes())
-                sequence.append((number << 34) + 2 * s + 1)
+                sequence.append(number)
                 offset.append(at)
                 at += b - a
+            number += 2
         row = np.array(row, np.int64)
-        columns = [table.column("doc_id").take(pa.array(row)), pa.array(table.column("start").to_numpy()[row] + np.array(begin, np.int64)), pa.array(count, pa.int64()), pa.array(ids, pa.binary()), table.column("doc_tokens").take(pa.array(row)), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())]
-        return pa.Table.from_arrays(columns, names=PIECE)
+        columns = [table.column("doc_id").take(pa.array(row)).combine_chunks(), pa.array(table.column("start").to_numpy()[row] + np.array(begin, np.int64)), pa.array(count, pa.int64()), pa.array(ids, pa.binary()), table.column("doc_tokens").take(pa.array(row)).combine_chunks(), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=PIECE), number
+
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each SHARD adjacent tails; what remains is a shard with the last of them if it is under half a shard."""
+        number, held, size = (TaskContext.get().partitionId() << 34) + 1, [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= SHARD * 3 // 2:
+                table = pa.Table.from_batches(held)
+                at = 0
+                while size - at >= SHARD * 3 // 2:
+                    out, number = shard(table.slice(at, SHARD).combine_chunks(), number)
+                    yield out
+                    at += SHARD
+                held, size = table.slice(at).combine_chunks().to_batches(), size - at
+        if size:
+            yield shard(pa.Table.from_batches(held).combine_chunks(), number)[0]
 
     schema = f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    dealt = tails.withColumn("shard", F.pmod(F.xxhash64("doc_id", "salt", "ids"), F.lit(shards)).cast("long"))
-    return cuts.where(F.col("length") == length).mapInArrow(whole, schema).union(dealt.groupBy("shard").applyInArrow(shard, schema)).withColumnRenamed("doc_id", id_col)
+    keyed = tails.mapInArrow(content, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, salt long, content binary").withColumn("h", F.xxhash64("doc_id", "salt", "ids"))
+    dealt = keyed.repartitionByRange(max(1, min(PARTITIONS, -(-number // SHARD))), "content", "h").sortWithinPartitions("content", "h")
+    return cuts.where(F.col("length") == length).mapInArrow(whole, schema).union(dealt.mapInArrow(shards, schema)).withColumnRenamed("doc_id", id_col)
 
 
 def digest(pieces: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -23,9 +23,9 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The rank file holds the vocabulary of byte_bpe_50k.json; the two give the same ids.
-    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), path, pattern))
+    # The rank file holds the vocabulary of byte_bpe_50k.json; with its added tokens the two give the same ids.
+    path, added = public_tokenizers.path("byte_bpe_50k.tiktoken"), packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, added))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,7 @@ def test_near_duplicates(spark):
 
 def test_near_duplicates_in_regions_that_are_split(spark, monkeypatch):
     monkeypatch.setattr(minhash, "REGION", 16)
+    monkeypatch.setattr(minhash, "RUN", 150)
     rows = near_rows(6)
     got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in minhash.near_duplicates(frame(spark, rows)).collect()}
     assert got == components(rows)
@@ -175,7 +176,7 @@ def test_columnwise_order_is_exact():
             assert got[i, c] == want
 
 
-PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+PATH, PATTERN, ADDED = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def check_packing(rows, got):
@@ -205,19 +206,46 @@ def test_packing(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARD", 40)
     r = random.Random(9)
     rows = [(1, None), (2, ""), (3, "x"), (3, "x"), (None, "null id"), (5, "word " * 3000), (6, "<|endoftextish|>  double  blanks\n\n")]
+    rows += [(7, "x <|endoftext|> y"), (8, "<|endoftext|>"), (9, "<|endoftext|><|endoftext|> a  <|endoftext|>\n<|endoftext|>z <|endof text|>")]
     rows += [(10 + i, " ".join(f"t{r.randrange(200)}" for _ in range(r.randint(0, 900)))) for i in range(120)]
-    check_packing(rows, packing.pack(frame(spark, rows), PATH, PATTERN).withColumn("crc", F.crc32("ids")).collect())
-    assert packing.pack(frame(spark, []), PATH, PATTERN).count() == 0
+    check_packing(rows, packing.pack(frame(spark, rows).withColumn("content", F.lit(1)), PATH, PATTERN, ADDED).withColumn("crc", F.crc32("ids")).collect())
+    assert packing.pack(frame(spark, []), PATH, PATTERN, ADDED).count() == 0
 
 
 def test_retrieval_prefers_lexical_neighbours():
     docs = [np.array([1, 2, 3, 4] * 100), np.array([9, 8, 7] * 100), np.array([1, 2, 3] * 100)]
     idf = np.ones(10)
-    assert packing.Index(docs, idf).scores(np.array([1, 2, 3])).argmax() in (0, 2)
+    index = packing.Index(docs, idf)
+    assert index.scores(np.array([1, 2, 3])).argmax() in (0, 2)
     first = packing.fill(docs, idf, 1024)[0]
     assert [d for d, _, _ in first][:2] == [0, 2]
 
 
+def test_scores_are_bm25():
+    r = random.Random(2)
+    docs = [np.array([r.randrange(60) if r.random() < 0.5 else r.randrange(3) for _ in range(r.randint(1, 40))]) for _ in range(50)]
+    idf = np.random.default_rng(1).random(60)
+    index = packing.Index(docs, idf)
+    mean = sum(map(len, docs)) / len(docs)
+    for seed in docs[:10]:
+        want = [sum(idf[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(d) / mean)) for t, n in Counter(d.tolist()).items() if t in seed) for d in docs]
+        assert np.allclose(index.scores(np.unique(seed)), want, rtol=1e-4)
+
+
+def test_depths_follow_the_common_prefixes():
+    r = random.Random(15)
+    keys = np.array(sorted([r.randrange(2), *(r.randrange(2) for _ in range(minhash.DEPTH))] for _ in range(300)), np.uint32)
+    hashes, sizes, edge, depth = minhash.depths(keys, 20)
+    rows = [tuple(k) for k in keys.tolist()]
+    for i, k in enumerate(rows):
+        n = [sum(x[: d + 1] == k[: d + 1] for x in rows) for d in range(minhash.LEAST, minhash.DEPTH + 1)]
+        assert sizes[:, i].tolist() == n
+        at = [k[: d + 1] in (rows[0][: d + 1], rows[-1][: d + 1]) for d in range(minhash.LEAST, minhash.DEPTH + 1)]
+        assert edge[:, i].tolist() == at
+        fit = [d for d, x in enumerate(n) if x <= 20]
+        assert depth[i] == (minhash.DEPTH + 1 if not fit else 0 if at[fit[0]] else minhash.LEAST + fit[0])
+
+
 def brute_nearest(rows, k=20):
     ok = [(i, v) for i, v in rows if i is not None and v is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v) and len(v) == 8]
     out = {}
@@ -276,15 +304,38 @@ def test_language_model(spark, monkeypatch):
 
 def test_tree_is_a_distribution_and_beats_its_root(spark):
     r = random.Random(12)
-    texts = [" ".join(r.choice(["abra", "cadabra", "hocus", "pocus"]) for _ in range(40)).encode() for _ in range(200)]
-    keys, n = suffix_tree._counted(suffix_tree._stream(texts[:150])[0])
-    counts = spark.createDataFrame([(0, int(k), int(m)) for k, m in zip(keys.view(np.int64), n, strict=True)], "kind byte, key long, n long")
-    tree = suffix_tree.grow(counts)
-    for context in (b"\n\n\n\n\n\n", b"abra c", b"zzzzzz"):
-        base = np.uint64(int.from_bytes(context, "big") << 8)
-        assert abs((10 ** tree.score(base | np.arange(256, dtype=np.uint64))).sum() - 1) < 1e-9
-    held = suffix_tree._stream(texts[150:])[0]
-    assert tree.score(held).mean() > 2 * tree.root[(held & np.uint64(255)).astype(int)].mean()
+    words = Counter(r.choice([b"abra", b"cadabra", b"hocus", b"pocus"]) for _ in range(4000))
+    contexts = [b"      ", b"  abra", b"zzzzzz", b"hocus"[-3:].rjust(6)]
+    asked = {int.from_bytes(c + bytes([x]), "big"): 0 for c in contexts for x in range(256)}
+    for w, n in words.items():
+        for k in suffix_tree._strings([w])[0].tolist():
+            asked[k] = asked.get(k, 0) + n
+    # What the tree also has to hold: every symbol after every suffix.
+    tree = {x.key: x for x in suffix_tree.grow(spark.createDataFrame(list(asked.items()), "key long, n long")).collect()}
+    for c in contexts:
+        own = [tree[int.from_bytes(c + bytes([x]), "big")] for x in range(256)]
+        assert abs(sum(x.p for x in own) - 1) < 1e-9
+    assert tree[int.from_bytes(b"  abra ", "big")].state >= 2 and tree[int.from_bytes(b"zzzzzza", "big")].state == 0
+    assert tree[int.from_bytes(b"  hocus", "big")].p > 0.9
+
+
+def test_words_of_any_length_and_blocks(spark, monkeypatch):
+    """A word's score is the product over its symbols, whatever the blocks."""
+    monkeypatch.setattr(suffix_tree, "WORDS", 7)
+    monkeypatch.setattr(suffix_tree, "FREQUENT", 3)
+    r = random.Random(14)
+    rows = [(i, " ".join("".join(r.choice("abc") for _ in range(r.choice([1, 2, 3, 9]))) for _ in range(r.randint(0, 40)))) for i in range(80)] + [(900, "x" * 50_000)]
+    got = {x.doc_id: x for x in suffix_tree.score(frame(spark, rows)).collect()}
+    held = {d for d, _ in rows if zlib.crc32(str(d).encode()) % 7 == 2}
+    counts, ends = Counter(w for d, t in rows if d not in held for w in t.encode().split()), len(rows) - len(held)
+    strings = [(k, n) for w, n in [*counts.items(), (b"\n", ends), *((w, 0) for d, t in rows if d in held for w in t.encode().split())] for k in suffix_tree._strings([w])[0].tolist()]
+    total = Counter()
+    for k, n in strings:
+        total[k] += n
+    tree = {x.key: math.log10(x.p) for x in suffix_tree.grow(spark.createDataFrame(list(total.items()), "key long, n long")).collect()}
+    for d, t in rows:
+        want = sum(tree[k] for w in [*t.encode().split(), b"\n"] for k in suffix_tree._strings([w])[0].tolist())
+        assert abs(got[d].score - want) < 1e-6 * max(1, abs(want))
 
 
 def test_pipeline_stages(spark):
