@@ -74,7 +74,7 @@ def graphemes(c: Column) -> Column:
 
 def bound(c: Column, most: int = MAX_GRAPHEMES) -> Column:
     """The first graphemes of a text; short texts are recognised by their code points alone."""
-    cut = F.array_join(F.slice(F.regexp_extract_all(c, F.lit(r"\X"), F.lit(0)), 1, most), "")
+    cut = F.regexp_extract(c, rf"\A(\X{{0,{most}}}+)", 1)
     return F.when(F.length(c) <= most, c).otherwise(F.regexp_replace(cut, f"{SPACE}+$", ""))
 
 

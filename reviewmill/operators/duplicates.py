@@ -62,6 +62,22 @@ def _alike(ids: list, texts: list[str], side: np.ndarray, threshold: float) -> I
                 yield (min(x, y), max(x, y), float(dice[j]))
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Each pair of blocks, from batches sorted by pair; its rows are bounded, so what is carried over is too."""
+    rest = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+        if not t.num_rows:
+            continue
+        pair = t.column("pair").to_numpy()
+        cuts = [0, *(np.flatnonzero(pair[1:] != pair[:-1]) + 1).tolist()]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield t.slice(a, b - a)
+        rest = t.slice(cuts[-1])
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
 def similarity_pairs(reviews: DataFrame, key: str = "author_key", threshold: float = THRESHOLD) -> DataFrame:
     """(key, left, right, similarity) with left < right: 2 * shared / (all bigrams of both), at least the threshold.
 
@@ -77,16 +93,19 @@ def similarity_pairs(reviews: DataFrame, key: str = "author_key", threshold: flo
     blocks = dealt.select("k", "band", "part").distinct()
     near = blocks.select("k", F.col("band").alias("x"), F.col("part").alias("px"), F.explode(F.array("band", F.col("band") + 1)).alias("y"))
     two = near.join(blocks.select("k", F.col("band").alias("y"), F.col("part").alias("py")), ["k", "y"]).where("x < y OR px <= py")
-    left = dealt.join(two.withColumnsRenamed({"x": "band", "px": "part"}), ["k", "band", "part"]).select("k", F.col("band").alias("x"), F.col("part").alias("px"), "y", "py", "id", "t", F.lit(0).alias("side"))
-    right = dealt.join(two.where("x < y OR px < py").withColumnsRenamed({"y": "band", "py": "part"}), ["k", "band", "part"]).select("k", "x", "px", F.col("band").alias("y"), F.col("part").alias("py"), "id", "t", F.lit(1).alias("side"))
-
-    def compare(group: pa.Table) -> pa.Table:
-        rows = list(_alike(group.column("id").to_pylist(), group.column("t").to_pylist(), group.column("side").to_numpy(), threshold))
-        ids = group.schema.field("id").type
-        name = pa.array([group.column("k")[0].as_py()] * len(rows), group.schema.field("k").type)
-        return pa.Table.from_arrays([name, pa.array([r[0] for r in rows], ids), pa.array([r[1] for r in rows], ids), pa.array([r[2] for r in rows], pa.float64())], names=["k", "left", "right", "similarity"])
-
-    found = left.union(right).groupBy("k", "x", "px", "y", "py").applyInArrow(compare, f"k {key_kind}, left {kind}, right {kind}, similarity double").distinct()
+    two = two.withColumn("pair", F.xxhash64("k", "x", "px", "y", "py"))
+    left = dealt.join(two.withColumnsRenamed({"x": "band", "px": "part"}), ["k", "band", "part"]).select("pair", "k", "id", "t", F.lit(0).alias("side"))
+    right = dealt.join(two.where("x < y OR px < py").withColumnsRenamed({"y": "band", "py": "part"}), ["k", "band", "part"]).select("pair", "k", "id", "t", F.lit(1).alias("side"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            rows = list(_alike(group.column("id").to_pylist(), group.column("t").to_pylist(), group.column("side").to_numpy(), threshold))
+            ids = group.schema.field("id").type
+            name = pa.array([group.column("k")[0].as_py()] * len(rows), group.schema.field("k").type)
+            yield pa.RecordBatch.from_arrays([name, pa.array([r[0] for r in rows], ids), pa.array([r[1] for r in rows], ids), pa.array([r[2] for r in rows], pa.float64())], names=["k", "left", "right", "similarity"])
+
+    sides = left.union(right).repartition("pair").sortWithinPartitions("pair")
+    found = sides.mapInArrow(compare, f"k {key_kind}, left {kind}, right {kind}, similarity double").distinct()
     # Texts too short for a bigram are alike only if equal.
     tiny = folded.where("size = 0").select("k", "id", "t")
     equal = tiny.select("k", F.col("id").alias("left"), "t").join(tiny.select("k", F.col("id").alias("right"), "t"), ["k", "t"]).where("left < right").select("k", "left", "right", F.lit(1.0).alias("similarity"))
