@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by a forest of random-projection trees.
 
-The forest is fitted on a bounded sample of the vectors (SAMPLE, those of smallest
-hash) and indexes every one. A query walks all trees through one priority queue,
-nearest hyperplanes first, until it has its share of the leaves; the vectors of those leaves are
+The forest's upper planes are fitted on a bounded sample of the vectors (SAMPLE, those of smallest
+hash); it indexes every one. Its depth follows from the number of vectors, so that a leaf
+holds about LEAF of them at any size: below the planes that the sample can place, planes of random directions
+go through the mean of the sample's leaf. A query walks all trees through one priority queue,
+nearest planes first, until it has seen about EFFORT * n^(2/3) of n vectors; the vectors of those leaves are
 ranked by exact inner products in double precision: first those of the leaf that each tree
 has for the query, then of the others those that score no less than the K + 1 best so far. Inner products become angles by one
 more coordinate that gives every indexed vector the same length.
@@ -20,6 +22,7 @@ fewer candidates than K are all returned; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,29 +35,35 @@ from .common import staged
 
 K = 20
 TREES = 8
-#: Vectors in a leaf, about, until a tree has 2^DEPTH leaves; from there leaves grow with the table and are read in parts.
-LEAF, DEPTH = 1024, 6
-#: Leaves that a query visits: this share of the forest's, and so many at least. On vectors without any clusters in 64
-#: dimensions a share of 0.15 finds 0.97 of the true neighbours; clustered vectors need less.
-SHARE, LEAVES = 0.15, 24
+#: Vectors in a leaf, about.
+LEAF = 64
+#: A query sees this times n^(2/3) of n vectors, counted once for each tree. On vectors without any clusters in 64 dimensions this finds over
+#: 0.9 of the true neighbours at 50,000 vectors and at 400,000; clustered vectors need less.
+EFFORT = 26
 SAMPLE = 20_000
-#: Sample vectors in a leaf, at least; so the forest's size is bounded by the sample's.
+#: Sample vectors in a leaf of the upper trees, at least; so their size is bounded by the sample's.
 LEAST = 12
-PART, QUERIES = 4096, 1024
+#: Adjacent leaves that a task takes together, as 2^CELL, and the vectors and queries of such a cell that it takes at most.
+CELL, PART, QUERIES = 4, 4096, 4096
 
 
 class Forest:
-    """Complete binary trees: hyperplanes of node i lead to 2i + 1 (below) and 2i + 2."""
+    """Complete binary trees: planes of node i lead to 2i + 1 (below) and 2i + 2; the leaves of the upper trees have ``more`` levels below them."""
 
     def __init__(self, sample: np.ndarray, reach: float, depth: int, trees: int = TREES, seed: int = 11):
         r = np.random.default_rng(seed)
         self.reach, self.depth, self.trees = reach, depth, trees
         x = self.lifted(sample)
-        self.normals = np.zeros((trees, (1 << depth) - 1, x.shape[1]), np.float32)
-        self.cuts = np.zeros((trees, (1 << depth) - 1), np.float32)
+        self.top = top = min(depth, max(0, (len(x) // LEAST).bit_length() - 1))
+        self.more = depth - top
+        self.normals = np.zeros((trees, (1 << top) - 1, x.shape[1]), np.float32)
+        self.cuts = np.zeros((trees, (1 << top) - 1), np.float32)
+        self.means = np.zeros((trees, 1 << top, x.shape[1]), np.float32)
+        self.below = r.normal(size=(trees, self.more, x.shape[1])).astype(np.float32)
+        self.below /= np.maximum(np.linalg.norm(self.below, axis=2, keepdims=True), 1e-9)
         for t in range(trees):
             own = [np.arange(len(x))]
-            for i in range((1 << depth) - 1):
+            for i in range((1 << top) - 1):
                 rows = own[i]
                 n = r.normal(size=x.shape[1])
                 if len(rows) >= 2:  # between two of its vectors, so that planes follow the data
@@ -66,6 +75,9 @@ class Forest:
                 cut = float(np.median(side)) if len(rows) else 0.0
                 self.normals[t, i], self.cuts[t, i] = n, cut
                 own += [rows[side <= cut], rows[side > cut]]
+            for j, rows in enumerate(own[(1 << top) - 1 :]):
+                if len(rows):
+                    self.means[t, j] = x[rows].mean(0)
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(0.0, self.reach**2 - (x.astype(float) ** 2).sum(1)))
@@ -77,27 +89,39 @@ class Forest:
         out = np.zeros((len(x), self.trees), np.int64)
         for t in range(self.trees):
             node = np.zeros(len(x), np.int64)
-            for _ in range(self.depth):
+            for _ in range(self.top):
                 node = 2 * node + 1 + ((x * self.normals[t, node]).sum(1) > self.cuts[t, node])
-            out[:, t] = (t << self.depth) + node - ((1 << self.depth) - 1)
+            leaf = upper = node - ((1 << self.top) - 1)
+            for n in self.below[t]:
+                leaf = 2 * leaf + (((x - self.means[t, upper]) @ n) > 0)
+            out[:, t] = (t << self.depth) + leaf
         return out
 
     def search(self, q: np.ndarray, wanted: int) -> list[int]:
         """Leaves for one query, through a queue that all trees share: the smallest distance to the wrong side of a plane last."""
-        first = (1 << self.depth) - 1
-        if not first:
-            return list(range(self.trees))
+        first = (1 << self.top) - 1
+        if not self.depth:
+            return [0]  # all vectors are in every tree's one leaf
         q = np.append(q, 0.0).astype(np.float32)
         side = self.normals @ q - self.cuts
-        queue, out = [(-np.inf, t, 0) for t in range(self.trees)], []
+        # (distance, tree, node; or the leaf reached so far and its level below the upper trees)
+        queue, out = [(-np.inf, t, 0, -1, 0) for t in range(self.trees)], []
         while queue and len(out) < wanted:
-            far, t, i = heapq.heappop(queue)
-            while i < first:
+            far, t, i, leaf, level = heapq.heappop(queue)
+            while i < first and leaf < 0:
                 s = float(side[t, i])
                 near, other = (2 * i + 2, 2 * i + 1) if s > 0 else (2 * i + 1, 2 * i + 2)
-                heapq.heappush(queue, (max(far, abs(s)), t, other))
+                heapq.heappush(queue, (max(far, abs(s)), t, other, -1, 0))
                 i = near
-            out.append((t << self.depth) + i - first)
+            if leaf < 0:
+                leaf = i - first
+            if level < self.more:
+                sides = (self.below[t] @ (q - self.means[t, leaf >> level])).tolist()
+                for k in range(level, self.more):
+                    b = int(sides[k] > 0)
+                    heapq.heappush(queue, (max(far, abs(sides[k])), t, i, 2 * leaf + 1 - b, k + 1))
+                    leaf = 2 * leaf + b
+            out.append((t << self.depth) + leaf)
         return out
 
 
@@ -119,7 +143,7 @@ def classes_of(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
-def nearest(table: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, trees: int = TREES, leaf: int = LEAF, share: float = SHARE, sample: int = SAMPLE) -> DataFrame:
+def nearest(table: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, trees: int = TREES, leaf: int = LEAF, effort: float = EFFORT, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of table where queries holds, its k nearest other rows."""
     kinds = dict(table.dtypes)
     kind = kinds[id_col]
@@ -133,9 +157,8 @@ def nearest(table: DataFrame, queries: Column, id_col: str = "vec_id", vector_co
     some = classes.orderBy(F.xxhash64("cid"), "cid").limit(sample).select("v").toArrow().column("v").combine_chunks()
     some = some.combine_chunks() if isinstance(some, pa.ChunkedArray) else some
     x = _matrix(some)
-    most = max(1, min(-(-number // leaf), len(x) // LEAST))
-    depth = min(DEPTH, (most - 1).bit_length())
-    leaves = max(LEAVES, int(np.ceil(share * (trees << depth))))
+    depth = (max(1, -(-number // leaf)) - 1).bit_length()
+    leaves = max(trees, math.ceil(effort * number ** (2 / 3) * (1 << depth) / max(1, number)))
     forest = table.sparkSession.sparkContext.broadcast(Forest(x, reach, depth, trees))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,35 +179,46 @@ def nearest(table: DataFrame, queries: Column, id_col: str = "vec_id", vector_co
     schema = f"leaf long, cid {kind}, v {kinds[vector_col]}"
     members = classes.select("cid", "v").mapInArrow(index, schema)
     seekers = classes.join(asking.select("cid").distinct(), "cid", "left_semi").select("cid", "v").mapInArrow(search, f"{schema}, own boolean")
-    parts = lambda df, n, name: df.groupBy("leaf").agg(F.ceil(F.count("*") / n).cast("int").alias(name))
-    cut = parts(members, PART, "mp").join(parts(seekers, QUERIES, "qp"), "leaf")
-    deal = lambda df, own, n, other, m, *more: df.join(cut, "leaf").select("leaf", "cid", "v", *more, F.pmod(F.xxhash64("cid"), n).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(m) - 1)).alias(other))
+    # A cell stays inside its tree, so that a query and a vector meet there once.
+    members, seekers = (df.withColumn("cell", F.shiftright("leaf", min(CELL, depth))) for df in (members, seekers))
+    parts = lambda df, n, name: df.groupBy("cell").agg(F.ceil(F.count("*") / n).cast("int").alias(name))
+    cut = parts(members, PART, "mp").join(parts(seekers, QUERIES, "qp"), "cell")
+    deal = lambda df, own, n, other, m, *more: df.join(cut, "cell").select("cell", "leaf", "cid", "v", *more, F.pmod(F.xxhash64("cid"), n).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(m) - 1)).alias(other))
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The k + 1 best that each query of a cell meets in its leaves there."""
         a, b = _matrix(left.column("v").combine_chunks()).astype(float), _matrix(right.column("v").combine_chunks()).astype(float)
         qid, cid = left.column("cid").combine_chunks(), right.column("cid").combine_chunks()
         if not len(a) or not len(b):
             return pa.Table.from_arrays([qid.slice(0, 0), cid.slice(0, 0), pa.array([], pa.float64())], names=["q", "c", "score"])
-        score, floor = a @ b.T, left.column("floor").to_numpy()
-        by_id = pa.compute.rank(cid).to_numpy()
-        rows, cols = [], []
-        for i, s in enumerate(score):
-            least = floor[i] - abs(floor[i]) * 1e-9  # products may differ in the last bits from leaf to leaf
-            if len(s) > k + 1:  # ties at the edge stay in sight
-                least = max(least, np.partition(s, len(s) - k - 1)[len(s) - k - 1])
-            at = np.flatnonzero(s >= least)
-            at = at[np.lexsort((by_id[at], -s[at]))][: k + 1]
-            rows += [i] * len(at)
-            cols += at.tolist()
-        rows, cols = np.array(rows, np.int64), np.array(cols, np.int64)  # none at all, where the floor is above all
-        return pa.Table.from_arrays([qid.take(pa.array(rows)), cid.take(pa.array(cols)), pa.array(score[rows, cols])], names=["q", "c", "score"])
+        asks, has, floor = left.column("leaf").to_numpy(), right.column("leaf").to_numpy(), left.column("floor").to_numpy()
+        floor = floor - np.where(np.isfinite(floor), np.abs(floor), 0) * 1e-9  # products may differ in the last bits from leaf to leaf
+        rows, cols, scores = [], [], []
+        for leaf in np.intersect1d(asks, has).tolist():
+            at, to = np.flatnonzero(asks == leaf), np.flatnonzero(has == leaf)
+            score = a[at] @ b[to].T
+            least = floor[at]
+            if len(to) > k + 1:  # ties at the edge stay in sight
+                least = np.maximum(least, np.partition(score, len(to) - k - 1, axis=1)[:, len(to) - k - 1])
+            i, j = np.nonzero(score >= least[:, None])
+            rows.append(at[i])
+            cols.append(to[j])
+            scores.append(score[i, j])
+        rows, cols, scores = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((rows, np.int64), (cols, np.int64), (scores, float)))
+        # A query stands here once for each of its leaves.
+        order = np.lexsort((pa.compute.rank(cid).to_numpy()[cols], -scores, of := pa.compute.rank(qid, tiebreaker="dense").to_numpy()[rows]))
+        of = of[order]
+        start = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.empty(0, np.int64)
+        place = np.arange(len(of)) - np.repeat(start, np.diff(np.append(start, len(of))))
+        order = order[place <= k]
+        return pa.Table.from_arrays([qid.take(pa.array(rows[order])), cid.take(pa.array(cols[order])), pa.array(scores[order])], names=["q", "c", "score"])
 
     held = deal(members, "mi", F.col("mp"), "qi", "qp")
 
     def ranked(asked: DataFrame) -> DataFrame:
         """(q, c, score); a candidate met in several leaves may differ in the last bit there: one value for it."""
         own = deal(asked, "qi", F.col("qp"), "mi", "mp", "floor")
-        pairs = own.groupBy("leaf", "mi", "qi").cogroup(held.groupBy("leaf", "mi", "qi")).applyInArrow(rank, f"q {kind}, c {kind}, score double")
+        pairs = own.groupBy("cell", "mi", "qi").cogroup(held.groupBy("cell", "mi", "qi")).applyInArrow(rank, f"q {kind}, c {kind}, score double")
         return pairs.groupBy("q", "c").agg(F.max("score").alias("score"))
 
     first = ranked(seekers.where("own").withColumn("floor", F.lit(float("-inf"))))
