@@ -2,21 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NEWEST = (F.desc_nulls_last, F.desc_nulls_last, F.asc)
 OLDEST = (F.asc_nulls_first, F.asc_nulls_first, F.desc)
 
 
+def _orders(oldest: bool) -> list[Column]:
+    return [f(c) for f, c in zip(OLDEST if oldest else NEWEST, ("date", "first_seen", "id"), strict=True)]
+
+
 def ranked(reviews: DataFrame, *by: str, oldest: bool = False) -> DataFrame:
-    """position within the listing: date, first seen, id; oldest first is the exact reverse."""
-    order = [f(c) for f, c in zip(OLDEST if oldest else NEWEST, ("date", "first_seen", "id"), strict=True)]
-    return reviews.withColumn("position", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    """position within the listing: date, first seen, id; oldest first is the exact reverse.
+
+    A date's rows are numbered by themselves, after the number of rows of all dates before it, so that a busy listing is spread over its dates.
+    """
+    order = _orders(oldest)
+    day = {"_no_date": F.col("date").isNull(), "_date": F.coalesce(F.col("date").cast("string"), F.lit(""))}
+    keys = [*by, *day]
+    earlier = Window.partitionBy(*by).orderBy(order[0]).rowsBetween(Window.unboundedPreceding, -1)  # over a listing's dates
+    counts = reviews.withColumns(day).groupBy(*keys, "date").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_before")
+    own = F.row_number().over(Window.partitionBy(*keys).orderBy(*order[1:]))
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
+    placed = reviews.withColumns(day).join(counts, same).withColumn("position", (F.col("_before") + own).cast("int"))
+    return placed.drop("_before", *day, *(f"_k{i}" for i in range(len(keys))))
 
 
 def latest(reviews: DataFrame, *by: str, k: int = 20) -> DataFrame:
-    return ranked(reviews, *by).where(F.col("position") <= k)
+    # Only the first k of each listing leave a task.
+    return reviews.withColumn("position", F.row_number().over(Window.partitionBy(*by).orderBy(*_orders(False)))).where(F.col("position") <= k)
 
 
 def page_number(position, size: int = 10):
