@@ -23,7 +23,7 @@ from .boosting import Boosted, fit
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 #: Different labelled urls that train the trees, at most.
 SAMPLE = 20_000
-#: Suffixes with statistics of their own, at most; the commonest of the sample.
+#: Suffixes with statistics of their own, at most; the commonest of all labelled urls.
 SUFFIXES = 64
 
 
@@ -57,7 +57,7 @@ def features(url: Column, host: Column, path: Column) -> dict[str, Column]:
     u = F.coalesce(url, F.lit(""))
     letters = F.regexp_replace(F.lower(host), r"[^a-z0-9.-]", "")
     n = F.greatest(F.length(host), F.lit(1))
-    share = [(F.length(letters) - F.length(F.replace(letters, F.lit(ch), F.lit("")))) / n for ch in "aeiounrsthld.-0123"]
+    share = [(F.length(letters) - F.length(F.replace(letters, F.lit(ch), F.lit("")))) / n for ch in "abcdefghijklmnopqrstuvwxyz0123456789.-"]
     entropy = sum((F.when(p > 0, -p * F.log2(p)).otherwise(0.0) for p in share), F.lit(0.0))
     query = F.regexp_extract(u, r"(?s)\?([^#]*)", 1)
     parts = F.size(F.split(host, r"\."))
@@ -83,22 +83,21 @@ def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rule
 
 
 def train(rows: DataFrame, sample: int = SAMPLE) -> tuple[Boosted, dict[str, float]]:
-    """Trees and suffix statistics (the smoothed share of blocked urls) from the urls that a rule labels."""
+    """Trees, from a sample, and suffix statistics (the smoothed share of blocked urls), from all urls that a rule labels."""
     own = features(F.col("url"), F.col("host"), F.col("path"))
-    labelled = rows.where(F.col("said").isNotNull()).withColumn("h", F.xxhash64("url"))
+    labelled = rows.where(F.col("said").isNotNull()).withColumns({"h": F.xxhash64("url"), "y": (F.col("said") == "block").cast("int")})
+    all_ = labelled.agg(F.avg("y").alias("prior")).first()
+    prior = float(all_["prior"] or 0.0)
+    suffixes = labelled.groupBy(suffix_of(F.col("host")).alias("suffix")).agg(F.count("*").alias("n"), F.sum("y").alias("blocked")).orderBy(F.desc("n"), "suffix").limit(SUFFIXES).collect()
+    shares = {r["suffix"]: (r["blocked"] + 10 * prior) / (r["n"] + 10) for r in suffixes} | {"": prior}
     # Hashes are even, so a share of their range holds that share of the urls, about: twice the sample is set apart before any sorting.
     number = labelled.agg(F.approx_count_distinct("h", 0.02).alias("n")).first()["n"]
     top = min(2**63 - 1, 2 * sample * 2**64 // max(1, number) - 2**63)
     labelled = labelled.where(F.col("h") <= top).select("url", "host", "path", "said", "h").distinct().orderBy("h", "url").limit(sample)
-    got = labelled.select((F.col("said") == "block").cast("int").alias("y"), suffix_of(F.col("host")).alias("suffix"), *(c.alias(k) for k, c in own.items())).collect()
+    got = labelled.withColumn("y", (F.col("said") == "block").cast("int")).select("y", suffix_of(F.col("host")).alias("suffix"), *(c.alias(k) for k, c in own.items())).collect()
     if not got:
         return Boosted([*own, "suffix_share"]), {}
     y = np.array([r["y"] for r in got], float)
-    prior, of = y.mean(), {}
-    for r in got:
-        of.setdefault(r["suffix"], []).append(r["y"])
-    common = sorted(of, key=lambda s: (-len(of[s]), s))[:SUFFIXES]
-    shares = {s: (sum(of[s]) + 10 * prior) / (len(of[s]) + 10) for s in common} | {"": prior}
     x = np.array([[r[k] for k in own] + [shares.get(r["suffix"], prior)] for r in got], float)
     return fit([*own, "suffix_share"], x, y), shares
 

@@ -98,6 +98,13 @@ def test_near_duplicates_in_a_crowded_region(spark, monkeypatch):
     assert got == components(rows)
 
 
+def test_near_duplicates_of_very_long_texts(spark):
+    long = [f"w{k}" for k in range(30_000)]
+    rows = [(1, " ".join(long)), (2, " ".join([*long[:-900], *(f"x{k}" for k in range(900))])), (3, " ".join(long[:15_000])), (4, "y" * 80_000)]
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == components(rows)
+
+
 def test_near_duplicates_edges(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (4, "q r s t u v w"), (4, "a b c d e f"), (7, "q r s t u v w")]

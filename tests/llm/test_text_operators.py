@@ -1,9 +1,11 @@
 """Quality rules, personal data, BPE, HTML and URLs against plain brute force."""
 
 import hashlib
+import math
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -130,6 +132,55 @@ def test_html_keeps_short_parts_of_marked_and_loose_pages():
     assert html_text.main_text(loose).split("\n") == [x.strip() for x in [*paragraphs, long * 20]]
 
 
+def random_page(r, marked):
+    """(html, the article's text): an article among everything that is none of it, some of it inside the article."""
+    words = lambda a, b: " ".join("".join(r.choice("etaoinshrdlu") for _ in range(r.randint(1, 9))) for _ in range(r.randint(a, b)))
+    inline = lambda t: t if r.random() < 0.5 else f"<b>{t}</b>" if r.random() < 0.5 else f"<a href='x'><i>{t}</i></a>"
+    noise = [
+        lambda: f"<div class='ad'>{words(3, 20)}</div>", lambda: f"<form><label>{words(1, 4)}</label><input></form>", lambda: f"<aside><p>{words(5, 30)}</p></aside>", lambda: f"<script>var a = '<p>{words(3, 9)}</p>';</script>",
+        lambda: f"<div id=cookie-notice>{words(5, 15)}<button>ok</button></div>", lambda: "<!-- <p>hidden</p> -->", lambda: f"<style>p {{ content: '{words(2, 5)}' }}</style>", lambda: f"<nav><a href=/>{words(1, 2)}</a></nav>",
+    ]
+    blocks, out = [words(3, 8)], ["<h1>" + "{0}</h1>"]
+    for k in range(r.randint(2, 25)):
+        blocks.append(words(8, 90) + (" &amp; more" if r.random() < 0.2 else "") if k % 4 else words(1, 60))
+        out.append(f"<p>{{{k + 1}}}" + ("</p>" if r.random() < 0.7 else ""))
+        if marked and r.random() < 0.15:
+            out.append(r.choice(noise)().replace("{", "{{").replace("}", "}}"))
+    body = "".join(out).format(*map(inline, blocks))
+    around = lambda n: "".join(r.choice(noise)() for _ in range(n))
+    tag = r.choice(["article", "main"]) if marked else "div"
+    menu = "<nav><ul>" + "".join(f"<li><a href=/{k}>{words(1, 1)}</a></li>" for k in range(6)) + "</ul></nav>"
+    html = f"<!DOCTYPE html><html><head><title>{words(2, 5)}</title></head><body><header>{words(2, 6)}</header>{menu}{around(3)}<{tag}>{body}</{tag}>{around(2)}<section id=comments><p>{words(5, 60)}</p></section><footer>&copy; {words(2, 9)}</footer></body></html>"
+    return html, "\n".join(b.replace("&amp;", "&") for b in blocks)
+
+
+def test_html_against_pages_of_known_text():
+    r = random.Random(21)
+    for _ in range(150):
+        html, text = random_page(r, True)
+        assert html_text.main_text(html) == text
+    found = total = extra = 0
+    for _ in range(150):
+        html, text = random_page(r, False)
+        got, want = html_text.main_text(html).split("\n"), text.split("\n")
+        found, total, extra = found + sum(len(x) for x in want if x in got), total + sum(map(len, want)), extra + sum(len(x) for x in got if x not in want)
+    assert found >= 0.97 * total and extra <= 0.02 * total
+
+
+def test_html_ratios_by_definition():
+    r = random.Random(22)
+    for _ in range(50):
+        x = np.array([r.choice([0.0, r.random(), 5 * r.random()]) for _ in range(r.randint(1, 40))])
+        weight = lambda d: math.exp(-d * d / 8) if abs(d) <= 6 else 0.0
+        want = [sum(weight(i - j) * x[j] for j in range(len(x))) / sum(weight(i - j) for j in range(len(x))) for i in range(len(x))]
+        assert np.allclose(html_text.smoothed(x), want)
+        if x.max() > 0:
+            cut = html_text.threshold(x)
+            high = x[x >= cut]
+            assert len(high) and abs(high.mean() / 2 - cut) < 1e-12  # each value is nearer to its own cluster's centre
+    assert html_text.main_text("<article><p>" + "very long " * 60_000 + "</p></article>") == ("very long " * 60_000).strip()
+
+
 def brute_rule(url):
     host = path = ""
     if url is not None and "://" in url:
@@ -141,9 +192,9 @@ def brute_rule(url):
 
 
 def test_urls(spark):
-    given = [None, "", "no scheme", "http://", "http://a.com", "https://WWW.Example.com/en/x?a=1#f", "http://blog.example.com/en/1", "http://xexample.com/en/1", "http://a.net/es/1", "http://a.net/fr", "http://a.net/fr/\n?x", "http://b.org/en", "ftp://a:80/x://y", "http://net/es/"]
+    given = [None, "", "no scheme", "http://", "http://a.com", "https://WWW.Example.com/en/x?a=1#f", "http://blog.example.com/en/1", "http://xexample.com/en/1", "http://a.net/es/1", "http://a.net/fr", "http://a.net/fr/\n?x", "http://b.org/en", "ftp://a:80/x://y", "http://net/es/", "http://a.com/" + "x" * 60_000]
     rows = [(i, u) for i, u in enumerate(given)] + [(100 + i, f"http://adult{i % 3}.example.com/en/{i}") for i in range(60)] + [(300 + i, f"http://site{i % 7}.com/de/{i}") for i in range(60)]
-    got = {x.page_id: x for x in urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit(1))).collect()}
+    got = {x.page_id: x for x in urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string").withColumns({k: F.lit(1) for k in ("host", "path", "rule", "said", "h", "y", "blocked_probability")})).collect()}
     for i, u in rows:
         host, path, rule, said = brute_rule(u)
         assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule), u
