@@ -26,8 +26,10 @@ def reconcile(ledger: DataFrame, observed: DataFrame, harvests: DataFrame, denyl
 
     ledger: listing, id, content_hash, state, first_seen_at, last_seen_at, last_updated_at, revision, missing_streak,
     tombstoned_at, history. observed: listing, id, content_hash (one row of each). harvests: listing, now, completeness,
-    last_full_harvest_at. denylist: id.
+    last_full_harvest_at. denylist: id. A review is taken for removed after 2 to 10 complete harvests without it.
     """
+    if not 2 <= confirmations <= 10:
+        raise ValueError("confirmations must be 2 to 10")
     seen = observed.join(harvests.select("listing"), "listing", "left_semi").select("listing", "id", F.col("content_hash").alias("o_hash"), F.lit(True).alias("o"))
     known = ledger.withColumn("p", F.lit(True))
     j = known.join(seen, ["listing", "id"], "full_outer").join(harvests, "listing", "left").join(denylist.select("id", F.lit(True).alias("denied")).distinct(), "id", "left")

@@ -53,16 +53,3 @@ def gate(rows: DataFrame, limits: dict = GATE) -> DataFrame:
     found = findings(rules)
     decision = F.when(F.exists("reasons", lambda r: r["severity"] == "REJECT"), "REJECT").when(F.size("reasons") > 0, "ACCEPT_WITH_WARNINGS").otherwise("ACCEPT")
     return rows.withColumn("reasons", found).withColumn("decision", decision)
-
-
-def first_failure(checks: list[tuple[str, Column]]) -> Column:
-    """The name of the first check that fails, null if none does."""
-    out = F.lit(None).cast("string")
-    for name, failed in reversed(checks):
-        out = F.when(F.coalesce(failed, F.lit(False)), name).otherwise(out)
-    return out
-
-
-def limit_violations(values: DataFrame, limits: DataFrame) -> DataFrame:
-    """Rows (name, value) outside their floor or ceiling; a value is never clamped."""
-    return values.join(F.broadcast(limits), "name").where((F.col("value") < F.col("floor")) | (F.col("value") > F.col("ceiling")))

@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-TIERS = {"gold": 0, "silver": 1, "bronze": 2}
-
 
 def due(enabled: Column, paused: Column, last_run: Column, now: Column, cadence_h: Column, floor_h: Column) -> tuple[Column, Column]:
     """(due, reason)."""
