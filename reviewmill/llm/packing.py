@@ -1,9 +1,9 @@
 """Packing of documents into token sequences by lexical retrieval.
 
 A document is cut after each LENGTH tokens; whole cuts are sequences of their own.
-What is left of it is its tail. Tails are sorted by content (their rarest terms among
-those that at least SHARD tails hold) over the whole corpus, and each SHARD adjacent ones
-are a shard with a BM25 inverted index, weighted by document frequencies over all tails of
+What is left of it is its tail. Tails are dealt by content: by the rarest of their terms that at
+least SHARD tails hold (the commoner of these in several parts), sorted by that and their next rarest ones, and each SHARD
+adjacent ones are a shard with a BM25 inverted index, weighted by document frequencies over all tails of
 the corpus. Seeds are taken longest first; the index returns the unused tails nearest
 to a seed, which fill its window greedily, the last one cut to fit; the rest of that
 one stays unused. Only the last window of a shard can fall short: it is cut into powers
@@ -35,8 +35,8 @@ END = 0
 SHARD = 2048
 #: BM25.
 K1, B = 1.2, 0.75
-#: Terms that tails are sorted by, and partitions they are sorted into, at most; a partition holds many shards.
-KEYS, PARTITIONS = 4, 10_000
+#: Terms that tails are sorted by; shards in a partition, about, and partitions at most.
+KEYS, SHARDS, PARTITIONS = 4, 4, 10_000
 #: Neighbours looked at before the rest of the shard is sorted.
 FIRST = 48
 PIECE = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
@@ -55,8 +55,8 @@ class _Encoder:
     """Ids of many texts, as 32-bit numbers. What follows each blank is remembered; what a batch has anew is encoded in
     one call, as the vocabulary's pattern divides it at the blanks anyway."""
 
-    #: Remembered segments; about 130 MB. Over it, all is forgotten before the next batch.
-    MOST = 800_000
+    #: Remembered segments; about 100 MB. Over it, all is forgotten before the next batch.
+    MOST = 600_000
 
     def __init__(self, path: str, pattern: str, added: dict[str, int]):
         import tiktoken
@@ -68,10 +68,13 @@ class _Encoder:
             self.sizes[i] = len(token)
         self.known: dict[str, bytes] = {}
         self.added = {s: array("I", [i]).tobytes() for s, i in added.items()}
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def plain(self, s: str) -> bool:
+        return not any(a in s for a in self.added)
 
     def one(self, s: str) -> bytes:
-        if self.cut is None or not self.cut.search(s):
+        if self.plain(s):
             return array("I", self.encode(s)).tobytes()
         return b"".join(self.added[x] if k % 2 else array("I", self.encode(x)).tobytes() for k, x in enumerate(self.cut.split(s)))
 
@@ -89,7 +92,7 @@ class _Encoder:
             self.known.clear()
         get, out, open_ = self.known.get, [], []
         for t in texts:
-            if not divisible(t) or self.cut is not None and self.cut.search(t):
+            if not divisible(t) or not self.plain(t):
                 out.append(self.one(t))
                 continue
             first, *rest = t.split(" ")
@@ -189,12 +192,11 @@ class Index:
         """Each tail's score for these different terms, all of which the shard holds."""
         at = np.searchsorted(self.term, terms)
         row = self.row[at]
-        asked = np.zeros(len(self.dense), np.float32)
-        asked[row[row >= 0]] = 1
+        common = self.dense[row[row >= 0]].sum(0)
         at = at[row < 0]
         begin, size = self.begin[at], self.stop[at] - self.begin[at]
         place = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return (asked @ self.dense + np.bincount(self.doc[place], self.weight[place], self.n)).astype(np.float32)
+        return (common + np.bincount(self.doc[place], self.weight[place], self.n)).astype(np.float32)
 
 
 def _nearest(score: np.ndarray, n: int) -> Iterator[int]:
@@ -263,9 +265,12 @@ def pack(docs: DataFrame, path: str, pattern: str, added: dict[str, int] | None
     idf = np.zeros(max(1 << 16, int(max(got.column("term").to_pylist(), default=0)) + 1))
     n, term = got.column("n").to_numpy(), got.column("term").to_numpy()
     idf[term] = np.log1p((number - n + 0.5) / (n + 0.5))
-    sorts = np.zeros(len(idf), bool)
-    sorts[term] = n >= min(SHARD, number / 16)
-    known = docs.sparkSession.sparkContext.broadcast((idf, sorts))
+    # Sorting terms by place, rarest first, and in how many parts each one's tails are dealt.
+    sorting = np.flatnonzero(n >= min(SHARD, number / 16))
+    sorting = sorting[np.lexsort((term[sorting], n[sorting]))]
+    place, size = np.full(len(idf), len(idf), np.int64), SHARD * SHARDS
+    place[term[sorting]] = np.arange(len(sorting))
+    known = docs.sparkSession.sparkContext.broadcast((idf, place, -(-n[sorting] // size)))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 34
@@ -277,15 +282,17 @@ def pack(docs: DataFrame, path: str, pattern: str, added: dict[str, int] | None
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("length"), pa.array(ids, pa.binary()), batch.column("doc_tokens"), pa.array(sequence), pa.array(np.zeros(n, np.int64))], names=PIECE)
 
     def content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each tail with its rarest sorting terms, rarest first."""
-        idf, sorts = known.value
+        """Each tail with the part it is dealt to and its rarest sorting terms, rarest first."""
+        _, place, parts = known.value
         for batch in batches:
-            keys = []
+            keys, first = [], []
             for b, n in zip(batch.column("ids").to_pylist(), batch.column("length").to_pylist(), strict=True):
-                t = np.unique(_ids(b, n))
-                t = t[sorts[t]]
-                keys.append(t[np.argsort(-idf[t], kind="stable")[:KEYS]].astype(">u4").tobytes())
-            yield batch.append_column("content", pa.array(keys, pa.binary()))
+                own = np.unique(place[_ids(b, n)])[:KEYS]
+                keys.append(own[own < len(place)].astype(">u4").tobytes())
+                first.append(own[0])
+            first, h = np.array(first, np.int64), batch.column("h").to_numpy()
+            salt = np.where(first < len(place), h % parts[np.minimum(first, len(parts) - 1)] if len(parts) else 0, h)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary()), pa.array(first), pa.array(salt)], names=[*batch.schema.names, "content", "first", "part"])
 
     def shard(table: pa.Table, number: int) -> tuple[pa.RecordBatch, int]:
         """The pieces of a shard's sequences, which are numbered from number."""
@@ -325,8 +332,9 @@ def pack(docs: DataFrame, path: str, pattern: str, added: dict[str, int] | None
             yield shard(pa.Table.from_batches(held).combine_chunks(), number)[0]
 
     schema = f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    keyed = tails.mapInArrow(content, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, salt long, content binary").withColumn("h", F.xxhash64("doc_id", "salt", "ids"))
-    dealt = keyed.repartitionByRange(max(1, min(PARTITIONS, -(-number // SHARD))), "content", "h").sortWithinPartitions("content", "h")
+    hashed = tails.withColumn("h", F.xxhash64("doc_id", "salt", "ids"))
+    keyed = hashed.mapInArrow(content, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, salt long, h long, content binary, first long, part long")
+    dealt = keyed.repartition(max(1, min(PARTITIONS, -(-number // size))), "first", "part").sortWithinPartitions("content", "h")
     return cuts.where(F.col("length") == length).mapInArrow(whole, schema).union(dealt.mapInArrow(shards, schema)).withColumnRenamed("doc_id", id_col)
 
 
