@@ -478,6 +478,6 @@ def entity_decode(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.md5(text.decode_and_strip(F.col("html"))).alias("digest"))
 
 
-@query()
+@query("SELECT c_name AS target, list_reduce(list_concat([CAST(2166136261 AS BIGINT)], list_transform(string_split('run-1:' || c_name, ''), lambda x: CAST(unicode(x) AS BIGINT))), lambda h, c: (xor(h, c) * 16777619) & 4294967295) AS order_hash FROM customer")
 def seeded_order(spark, sf_dir):
     return schedule.seeded_order(table(spark, sf_dir, "customer").select(F.col("c_name").alias("target")), "run-1")
