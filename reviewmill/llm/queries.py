@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, minhash, neighbours, packing, pii, quality, repeats, suffix_tree, urls
+from . import bpe, centroids, divergence, html_text, lines, minhash, neighbours, packing, pii, quality, repeats, suffix_tree, urls
 from .common import table
 
 
@@ -58,8 +58,20 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_pii, op3_packing, op4_bpe, op5_neighbours, op6_suffix_tree, op7_minhash, op8_url_filter, op9_repeats, op10_html_text)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_pii, op3_packing, op4_bpe, op5_neighbours, op6_suffix_tree, op7_minhash, op8_url_filter, op9_repeats, op10_html_text, op11_line_dedup, op12_divergence, op13_centroids)}
 
 
 _OP1 = r"""
@@ -113,5 +125,69 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN root USING (doc_id)
 """
 
 
+_OP11 = r"""
+WITH l AS (
+  SELECT r, doc_id, k, ls[k] AS line FROM (SELECT r, doc_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
+), keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), repeated AS (
+  SELECT key, min(doc_id) AS keeper FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), marked AS (
+  SELECT r, keyed.doc_id, k, line, keeper IS NOT NULL AND keeper <> keyed.doc_id AS gone FROM keyed LEFT JOIN repeated USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256 FROM marked GROUP BY r
+"""
+
+
+_OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), t AS (
+  SELECT r, lang, source, unnest(ts) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS ln FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), sizes AS (
+  SELECT lang, count(*) AS v, sum(ln) AS ltotal FROM kept GROUP BY lang
+), own AS (
+  SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT DISTINCT lang, source FROM d
+), known AS (
+  SELECT lang, source, v, ltotal, coalesce(total, 0) AS total FROM groups JOIN sizes USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM own GROUP BY ALL) USING (lang, source)
+), dense AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + 1000000000 * (coalesce(n, 0) + 5)::HUGEINT // (total + 5 * v)::HUGEINT AS p, 1 + 1000000000 * (ln + 5)::HUGEINT // (ltotal + 5 * v)::HUGEINT AS q
+  FROM kept JOIN known USING (lang) LEFT JOIN own USING (lang, source, term)
+), gaps AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN gaps g ON g.lang = a.lang AND g.source = a.source AND g.item = b.source
+), both_parts AS (
+  SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM dense WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts) WHERE part = 'pair' OR rank <= 50
+"""
+
+
+def _op13() -> str:
+    """Eleven assignments and ten updates, a table each."""
+    steps = [
+        """kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        "c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, x) - 1 AS INTEGER) AS cluster, x FROM (SELECT x, sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM kept ORDER BY h, x LIMIT 8))",
+    ]
+    for k in range(11):
+        gap = "list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+        steps.append(f"a{k} AS MATERIALIZED (SELECT r, min(CAST({gap} AS HUGEINT) * 8 + c.cluster) AS best FROM kept v, c{k} c GROUP BY r)")
+        if k < 10:
+            steps.append(f"""s{k} AS (SELECT cluster, i, CAST(sum(e) AS BIGINT) AS total, count(*) AS n FROM (SELECT CAST(best % 8 AS INTEGER) AS cluster, unnest(range(1, 65)) AS i, unnest(x) AS e FROM kept JOIN a{k} USING (r)) GROUP BY ALL)""")
+            # // cuts towards zero; a negative remainder takes one off.
+            steps.append(f"c{k + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN (SELECT cluster, list(total // n - CASE WHEN total % n < 0 THEN 1 ELSE 0 END ORDER BY i) AS x FROM s{k} GROUP BY cluster) m USING (cluster))")
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, CAST(best % 8 AS INTEGER) AS cluster, CAST(best // 8 AS BIGINT) AS distance, CAST(sum(best // 8) OVER (PARTITION BY best % 8) AS BIGINT) AS cluster_inertia, CAST(sum(best // 8) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(c.x, lambda e: CAST(e AS VARCHAR)), ',')) AS centroid_sha256
+FROM a10 JOIN kept USING (r) JOIN c10 c ON c.cluster = best % 8
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": _OP1, "op7_minhash": _OP7}
+    return {"op1_quality_rules": _OP1, "op7_minhash": _OP7, "op11_line_dedup": _OP11, "op12_divergence": _OP12, "op13_centroids": _op13()}
