@@ -21,10 +21,11 @@ def read_number(c: Column) -> Column:
 
 
 def read_count(c: Column, language: Column) -> Column:
-    """A count with its language's grouping; null if there is none."""
-    digits = F.regexp_extract(c, r"(\d[\d.,]*)", 1)
-    plain = F.when(language.isin(*POINT_GROUPED), F.replace(digits, F.lit("."), F.lit(""))).otherwise(F.replace(digits, F.lit(","), F.lit("")))
-    return F.when(plain.rlike(r"^\d+$"), plain.try_cast("long"))
+    """A count with its language's grouping, spaces of any width included; null if there is none, if it is below zero or if a decimal mark is left."""
+    found = F.regexp_replace(F.regexp_extract(c, r"(-?\d[\d.,\u00A0\u202F\u2009 ]*)", 1), r"[\u00A0\u202F\u2009\s]", "")
+    plain = F.when(F.lower(F.substring(language, 1, 2)).isin(*POINT_GROUPED), F.replace(found, F.lit("."), F.lit(""))).otherwise(F.replace(found, F.lit(","), F.lit("")))
+    value = F.when(plain.rlike(r"^\d+$"), plain.try_cast("long"))
+    return F.when(value <= (1 << 53) - 1, value)
 
 
 def rating_of(label: Column, stars: Column, numeric: Column) -> Column:

@@ -219,13 +219,18 @@ def enrichment(spark, sf_dir):
 
 # --- extraction
 
-PACK = {
-    "surface": (":broken", "#surface"), "node": (".none", "div.review"), "reply": ("div.reply",),
+def _ways(*ways):
+    """Strategies from (selector, attribute, pattern)."""
+    return {"strategies": [{"selector": s, **dict(zip(("attribute", "pattern"), more, strict=False))} for s, *more in ways]}
+
+
+PACK = extraction.read_pack({
+    "containers": {"surface": _ways((":broken",), ("#surface",)), "review_node": _ways((".none",), ("div.review",)), "reply_node": _ways(("div.reply",))},
     "fields": {
-        "rating_label": ((".stars", "aria-label"),), "author_name": (("span.old-author", None), ("span.author", None)), "text": (("span.text", None),), "author_badges": (("span.badge", None),), "likes": (("span[data-likes]", "data-likes"),),
-        "reply_text": (("span.text", None),),
+        "rating": _ways((".stars", "aria-label")), "author_name": _ways(("span.old-author",), ("span.author",)), "text": _ways(("span.text",)), "author_badges": _ways(("span.badge",)), "likes": _ways(("span[data-likes]", "data-likes")),
+        "reply_text": _ways(("span.text",)),
     },
-}
+})
 
 
 def _escaped(c):
@@ -269,6 +274,65 @@ def harvest_validation(spark, sf_dir):
     return runs.validation(r, "conv_id", advertised=F.lit(4)).select("conv_id", "accepted", "quarantined", "quarantine_rate", "coverage", "duplicates", "has_fatal")
 
 
+#: Selectors with descendants, children, attributes and lists.
+SELECTORS = ["nav li > a", "nav a[href^='/t'], nav a[href^='/T']", "body > article > h1", "head title", "ul > a", "html[lang='en'] article", "div.ad, [class='ad'], #none"]
+
+
+@query(r"""SELECT page_id, selector, CAST(n AS BIGINT) AS n, CASE WHEN n > 0 THEN first END AS first FROM (SELECT page_id, 'nav li > a' AS selector, len(regexp_extract_all(nav, '<li><a ')) AS n, regexp_extract(nav, '<li><a href="([^"]*)"', 1) AS first FROM (SELECT page_id, regexp_extract(html, '<nav>.*?</nav>') AS nav FROM pages)
+  UNION ALL SELECT page_id, 'nav a[href^=''/t''], nav a[href^=''/T'']', len(regexp_extract_all(nav, '<a href="/[tT]')), regexp_extract(nav, '<a href="(/[tT][^"]*)"', 1) FROM (SELECT page_id, regexp_extract(html, '<nav>.*?</nav>') AS nav FROM pages)
+  UNION ALL SELECT page_id, 'body > article > h1', len(regexp_extract_all(html, '<article><h1>')), NULL FROM pages UNION ALL SELECT page_id, 'head title', len(regexp_extract_all(html, '<title>')), NULL FROM pages UNION ALL SELECT page_id, 'ul > a', 0, NULL FROM pages
+  UNION ALL SELECT page_id, 'html[lang=''en''] article', CASE WHEN html LIKE '<!DOCTYPE html><html lang="en">%' THEN len(regexp_extract_all(html, '<article>')) ELSE 0 END, NULL FROM pages UNION ALL SELECT page_id, 'div.ad, [class=''ad''], #none', len(regexp_extract_all(html, '<div class="ad">')), NULL FROM pages)""")
+def selector_matches(spark, sf_dir):
+    return extraction.matches(table(spark, sf_dir, "pages"), SELECTORS)
+
+
+FEED = extraction.read_pack({
+    "containers": {"surface": _ways(("[role='main'] [role='feed']",), ("[data-review-list]",)), "review_node": _ways(("[role='feed'] > [role='article']",), ("[data-review-id]",)), "reply_node": _ways(("[data-owner-reply]",), ("[role='article'] [role='comment']",))},
+    "fields": {
+        "author_name": {"required": True, **_ways(("[aria-label^='Review by']", "aria-label", "^Review by (.+)$"), ("[role='article'] > :first-child a",), ("header a[href*='/contrib/']",))}, "author_profile_url": _ways(("header a[href*='/contrib/']", "href")),
+        "rating": _ways(("[role='img'][aria-label]", "aria-label", "([0-9](?:[.,][0-9])?)")), "rating_numeric": _ways(("[data-rating-value]", "data-rating-value")), "text": _ways(("[data-review-text]",)), "reply_text": _ways(("[role='comment'] [lang]", ), ("p > [lang], p > em",)),
+    },
+    "rating_stars": {"filled_selector": "[role='img'] [data-star-filled]", "total_selector": "[role='img'] [data-star]"}, "truncation_markers": ["More", "Mehr"],
+    "signals": {"challenge": {"patterns": ["Unusual traffic"], "confidence": "high"}, "empty_state": {"patterns": ["No reviews yet"], "confidence": "high"}, "consent": {"patterns": ["before you continue"], "confidence": "medium"}, "robot": {"patterns": ["robot check"], "confidence": "medium"}},
+})
+
+
+def _feed_pages(spark, sf_dir):
+    """A page for each conversation in the markup that FEED reads; its turns rate by label, by stars or by a number."""
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    c = table(spark, sf_dir, "conversations").withColumns({"reply": F.when(F.lead("role").over(w) == "assistant", F.lead("text").over(w))}).where("role = 'user'")
+    k = F.length("text") % 7
+    label = F.concat(F.lit('<i role=img aria-label="'), k.cast("string"), F.lit(' of five"></i>'))
+    stars = F.concat(F.lit("<i role=img>"), F.repeat(F.lit("<b data-star data-star-filled></b>"), F.least(k, F.lit(5))), F.repeat(F.lit("<b data-star></b>"), 5 - F.least(k, F.lit(5))), F.lit("</i>"))
+    number = F.concat(F.lit('<i data-rating-value="'), k.cast("string"), F.lit('">x</i>'))
+    piece = F.concat(
+        F.lit("<div role=article><header><a href='/maps/contrib/"), F.col("conv_id").cast("string"), F.lit("'>Guest "), F.col("conv_id").cast("string"), F.lit("</a></header>"), F.when(F.col("turn") % 3 == 0, label).when(F.col("turn") % 3 == 1, stars).otherwise(number),
+        F.when(F.col("turn") % 4 == 0, F.concat(F.lit('<u aria-label="Review by Ann '), F.col("turn").cast("string"), F.lit('"></u>'))).otherwise(""),
+        F.when(F.col("reply").isNotNull(), F.concat(F.lit("<section data-owner-reply><p><em>"), _escaped(F.col("reply")), F.lit("</em></p></section>"))).otherwise(""), F.lit("<p data-review-text>"), _escaped(F.coalesce("text", F.lit(""))), F.when(F.length("text") % 5 == 0, " More").otherwise(""), F.lit("</p></div>"),
+    )
+    pages = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", piece.alias("piece")))), lambda x: x["piece"]), "").alias("body"))
+    kind, feed = F.col("conv_id") % 9, lambda x: F.concat(F.lit("<div role=main><div role=feed>"), x, F.lit("</div></div>"))
+    return pages.select("conv_id", F.when(kind == 1, F.lit("<b>UNUSUAL TRAFFIC</b>")).when(kind == 2, feed(F.lit("<i>No reviews yet</i>"))).when(kind == 3, F.concat(feed("body"), F.lit("Before you continue"))).when(kind == 4, F.concat(F.lit("robot check"), feed("body"))).when(kind == 5, feed(F.lit(""))).when(kind == 6, F.concat(F.lit("<div role=main></div><div role=feed>"), "body", F.lit("</div>"))).otherwise(feed("body")).alias("html"))
+
+
+@query(r"""WITH u AS (SELECT *, CASE WHEN lead(role) OVER w = 'assistant' THEN lead(text) OVER w END AS reply FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)), r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS o, length(text) % 7 AS k, trim(regexp_replace(text, '\s+', ' ', 'g')) AS body FROM u WHERE role = 'user'), s AS (SELECT *, CASE turn % 3 WHEN 1 THEN CASE WHEN k > 0 THEN least(k, 5) END ELSE k END AS given, length(text) % 5 = 0 AS cut FROM r)
+  SELECT conv_id, CAST(o AS INT) AS ordinal, CASE WHEN given BETWEEN 1 AND 5 THEN CAST(given AS INT) END AS rating, CASE WHEN turn % 4 = 0 THEN 'Ann ' || turn ELSE 'Guest ' || conv_id END AS author_name, CAST(CASE WHEN turn % 4 = 0 THEN 0 ELSE 2 END AS INT) AS author_strategy, '/maps/contrib/' || conv_id AS profile, md5(nullif(body, '')) AS text_md5, cut AS text_truncated,
+    md5(trim(regexp_replace(reply, '\s+', ' ', 'g'))) AS reply_md5, CASE WHEN given IS NULL THEN 'ERR-PARSE-FIELD-REQUIRED' WHEN given NOT BETWEEN 1 AND 5 THEN 'ERR-PARSE-RATING-INVALID' END AS code FROM s WHERE conv_id % 9 IN (0, 7, 8)
+  UNION ALL SELECT DISTINCT conv_id, CAST(NULL AS INT), CAST(NULL AS INT), NULL, CAST(NULL AS INT), NULL, NULL, CASE WHEN conv_id % 9 IN (5, 6) THEN false END, NULL, CASE conv_id % 9 WHEN 1 THEN 'ERR-BLOCKED-CHALLENGE' WHEN 3 THEN 'ERR-NAV-CONSENT-WALL' WHEN 4 THEN 'ERR-NAV-SURFACE-NOT-FOUND' WHEN 5 THEN 'ERR-PARSE-EMPTY-UNEXPECTED' ELSE 'ERR-PARSE-STRUCTURE' END FROM r WHERE conv_id % 9 BETWEEN 1 AND 6 AND conv_id % 9 <> 2""")
+def pack_reviews(spark, sf_dir):
+    """Every step of extraction by a pack: signals, surface, nodes, replies cut off, rating cascade, truncation markers, quarantine."""
+    r = extraction.extract_reviews(_feed_pages(spark, sf_dir), FEED, F.lit("en"), "conv_id")
+    return r.select("conv_id", "ordinal", "rating", "author_name", F.col("strategies")["author_name"].alias("author_strategy"), F.col("author_profile_url").alias("profile"), F.md5("text").alias("text_md5"), "text_truncated", F.md5("reply_text").alias("reply_md5"), F.col("quarantine.code").alias("code"))
+
+
+@query(r"""SELECT page_id, CASE WHEN NOT regexp_matches(coalesce(html, ''), '\S') THEN 'empty' ELSE concat_ws('|', CASE WHEN regexp_matches(html, '(?i)<(html|body|head)\b') THEN 'document-level element' END, CASE WHEN regexp_matches(html, '(?i)<script\b') THEN 'script element' END) END AS problems
+  FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN html WHEN 1 THEN regexp_extract(html, '(?s)<article>.*</article>') WHEN 2 THEN regexp_extract(html, '(?s)<script>.*</script>') END AS html FROM pages)""")
+def fixture_check(spark, sf_dir):
+    h, k = F.col("html"), F.col("page_id") % 4
+    cut = F.when(k == 0, h).when(k == 1, F.regexp_extract(h, "(?s)(<article>.*</article>)", 1)).when(k == 2, F.regexp_extract(h, "(?s)(<script>.*</script>)", 1))
+    return table(spark, sf_dir, "pages").select("page_id", F.array_join(extraction.fixture_problems(cut), "|").alias("problems"))
+
+
 # --- sources
 
 

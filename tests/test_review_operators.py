@@ -9,7 +9,7 @@ from reviewmill.operators import duplicates, health, merge, ordering, rules, run
 from reviewmill.plans import QUERIES, SQL
 from reviewmill.plans.queries import PHRASES
 from reviewmill.sources import extraction, readers
-from reviewmill.streaming import breaker, ledger
+from reviewmill.streaming import ledger
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -109,17 +109,6 @@ def test_streamed_harvests_in_order_and_replayed(spark, tmp_path):
     assert {(x.listing, x.updated_at, x.last_full_harvest_at) for x in ledger.harvests(spark, str(tmp_path / "ledger")).collect()} == {("a", "t5", "t5"), ("b", "t5", "t5")}
 
 
-def test_streamed_breaker(spark, tmp_path):
-    rows = [("k", 0, False)] * 5 + [("k", 1, True), ("k", 15 * 60_000, False), ("k", 16 * 60_000, True), ("k", 60 * 60_000, True), ("other", 5, True)]
-    source = tmp_path / "in"
-    for r in (rows[:6], rows[6:]):
-        spark.createDataFrame(r, "key string, at_ms long, ok boolean").coalesce(1).write.mode("append").parquet(str(source))
-        stream = breaker.breaker(spark.readStream.schema("key string, at_ms long, ok boolean").parquet(str(source)))
-        stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
-    got = [(x.admitted, x.state) for x in spark.read.parquet(str(tmp_path / "out")).where("key = 'k'").orderBy("at_ms").collect()]
-    assert sorted(got) == sorted([(True, "closed")] * 4 + [(True, "open"), (False, "open"), (True, "open"), (False, "open"), (True, "closed")])
-
-
 def test_health_series_is_appended(spark, tmp_path):
     own = spark.createDataFrame([("r1", "t1", "c", "l", "succeeded", 5), ("r2", "t2", "", "l", "who", None)], "run_id string, recorded_at string, client_slug string, listing_key string, outcome string, observed_count long")
     for _ in range(2):
@@ -144,7 +133,11 @@ def test_state_is_replaced_by_key(spark, tmp_path):
 def test_extraction_reads_what_the_pack_says(spark):
     html = """<body><div id=s><div class="r x"><b class=n>Ann</b><i data-stars="4,0">x</i><p class=t>One<br>two<script>no</script></p><div class=o><p class=t>Thanks</p></div></div>
       <div class=r><b class=n>Bob</b><i data-stars="9">x</i></div><div class=r><i data-stars="5">x</i><p class=t>No name</p></div></div></div></body>"""
-    pack = {"surface": ("#none", "div[id^=s]"), "node": ("div > .r", "div.r"), "reply": (".o",), "fields": {"rating": (("i[data-stars]", "data-stars"),), "author_name": (("b.n", None),), "text": (("p.t", None),), "reply_text": (("p.t", None),)}}
+    ways = lambda *w: {"strategies": [dict(zip(("selector", "attribute"), x, strict=False)) for x in w]}
+    pack = extraction.read_pack({
+        "containers": {"surface": ways(("#none",), ("div[id^=s]",)), "review_node": ways(("b > .r",), ("div > .r",)), "reply_node": ways((".o",))},
+        "fields": {"rating": ways(("i[data-stars]", "data-stars")), "author_name": ways(("b.n",)), "text": ways(("p.t",)), "reply_text": ways(("p.t",))},
+    })
     pages = spark.createDataFrame([(1, html), (2, "<div id=s></div>"), (3, None)], "page_id long, html string")
     rows = extraction.extracted(extraction.located(pages, pack), F.lit("en")).orderBy("page_id", "ordinal").collect()
     got = [(x.page_id, x.ordinal, x.rating, x.author_name, x.text, x.reply_text, x.quarantine and tuple(x.quarantine)) for x in rows]
@@ -166,14 +159,6 @@ def test_versions_and_secrets(spark):
         runs.enriched(fields, {"rating": F.lit(1)})
 
 
-def test_breaker():
-    state, seen = ("closed", 0, 0, 0), []
-    for at, ok in [(0, False)] * 5 + [(1, True), (15 * 60_000, False), (16 * 60_000, True), (60 * 60_000, True)]:
-        state, admitted = breaker.step(state, at, ok)
-        seen.append((admitted, state[0]))
-    assert seen == [(True, "closed")] * 4 + [(True, "open"), (False, "open"), (True, "open"), (False, "open"), (True, "closed")]
-
-
 def test_gate_limits_pass_at_the_limit(spark):
     base = {"count": 80, "mean": 4.0, "prior_count": 100, "prior_mean": 4.0, "prior_readable": True, "completeness": "full", "schema_errors": 0, "quarantine_rate": 0.05, "fatal_findings": 0, "coverage": 0.95, "advertised_mean": 4.0, "bytes": 1, "largest_cluster": 3, "advertised": 100, "prior_advertised": 100, "force": False}
     rows = [base, base | {"count": 79}, base | {"count": 79, "force": True}, base | {"prior_readable": False}, base | {"coverage": 0.9}, base | {"coverage": 0.9, "completeness": "full_capped"}]
