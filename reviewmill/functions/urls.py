@@ -21,8 +21,18 @@ def is_valid(u: Column, hosts: tuple[str, ...]) -> Column:
     return F.coalesce(u.startswith("https://") & ~u.rlike(r"^https://[^/?#]*@") & allowed, F.lit(False))
 
 
+#: Parameters that only say how large a picture is.
+SIZES = ("w", "h", "s", "size", "sz")
+
+
 def strip_query(u: Column) -> Column:
-    return F.regexp_extract(u, r"^([^?#]*)", 1)
+    """A web address without its fragment and without parameters that don't only give a size; the last of equal names counts, at the place of the first. What isn't http or https stays as it is."""
+    pairs = F.filter(F.split(F.regexp_extract(u, r"\?([^#]*)", 1), "&"), lambda p: F.lower(F.substring_index(p, "=", 1)).isin(*SIZES))
+    name = lambda p: F.substring_index(p, "=", 1)
+    names = F.array_distinct(F.transform(pairs, name))
+    kept = F.transform(names, lambda n: F.element_at(F.filter(pairs, lambda p: name(p) == n), -1))
+    plain = F.concat(F.regexp_extract(u, r"^([^?#]*)", 1), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
+    return F.when(u.rlike("(?i)^https?://"), plain).otherwise(u)
 
 
 def avatar(u: Column) -> Column:

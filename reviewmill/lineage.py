@@ -1,22 +1,26 @@
-"""Cutting lineage in the folder that driver and executors share."""
+"""The folder that driver and executors share: cutting lineage there, and files of our own."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df written to spark.checkpoint.dir (a folder of our own only where the session names none) and read back."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in spark.checkpoint.dir (a folder of our own only where a local session names none)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="reviewmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder}/cut-{uuid.uuid4().hex}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read back."""
+    path = shared_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -68,15 +68,19 @@ def tally(merged: DataFrame, *by: str) -> DataFrame:
     return merged.groupBy(*by).agg(*(F.count_if(F.col("outcome") == o).alias(o.lower()) for o in OUTCOMES))
 
 
-def violations(ledger: DataFrame) -> DataFrame:
-    """Rows that break an invariant, with the names of those they break."""
+def violations(ledger: DataFrame, key: str = "id", identity: str | None = None) -> DataFrame:
+    """Rows that break an invariant, with the names of those they break; ``suspect`` names what is odd but not forbidden.
+
+    identity: the column of the record's own identity, where that is kept beside the key.
+    """
     rules = {
-        "state": ~F.col("state").isin(*STATES), "revision": F.col("revision") < 1, "streak": F.col("missing_streak") < 0,
-        "tombstone_without_time": (F.col("state") == "tombstoned") & F.col("tombstoned_at").isNull(), "active_with_streak": (F.col("state") == "active") & (F.col("missing_streak") > 0),
-        "seen_before_first": F.col("last_seen_at") < F.col("first_seen_at"),
+        "key": ~F.col(identity or key).eqNullSafe(F.col(key)), "revision": F.col("revision") < 1, "streak": F.col("missing_streak") < 0,
+        "tombstone_without_time": (F.col("state") == "tombstoned") & F.col("tombstoned_at").isNull(), "seen_before_first": F.col("first_seen_at") > F.col("last_seen_at"),
+        "history": F.size("history") != F.col("revision") - 1,
     }
-    broken = F.filter(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in rules.items())), lambda x: x.isNotNull())
-    return ledger.withColumn("broken", broken).where(F.size("broken") > 0)
+    odd = {"state": ~F.col("state").isin(*STATES), "active_with_streak": (F.col("state") == "active") & (F.col("missing_streak") > 0)}
+    named = lambda found: F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in found.items())))
+    return ledger.withColumns({"broken": named(rules), "suspect": named(odd)}).where(F.size("broken") > 0)
 
 
 def publishable(state: Column) -> Column:

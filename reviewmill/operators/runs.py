@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import urls
+
 # Tiers, first served first; costs without history; exit codes; outcomes of a target.
 TIERS = ("premium", "standard", "economy", "paused")
 DEFAULT_COST, MIN_COST = 200, 1
@@ -123,14 +125,40 @@ def fails_job(code: Column) -> Column:
     return code.isin(EXIT["INTERNAL"], EXIT["USAGE"], EXIT["ALL_FAILED"])
 
 
+#: Characters of a normalised text, at most.
+MOST_TEXT = 5000
+
+
+def record_findings(rating: Column, identity: Column, text: Column, author: Column, date: Column) -> Column:
+    """What is wrong with one review, in order: (code, severity, id, field). Something fatal sets it apart."""
+    finding = lambda code, severity, name: F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), identity.alias("id"), F.lit(name).alias("field"))
+    sound = F.coalesce((rating == F.floor(rating)) & rating.between(1, 5), F.lit(False))
+    return F.array_compact(F.array(
+        F.when(~sound, finding("ERR-PARSE-RATING-INVALID", "fatal", "rating")), F.when(~F.coalesce(identity.rlike(r"\A[0-9a-f]{32}\z"), F.lit(False)), finding("ERR-INTERNAL-INVARIANT", "fatal", "identity_hash")),
+        F.when(F.length(text) > MOST_TEXT, finding("ERR-CLEAN-MARKUP-SURVIVED", "fatal", "text")), F.when(author.isNull() & text.isNull(), finding("ERR-PARSE-FIELD-REQUIRED", "info", "author.name")), F.when(date.isNull(), finding("ERR-PARSE-FIELD-REQUIRED", "warn", "date_estimated")),
+    ))
+
+
+def findings(reviews: DataFrame, *by: str, near: DataFrame | None = None) -> DataFrame:
+    """All findings (by..., code, severity, id, field) of harvests: those of each review (columns id, findings), one for each id that stands more than once, one for each pair of near-duplicates (near: by..., id)."""
+    own = reviews.select(*by, F.explode("findings").alias("f")).select(*by, "f.*")
+    of = lambda rows, name: rows.select(*by, F.lit("ERR-VALIDATE-AGGREGATE").alias("code"), F.lit("warn").alias("severity"), "id", F.lit(name).alias("field"))
+    twice = reviews.where("id IS NOT NULL").groupBy(*by, "id").count().where("count > 1")
+    found = own.unionByName(of(twice, "identity_hash"))
+    return found if near is None else found.unionByName(of(near, "text"))
+
+
 def validation(reviews: DataFrame, *by: str, advertised: Column, clusters: DataFrame | None = None) -> DataFrame:
-    """The report of each harvest (by..., id, ordinal, rejected, fatal): accepted and quarantined counts and their rate, coverage of the advertised number,
-    duplicates (rows beyond the first of an id), whether anything is fatal, and near-duplicate clusters (by..., size) where given.
+    """The report of each harvest (by..., id, ordinal, rejected, fatal): accepted and quarantined counts and their rate, the share of the advertised number that was read (1 at most, null
+    where none is advertised), duplicates (ids that stand more than once), whether anything is fatal, and near-duplicate clusters (by..., size) where given.
     """
     c = F.col
-    found = reviews.withColumn("_advertised", advertised).groupBy(*by).agg(
-        F.count_if(~c("rejected")).alias("accepted"), F.count_if("rejected").alias("quarantined"), (F.count_if("rejected") / F.count("*")).alias("quarantine_rate"),
-        F.when(F.first("_advertised") > 0, F.round(F.count("ordinal") / F.first("_advertised"), 4)).alias("coverage"), (F.count("*") - F.count_distinct(F.coalesce("id", F.lit("")))).alias("duplicates"), F.coalesce(F.bool_or("fatal"), F.lit(False)).alias("has_fatal"),
+    each = reviews.withColumn("_advertised", advertised).groupBy(*by, "id").agg(
+        F.count_if(~c("rejected")).alias("a"), F.count_if("rejected").alias("q"), F.count("ordinal").alias("n"), ((F.count("*") > 1) & c("id").isNotNull()).cast("int").alias("d"), F.first("_advertised").alias("_advertised"), F.coalesce(F.bool_or("fatal"), F.lit(False)).alias("fatal"),
+    )
+    found = each.groupBy(*by).agg(
+        F.sum("a").alias("accepted"), F.sum("q").alias("quarantined"), (F.sum("q") / F.sum(c("a") + c("q"))).alias("quarantine_rate"),
+        F.when(F.first("_advertised") > 0, F.least(F.lit(1.0), F.sum("n") / F.first("_advertised"))).alias("coverage"), F.sum("d").alias("duplicates"), F.bool_or("fatal").alias("has_fatal"),
     )
     if clusters is None:
         return found.withColumns({"near_duplicate_clusters": F.lit(0), "largest_duplicate_cluster": F.lit(0)})
@@ -380,7 +408,7 @@ def redacted(fields: Column, secrets: dict[str, str] | None = None, text_limit:
 
     def value(k: Column, v: Column) -> Column:
         cut = F.when(F.length(scrub(v)) <= text_limit, scrub(v)).otherwise(F.concat(F.left(scrub(v), F.lit(text_limit)), F.lit("…")))
-        plain = scrub(F.when(v.rlike("^(?i:https?://)"), F.regexp_extract(v, r"^([^?#]*)", 1)).otherwise(v))
+        plain = scrub(urls.strip_query(v))
         return (
             F.when(k.rlike("(?i)token|secret|key|password|cookie|auth|credential|refresh"), mask(k)).when(k.rlike(r"(?i)\A(text|review_text|body|reviewbody|snippet)\z"), cut)
             .when(k.rlike(r"(?i)\A(author_name|authorname|reviewer_name|name)\z"), mask(F.lit("author"))).otherwise(plain)

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 
 def due(enabled: Column, paused: Column, last_run: Column, now: Column, cadence_h: Column, floor_h: Column) -> tuple[Column, Column]:
@@ -52,19 +50,12 @@ def balance(load: Column) -> Column:
     return F.when((F.max(load) == 0) & (F.min(load) == 0), 1.0).when(F.min(load) == 0, float("inf")).otherwise(F.max(load) / F.nullif(F.min(load), F.lit(0)))
 
 
-def fnv1a(text: str) -> int:
-    """32-bit FNV-1a over UTF-16 units."""
-    h = 0x811C9DC5
-    data = text.encode("utf-16-le")
-    for i in range(0, len(data), 2):
-        h = ((h ^ int.from_bytes(data[i : i + 2], "little")) * 0x01000193) & 0xFFFFFFFF
-    return h
+def fnv1a(c: Column) -> Column:
+    """32-bit FNV-1a of a text, by UTF-16 units: of a character beyond 16 bits, its two surrogates."""
+    units = F.flatten(F.transform(F.split(c, ""), lambda x: F.when(F.ascii(x) < 0x10000, F.array(F.ascii(x))).otherwise(F.array(F.shiftright(F.ascii(x) - 0x10000, 10) + 0xD800, ((F.ascii(x) - 0x10000) % 1024) + 0xDC00))))
+    return F.aggregate(F.when(c == "", F.array().cast("array<int>")).otherwise(units), F.lit(0x811C9DC5).cast("long"), lambda h, u: (h.bitwiseXOR(u.cast("long")) * F.lit(0x01000193)).bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
 
 
 def seeded_order(targets: DataFrame, run_id: str, key: str = "target") -> DataFrame:
     """position by the hash of run and key, then key."""
-    @F.pandas_udf(LongType())
-    def hashed(s: pd.Series) -> pd.Series:
-        return s.map(lambda k: fnv1a(f"{run_id}:{k}"))
-
-    return targets.withColumn("order_hash", hashed(key)).orderBy("order_hash", key)
+    return targets.withColumn("order_hash", fnv1a(F.concat(F.lit(f"{run_id}:"), F.col(key)))).orderBy("order_hash", key)

@@ -36,7 +36,7 @@ def script_languages(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", language.script_language(F.concat("p_name", F.lit(" "), of)).alias("language"))
 
 
-@query("SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 4.5 WHEN 1 THEN -3.0 WHEN 2 THEN CAST(o_custkey AS DOUBLE) WHEN 3 THEN 1.234 END::DOUBLE AS number, CAST(CASE o_orderkey % 5 WHEN 2 THEN o_custkey WHEN 3 THEN 1234 WHEN 1 THEN 3 WHEN 0 THEN 45 END AS BIGINT) AS count_de, CAST(CASE o_orderkey % 5 WHEN 2 THEN o_custkey WHEN 1 THEN 3 WHEN 0 THEN 45 END AS BIGINT) AS count_en, CAST(least(100 * pow(2, o_orderkey % 5), 500) AS BIGINT) AS delay FROM orders")
+@query("SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 4.5 WHEN 1 THEN -3.0 WHEN 2 THEN CAST(o_custkey AS DOUBLE) WHEN 3 THEN 1.234 END::DOUBLE AS number, CAST(CASE o_orderkey % 5 WHEN 2 THEN o_custkey WHEN 3 THEN 1234 WHEN 0 THEN 45 END AS BIGINT) AS count_de, CAST(CASE o_orderkey % 5 WHEN 2 THEN o_custkey WHEN 0 THEN 45 END AS BIGINT) AS count_en, CAST(least(100 * pow(2, o_orderkey % 5), 500) AS BIGINT) AS delay FROM orders")
 def numbers_read(spark, sf_dir):
     k = F.col("o_orderkey") % 5
     raw = F.when(k == 0, "Rated 4,5 of").when(k == 1, "-3 days").when(k == 2, F.concat(F.col("o_custkey").cast("string"), F.lit(" likes"))).when(k == 3, "1.234").otherwise("none")
@@ -44,7 +44,7 @@ def numbers_read(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", numbers.read_number(raw).alias("number"), numbers.read_count(point, F.lit("de")).alias("count_de"), numbers.read_count(point, F.lit("en")).alias("count_en"), numbers.backoff_ms(100, k + 1, 500).alias("delay"))
 
 
-@query(r"SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) AS plain, lower(regexp_extract(url, '://([^/?#:]*)', 1)) AS host, CASE WHEN url LIKE 'https://%' AND (regexp_matches(lower(url), '^https://([^/?#]*\.)?example\.com([/?#]|$)')) THEN TRUE ELSE FALSE END AS allowed FROM pages WHERE url IS NOT NULL")
+@query(r"SELECT page_id, CASE WHEN regexp_matches(url, '^(?i)https?://') THEN rtrim(regexp_replace(regexp_replace(url, '#.*$', ''), '\?.*$', '') || '?' || array_to_string(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda x: regexp_matches(x, '^(?i)(w|h|s|size|sz)(=|$)')), '&'), '?') ELSE url END AS plain, lower(regexp_extract(url, '://([^/?#:]*)', 1)) AS host, CASE WHEN url LIKE 'https://%' AND (regexp_matches(lower(url), '^https://([^/?#]*\.)?example\.com([/?#]|$)')) THEN TRUE ELSE FALSE END AS allowed FROM pages WHERE url IS NOT NULL")
 def page_urls(spark, sf_dir):
     u = F.col("url")
     return table(spark, sf_dir, "pages").where("url IS NOT NULL").select("page_id", urls.strip_query(u).alias("plain"), urls.host_of(u).alias("host"), urls.is_valid(u, ("example.com",)).alias("allowed"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from .. import lineage
 from ..functions import numbers, urls
 from ..operators import merge, runs
 from ..sources import extraction, readers
@@ -267,13 +268,25 @@ def page_reviews(spark, sf_dir):
     return r.select("conv_id", "ordinal", "rating", "author_name", F.md5("text").alias("text_md5"), F.array_join("badges", "|").alias("badges"), "likes", F.md5("reply_text").alias("reply_md5"), F.col("strategies")["author_name"].alias("author_strategy"), F.col("quarantine.code").alias("code"))
 
 
-@query(f"""SELECT conv_id, count(*) FILTER (code IS NULL) AS accepted, count(*) FILTER (code IS NOT NULL) AS quarantined, count(*) FILTER (code IS NOT NULL) / count(*) AS quarantine_rate, round(count(*) FILTER (ordinal IS NOT NULL) / 4.0, 4) AS coverage, count(*) - count(DISTINCT coalesce(text_md5, 'page')) AS duplicates,
-  count(*) FILTER (code IN ('ERR-PARSE-STRUCTURE', 'ERR-PARSE-EMPTY-UNEXPECTED')) > 0 AS has_fatal FROM ({_REVIEWS}) GROUP BY 1""")
+@query(f"""SELECT conv_id, count(*) FILTER (code IS NULL) AS accepted, count(*) FILTER (code IS NOT NULL) AS quarantined, count(*) FILTER (code IS NOT NULL) / count(*) AS quarantine_rate, least(1.0, count(ordinal) / 4) AS coverage, CAST(count(DISTINCT text_md5) - count(DISTINCT CASE WHEN copies = 1 THEN text_md5 END) AS BIGINT) AS duplicates,
+  count(*) FILTER (code IN ('ERR-PARSE-STRUCTURE', 'ERR-PARSE-EMPTY-UNEXPECTED')) > 0 AS has_fatal FROM (SELECT *, count(*) OVER (PARTITION BY conv_id, text_md5) AS copies FROM ({_REVIEWS})) GROUP BY 1""")
 def harvest_validation(spark, sf_dir):
     r = _reviews(spark, sf_dir).withColumns({"id": F.md5("text"), "fatal": F.col("quarantine.code").isin("ERR-PARSE-STRUCTURE", "ERR-PARSE-EMPTY-UNEXPECTED"), "rejected": F.col("quarantine").isNotNull()})
     return runs.validation(r, "conv_id", advertised=F.lit(4)).select("conv_id", "accepted", "quarantined", "quarantine_rate", "coverage", "duplicates", "has_fatal")
 
 
+@query("""WITH r AS (SELECT o_custkey AS harvest, CASE WHEN o_orderkey % 10 = 0 THEN NULL WHEN o_orderkey % 10 = 1 THEN 'short' ELSE md5(CAST(floor(o_totalprice / 50000) AS BIGINT)::VARCHAR) END AS id, o_orderkey % 8 AS rating, o_orderstatus = 'P' AS nameless, o_orderpriority = '5-LOW' AS textless, o_orderpriority = '1-URGENT' AS endless, o_orderdate < DATE '1994-01-01' AS dateless FROM orders)
+  SELECT harvest, 'ERR-PARSE-RATING-INVALID' AS code, 'fatal' AS severity, id, 'rating' AS field FROM r WHERE rating NOT IN (1, 2, 3, 4, 5) UNION ALL SELECT harvest, 'ERR-INTERNAL-INVARIANT', 'fatal', id, 'identity_hash' FROM r WHERE id IS NULL OR length(id) <> 32 UNION ALL SELECT harvest, 'ERR-CLEAN-MARKUP-SURVIVED', 'fatal', id, 'text' FROM r WHERE endless
+  UNION ALL SELECT harvest, 'ERR-PARSE-FIELD-REQUIRED', 'info', id, 'author.name' FROM r WHERE nameless AND textless UNION ALL SELECT harvest, 'ERR-PARSE-FIELD-REQUIRED', 'warn', id, 'date_estimated' FROM r WHERE dateless UNION ALL SELECT harvest, 'ERR-VALIDATE-AGGREGATE', 'warn', id, 'identity_hash' FROM r WHERE id IS NOT NULL GROUP BY harvest, id HAVING count(*) >= 2""")
+def harvest_findings(spark, sf_dir):
+    """Every finding of harvests made from orders."""
+    k = F.col("o_orderkey") % 10
+    o = table(spark, sf_dir, "orders").withColumn("id", F.when(k == 0, None).when(k == 1, "short").otherwise(F.md5(F.floor(F.col("o_totalprice") / 50000).cast("long").cast("string"))))
+    text = F.when(F.col("o_orderpriority") == "1-URGENT", F.repeat(F.lit("x"), F.lit(5001))).when(F.col("o_orderpriority") != "5-LOW", "fine")
+    found = runs.record_findings(F.col("o_orderkey") % 8, F.col("id"), text, F.when(F.col("o_orderstatus") != "P", "Ann"), F.when(F.col("o_orderdate") >= "1994-01-01", F.col("o_orderdate")))
+    return runs.findings(o.select(F.col("o_custkey").alias("harvest"), "id", found.alias("findings")), "harvest")
+
+
 #: Selectors with descendants, children, attributes and lists.
 SELECTORS = ["nav li > a", "nav a[href^='/t'], nav a[href^='/T']", "body > article > h1", "head title", "ul > a", "html[lang='en'] article", "div.ad, [class='ad'], #none"]
 
@@ -333,6 +346,16 @@ def fixture_check(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.array_join(extraction.fixture_problems(cut), "|").alias("problems"))
 
 
+@query(r"""SELECT CASE WHEN doc_id % 13 > 0 THEN CAST(doc_id AS VARCHAR) END AS external_id, CASE WHEN doc_id % 6 = 0 THEN 'rating' WHEN doc_id % 17 = 0 THEN 'date' END AS reject_reason, md5(nullif(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '')) AS text_md5, source AS author_name FROM documents""")
+def csv_reviews(spark, sf_dir):
+    """Documents written as CSV files, texts quoted with their line breaks, and read back by blocks."""
+    d = table(spark, sf_dir, "documents")
+    rows = d.select(F.col("source").alias("Author_Name"), (F.col("doc_id") % 6).alias("rating"), F.when(F.col("doc_id") % 17 > 0, "2024-01-01").otherwise(" ").alias("Date"), F.col("text").alias("TEXT"), F.when(F.col("doc_id") % 13 > 0, F.col("doc_id")).alias("external_id"))
+    folder = lineage.shared_path(spark, "csv")
+    rows.write.option("header", True).option("quoteAll", True).option("escape", '"').option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(folder)
+    return readers.read_csv(spark, folder).select("external_id", "reject_reason", F.md5("text").alias("text_md5"), "author_name")
+
+
 # --- sources
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import numbers
-from ..operators import projection, schedule
+from ..operators import projection, runs, schedule
 from ..sources import views
 from ..sources.views import table
 from .queries import _AUTHOR, _SOURCE, query
@@ -46,14 +46,18 @@ def schema_org(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", projection.json_ld(F.col("l_returnflag"), F.col("l_linenumber") % 5 + 1, F.date_format("l_shipdate", "yyyy-MM-dd"), precision).alias("json"))
 
 
-_RUN = "SELECT strftime(ts, '%Y-%m-%d') AS run, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'deferred' WHEN 'click' THEN 'skipped' ELSE 'succeeded' END AS outcome FROM events"
+_RUN = """SELECT strftime(ts, '%Y-%m-%d') AS run, CASE event_type WHEN 'error' THEN CASE WHEN CAST(strftime(ts, '%d') AS INT) % 3 = 0 THEN 'blocked' ELSE 'failed' END WHEN 'signup' THEN CASE WHEN user_id % 5 = 0 THEN 'deferred' ELSE 'succeeded' END WHEN 'click' THEN 'skipped' ELSE 'succeeded' END AS outcome,
+  CASE WHEN event_type = 'error' THEN CASE user_id % 9 WHEN 0 THEN 'ERR-BLOCKED-CHALLENGE' ELSE 'ERR-NET-DNS' END WHEN event_type = 'view' AND user_id % 50 = 0 THEN 'ERR-GATE-REJECTED' END AS code FROM events WHERE CAST(strftime(ts, '%d') AS INT) % 4 > 0 OR event_type <> 'error'"""
 
 
-@query(f"SELECT run, {', '.join(f'''count(*) FILTER (outcome = '{s}') AS {s}''' for s in projection.OUTCOMES)}, CAST(CASE WHEN count(*) FILTER (outcome = 'failed') > 0 AND count(*) FILTER (outcome = 'succeeded') = 0 THEN 2 WHEN count(*) FILTER (outcome = 'failed') > 0 THEN 3 ELSE 0 END AS INT) AS exit_code FROM ({_RUN}) GROUP BY run")
+@query(f"""SELECT run, {', '.join(f"sum(CASE outcome WHEN '{s}' THEN 1 ELSE 0 END)::BIGINT AS {s}" for s in projection.OUTCOMES)}, CAST(CASE WHEN bool_and(outcome = 'failed') THEN 3 WHEN bool_or(outcome = 'failed') THEN 4 WHEN bool_or(outcome = 'blocked' AND code = 'ERR-BLOCKED-CHALLENGE') THEN 7 WHEN bool_or(outcome = 'blocked') THEN 6
+  WHEN bool_or(coalesce(code, '') = 'ERR-GATE-REJECTED') THEN 5 WHEN bool_or(outcome = 'deferred') THEN 4 ELSE 0 END AS INT) AS exit_code FROM ({_RUN}) GROUP BY run""")
 def manifest_counts(spark, sf_dir):
-    k = F.col("event_type")
-    e = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("run"), F.when(k == "error", "failed").when(k == "signup", "deferred").when(k == "click", "skipped").otherwise("succeeded").alias("outcome"))
-    return projection.state_counts(e, "run")
+    k, u, day = F.col("event_type"), F.col("user_id"), F.dayofmonth("ts")
+    state = F.when(k == "error", F.when(day % 3 == 0, "blocked").otherwise("failed")).when((k == "signup") & (u % 5 == 0), "deferred").when(k == "click", "skipped").otherwise("succeeded")
+    code = F.when(k == "error", F.when(u % 9 == 0, "ERR-BLOCKED-CHALLENGE").otherwise("ERR-NET-DNS")).when((k == "view") & (u % 50 == 0), "ERR-GATE-REJECTED")
+    e = table(spark, sf_dir, "events").where((day % 4 > 0) | (k != "error")).select(F.date_format("ts", "yyyy-MM-dd").alias("run"), state.alias("outcome"), state.alias("state"), code.alias("code"), F.lit(False).alias("missing"))
+    return projection.state_counts(e, "run").join(runs.exit_codes(e, "run"), "run")
 
 
 @query("SELECT CASE WHEN max(c) = 0 AND min(c) = 0 THEN 1.0 WHEN min(c) = 0 THEN CAST('inf' AS DOUBLE) ELSE max(c) / min(c) END AS balance, sum(c) AS total FROM (SELECT user_id % 16 AS shard, count(*) AS c FROM events GROUP BY 1)")

@@ -224,10 +224,11 @@ def backoff(spark, sf_dir):
 # --- urls
 
 
-@query(r"""SELECT page_id, regexp_extract(url, '^([a-z]+):', 1) = 'https' AND regexp_matches(regexp_extract(url, '://([^/?#]*)', 1), '(^|\.)example\.com$') AS valid, regexp_extract(url, '^([^?#]*)', 1) AS plain FROM pages""")
+@query(r"""SELECT page_id, regexp_extract(url, '^([a-z]+):', 1) = 'https' AND regexp_matches(regexp_extract(url, '://([^/?#]*)', 1), '(^|\.)example\.com$') AS valid, CASE WHEN regexp_matches(url, '^(?i)https?://') THEN regexp_replace(url, '[?#].*$', '') || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END ELSE url END AS plain
+  FROM (SELECT page_id, url, list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda x: regexp_matches(x, '^(?i)(w|h|s|size|sz)(=|$)')) AS kept FROM (SELECT page_id, url || CASE page_id % 3 WHEN 0 THEN '?W=5&utm=x&sz=9#top' WHEN 1 THEN '&h=2' ELSE '' END AS url FROM pages))""")
 def url_validate(spark, sf_dir):
-    u = F.col("url")
-    return table(spark, sf_dir, "pages").select("page_id", urls.is_valid(u, ("example.com",)).alias("valid"), urls.strip_query(u).alias("plain"))
+    u = F.concat("url", F.when(F.col("page_id") % 3 == 0, "?W=5&utm=x&sz=9#top").when(F.col("page_id") % 3 == 1, "&h=2").otherwise(""))
+    return table(spark, sf_dir, "pages").select("page_id", urls.is_valid(F.col("url"), ("example.com",)).alias("valid"), urls.strip_query(u).alias("plain"))
 
 
 @query("""SELECT event_id, CASE WHEN event_type = 'view' THEN 'image' WHEN event_type = 'error' THEN 'media' ELSE 'document' END AS kind, event_type IN ('view', 'error') AS blocked FROM events""")
@@ -350,9 +351,17 @@ def decision_tally(spark, sf_dir):
     return merge.tally(_merged(spark, sf_dir), "listing")
 
 
-@query(f"""WITH {_LEDGER} SELECT count(*) AS violations FROM merged WHERE FALSE""")
+@query("""WITH l AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 11 = 0 THEN o_orderkey + 1 ELSE o_orderkey END AS own, CASE o_orderstatus WHEN 'P' THEN 'tombstoned' ELSE 'active' END AS state, o_custkey % 4 - 1 AS streak, o_custkey % 5 AS revision, o_custkey % 3 AS hashes, o_orderdate AS first, o_orderdate + to_days(CAST(o_custkey % 10 - 1 AS INT)) AS last, o_custkey % 2 = 0 AS timed FROM orders),
+  v AS (SELECT id, 'key' AS rule FROM l WHERE own <> id UNION ALL SELECT id, 'revision' FROM l WHERE revision < 1 UNION ALL SELECT id, 'streak' FROM l WHERE streak < 0 UNION ALL SELECT id, 'tombstone_without_time' FROM l WHERE state = 'tombstoned' AND NOT timed UNION ALL SELECT id, 'seen_before_first' FROM l WHERE first > last UNION ALL SELECT id, 'history' FROM l WHERE hashes <> revision - 1)
+  SELECT id, string_agg(rule, '|' ORDER BY rule) AS broken FROM v GROUP BY id""")
 def ledger_invariants(spark, sf_dir):
-    return merge.violations(_merged(spark, sf_dir)).agg(F.count("*").alias("violations"))
+    """Records made from orders, of which most break something."""
+    k, day = F.col("o_custkey"), lambda c: F.date_format(c, "yyyy-MM-dd")
+    records = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 11 == 0, F.col("o_orderkey") + 1).otherwise(F.col("o_orderkey")).alias("own"), F.when(F.col("o_orderstatus") == "P", "tombstoned").otherwise("active").alias("state"), (k % 4 - 1).alias("missing_streak"), (k % 5).alias("revision"),
+        F.array_repeat(F.lit("h"), (k % 3).cast("int")).alias("history"), day("o_orderdate").alias("first_seen_at"), day(F.date_add("o_orderdate", (k % 10 - 1).cast("int"))).alias("last_seen_at"), F.when(k % 2 == 0, "t").alias("tombstoned_at"),
+    )
+    return merge.violations(records, identity="own").select("id", F.array_join(F.array_sort("broken"), "|").alias("broken"))
 
 
 # --- rules

@@ -9,67 +9,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .csv import read_rows
+
 REQUIRED = ("author_name", "rating", "date")
 OPTIONAL = ("text", "author_initials", "author_avatar_url", "author_profile_url", "source_url", "external_id", "language", "likes", "photo_count", "owner_reply_text", "owner_reply_date")
 WORD_RATINGS = {"ONE": 1, "TWO": 2, "THREE": 3, "FOUR": 4, "FIVE": 5}
 MAX_PLACE_REVIEWS, MAX_PAGES = 5, 40
 
 
-def split_rows(text: str) -> list[list[str]]:
-    """Rows of fields: a quote toggles quoting anywhere, a doubled one inside is itself; LF, CR or CRLF end a row; blank rows go."""
-    rows, row, field, quoted, i = [], [], [], False, 0
-    text = text.removeprefix("﻿")
-    while i < len(text):
-        c = text[i]
-        if quoted:
-            if c == '"' and text[i + 1 : i + 2] == '"':
-                field.append('"')
-                i += 1
-            elif c == '"':
-                quoted = False
-            else:
-                field.append(c)
-        elif c == '"':
-            quoted = True
-        elif c == ",":
-            row.append("".join(field))
-            field = []
-        elif c in "\r\n":
-            i += text[i : i + 2] == "\r\n"
-            rows.append([*row, "".join(field)])
-            row, field = [], []
-        else:
-            field.append(c)
-        i += 1
-    if field or row:
-        rows.append([*row, "".join(field)])
-    return [r for r in rows if any(x.strip() for x in r)]
-
-
 def read_csv(spark: SparkSession, path: str, cap: int | None = None) -> DataFrame:
-    """(path, line, columns as strings, reject_reason): rows of every file; a file without a required column has one row that says so."""
+    """(path, line, columns as strings, reject_reason): rows of every file; a file without a required column has one row that says so. A file of no bytes has none, as Spark lists no such files."""
     names = [*REQUIRED, *OPTIONAL]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = split_rows(text or "")
-                header = [h.strip().lower() for h in rows[0]] if rows else []
-                missing = [c for c in REQUIRED if c not in header]
-                out = []
-                if missing:
-                    out.append({"path": path_, "line": 1, "reject_reason": f"missing column {missing[0]}"})
-                else:
-                    for k, r in enumerate(rows[1 : None if cap is None else cap + 1]):
-                        values = {h: (r[i].strip() or None) if i < len(r) else None for i, h in enumerate(header) if h in names}
-                        rating = values.get("rating") or ""
-                        reason = "author_name" if not values.get("author_name") else "rating" if not (rating.isascii() and rating.isdigit() and 1 <= int(rating) <= 5) else "date" if not values.get("date") else None
-                        out.append({"path": path_, "line": k + 2, **values, "reject_reason": reason})
-                schema = pa.schema([("path", pa.string()), ("line", pa.int32()), *((n, pa.string()) for n in names), ("reject_reason", pa.string())])
-                yield pa.RecordBatch.from_pylist([{f.name: o.get(f.name) for f in schema} for o in out], schema=schema)
-
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return files.mapInArrow(run, "path string, line int, " + ", ".join(f"{n} string" for n in names) + ", reject_reason string")
+    strip = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    rows = read_rows(spark, path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path).select(F.col("_metadata.file_path").alias("path"))
+    headers = rows.where("line = 1").select("path", F.transform("fields", lambda h: F.lower(strip(h))).alias("header"))
+    headers = files.join(headers, "path", "left").withColumn("header", F.coalesce("header", F.array().cast("array<string>")))
+    missing = F.element_at(F.filter(F.array(*map(F.lit, REQUIRED)), lambda c: ~F.array_contains(F.col("header"), c)), 1)
+    headers = headers.withColumn("missing", F.when(F.size(F.array_except(F.array(*map(F.lit, REQUIRED)), "header")) > 0, missing))
+    data = rows.where("line > 1" if cap is None else F.col("line").between(2, cap + 1)).join(headers.where("missing IS NULL").drop("missing"), "path")
+    place = lambda c: F.array_size("header") - F.array_position(F.reverse("header"), c) + 1  # noqa: E731  the last of equal names
+    values = [F.when(F.array_contains("header", c), F.nullif(strip(F.get("fields", (place(c) - 1).cast("int"))), F.lit(""))).alias(c) for c in names]
+    found = data.select("path", F.col("line").cast("int").alias("line"), *values)
+    reason = F.when(F.col("author_name").isNull(), "author_name").when(~F.coalesce(F.col("rating").rlike(r"\A0*[1-5]\z"), F.lit(False)), "rating").when(F.col("date").isNull(), "date")
+    refused = headers.where("missing IS NOT NULL").select("path", F.lit(1).alias("line"), F.concat(F.lit("missing column "), "missing").alias("reject_reason"))
+    return found.withColumn("reject_reason", reason).unionByName(refused, allowMissingColumns=True)
 
 
 def csv_stop_reason(rows: Column, cap: Column) -> Column:

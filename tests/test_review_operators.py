@@ -190,7 +190,11 @@ def test_csv(spark, tmp_path):
 
 def test_schedule_and_order(spark):
     assert schedule.shards([("a", 5), ("b", 4), ("c", 3), ("d", 3)], 2) == [("a", 0), ("b", 1), ("c", 1), ("d", 0)]
-    assert schedule.fnv1a("") == 0x811C9DC5 and schedule.fnv1a("a") == 0xE40C292C
+    hashes = spark.createDataFrame([("",), ("a",), ("😀é",)], "t string").select(schedule.fnv1a(F.col("t")).alias("h")).collect()
+    units, smile = "😀é".encode("utf-16-le"), 0x811C9DC5
+    for k in range(0, len(units), 2):
+        smile = ((smile ^ int.from_bytes(units[k : k + 2], "little")) * 0x01000193) % 2**32
+    assert [x.h for x in hashes] == [0x811C9DC5, 0xE40C292C, smile]
     rows = spark.createDataFrame([("1", None, None), ("2", "2024", "a"), ("3", "2024", None)], "id string, date string, first_seen string").withColumn("l", F.lit(1))
     assert [r.id for r in ordering.ranked(rows, "l").orderBy("position").collect()] == ["2", "3", "1"]
     assert [r.id for r in ordering.ranked(rows, "l", oldest=True).orderBy("position").collect()] == ["1", "3", "2"]
