@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewmill.operators import schedule
-from reviewmill.streaming import breaker, budget
+from reviewmill.streaming import breaker, budget, ledger
 
 MINUTE = 60_000
 
@@ -101,3 +101,85 @@ def test_streamed_budget_equals_the_batch(rocks, tmp_path):
     df = rocks.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast("timestamp"))
     want = {x.id: x.granted for x in schedule.budget_grants(df, "key", per_hour=3, per_day=8).collect()}
     assert len(want) == 240 and got == want and 0 < sum(want.values()) < 240
+
+
+HARVEST = "listing string, now string, completeness string, id string, content_hash string"
+
+
+def files(folder, name):
+    return {str(p.relative_to(folder)): p.stat().st_size for p in (folder / name).rglob("*.parquet")}
+
+
+def apply(spark, folder, rows, source, number, buckets=16):
+    return ledger.apply(spark.createDataFrame(rows, HARVEST), str(folder), source, number, spark.createDataFrame([], "id string"), buckets)
+
+
+def test_what_a_batch_writes_follows_its_harvest(spark, tmp_path):
+    whole = [(f"l{k}", "t1", "full", str(i), f"h{i}") for k in range(60) for i in range(20)]
+    assert apply(spark, tmp_path, whole, "s", 0) == 1
+    first = files(tmp_path, "reviews")
+    assert apply(spark, tmp_path, [("l7", "t2", "full", "1", "new"), ("l7", "t2", "full", "2", "h2")], "s", 1) == 2
+    after = files(tmp_path, "reviews")
+    new = {p: n for p, n in after.items() if "version=2" in p}
+    assert len({p.split("/")[2] for p in new}) == 1 and sum(new.values()) < sum(first.values()) / 6
+    rows = {(r.listing, r.id): (r.state, r.revision) for r in ledger.current(spark, str(tmp_path)).collect()}
+    assert len(rows) == 1200 and rows["l7", "1"] == ("active", 2) and rows["l7", "2"] == ("active", 1) and rows["l7", "3"] == ("unconfirmed", 1) and rows["l8", "3"] == ("active", 1)
+    # The same batch again does nothing; one of another stream that has the same number does.
+    assert apply(spark, tmp_path, [("l7", "t3", "full", None, None)], "s", 1) is None
+    assert apply(spark, tmp_path, [("l7", "t3", "full", None, None)], "other", 0) == 3
+    assert apply(spark, tmp_path, [("l7", "t4", "full", None, None)], "s", 1) is None
+    assert {r.missing_streak for r in ledger.current(spark, str(tmp_path)).where("listing = 'l7' AND id = '3'").collect()} == {2}
+    # Of a bucket that was written three times, what no kept manifest names has gone.
+    bucket = next(iter(new)).split("/")[2]
+    assert sorted({p.split("/")[1] for p in files(tmp_path, "reviews") if f"/{bucket}/" in p}) == ["version=2", "version=3"]
+    assert sorted(p.name for p in (tmp_path / "manifest").iterdir() if p.is_dir()) == ["version=2", "version=3"]
+
+
+def test_increments_equal_whole_merges(spark, tmp_path):
+    r = random.Random(4)
+    batches = [[(f"l{r.randrange(12)}", f"t{b}{r.randrange(2)}", r.choice(["full", "full", "partial"]), str(r.randrange(6)), r.choice("xy")) for _ in range(25)] for b in range(4)]
+    for folder, buckets in (("one", 1), ("many", 7)):
+        for k, rows in enumerate(batches):
+            apply(spark, tmp_path / folder, rows, "s", k, buckets)
+    got = [sorted(map(str, ledger.current(spark, str(tmp_path / f)).collect())) for f in ("one", "many")]
+    assert got[0] == got[1] and len(got[0]) > 20
+    times = [sorted(map(str, ledger.harvests(spark, str(tmp_path / f)).collect())) for f in ("one", "many")]
+    assert times[0] == times[1]
+
+
+def test_the_worst_claim_counts(spark, tmp_path):
+    apply(spark, tmp_path, [("a", "t1", "full", "1", "h"), ("a", "t1", "full", "2", "h")], "s", 0)
+    apply(spark, tmp_path, [("a", "t2", "full", "1", "h"), ("a", "t2", "failed", "1", "h")], "s", 1)
+    assert {x.id: x.missing_streak for x in ledger.current(spark, str(tmp_path)).collect()} == {"1": 0, "2": 0}
+
+
+def test_a_crash_leaves_the_last_manifest_in_force(spark, tmp_path, monkeypatch):
+    apply(spark, tmp_path, [("a", "t1", "full", "1", "h"), ("a", "t1", "full", "2", "h")], "s", 0)
+    before = sorted(map(str, ledger.current(spark, str(tmp_path)).collect()))
+    with monkeypatch.context() as m:
+        m.setattr(ledger, "MANIFEST", "no schema")
+        with pytest.raises(Exception):
+            apply(spark, tmp_path, [("a", "t2", "full", "1", "new")], "s", 1)
+    assert sorted(map(str, ledger.current(spark, str(tmp_path)).collect())) == before
+    assert apply(spark, tmp_path, [("a", "t2", "full", "1", "new")], "s", 1) == 2
+    assert {x.id: (x.revision, x.missing_streak) for x in ledger.current(spark, str(tmp_path)).collect()} == {"1": (2, 0), "2": (1, 1)}
+
+
+def test_three_outcomes_of_reading(spark, tmp_path):
+    assert ledger.read_ledger(spark, str(tmp_path / "none"))[0] == "absent"
+    apply(spark, tmp_path / "x", [(f"l{k}", "t1", "full", "1", "h") for k in range(30)], "s", 0)
+    outcome, rows, _ = ledger.read_ledger(spark, str(tmp_path / "x"))
+    assert outcome == "found" and rows.count() == 30
+    part = next((tmp_path / "x" / "reviews").rglob("part-*.parquet"))
+    sound = part.read_bytes()
+    part.write_bytes(sound[: len(sound) // 2])
+    part.with_name("." + part.name + ".crc").unlink(missing_ok=True)
+    outcome, rows, why = ledger.read_ledger(spark, str(tmp_path / "x"))
+    assert (outcome, rows) == ("unreadable", None) and why
+    with pytest.raises(ledger.LedgerUnreadable):
+        apply(spark, tmp_path / "x", [(f"l{k}", "t2", "full", "1", "h") for k in range(30)], "s", 1)
+    part.write_bytes(sound)
+    assert ledger.read_ledger(spark, str(tmp_path / "x"))[0] == "found"
+    # Other columns are no ledger either.
+    spark.createDataFrame([("a", 1)], "listing string, revision long").write.mode("overwrite").parquet(str(part.parent))
+    assert ledger.read_ledger(spark, str(tmp_path / "x"))[0] == "unreadable"
