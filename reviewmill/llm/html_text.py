@@ -4,11 +4,12 @@ The standard library's parser streams events. Its text is cut into lines at
 block-level tags; each line gets its ratio of text to tags. The logarithms of the ratios,
 smoothed by a Gaussian along the page, fall into two clusters by their distance from
 nothing and from the mean of the upper cluster; lines of the upper one are content lines.
-They select the regions. A region is an article (or main) element where the page marks
-some, else what stands between two lines that are kept apart; it is selected if
-it holds a content line. A marked region is content from end to end; of another one, what
-stands from its first to its last content line, if that is at least a tenth of the largest such
-run's text. Lines inside elements that never hold the article (menus, footers,
+They are taken over all lines of the page and select its regions. A region is an article (or
+main) element where the page marks some, or what stands between lines that are kept apart
+or marked; it is selected if its content lines hold a tenth of the text that the content
+lines of the heaviest region hold, so a marked article without content lines is left out and text outside of one is found.
+A marked region is content from end to end, as a short paragraph or a heading inside it has a low ratio; of another one, what
+stands from its first to its last content line. Lines inside elements that never hold the article (menus, footers,
 adverts, forms, comments, notices) bound regions, count as empty and are never content.
 
 Defined results: a null or empty html gives the empty text; broken markup is read as
@@ -152,32 +153,43 @@ def threshold(x: np.ndarray) -> float:
     return high / 2
 
 
-def main_text(html: str) -> str:
+def main_text(html: str, rate=ratios) -> str:
     """Blocks of the content regions, in page order, joined by a line break."""
     parser = Lines()
     parser.feed(html or "")
     parser.close()
     parser.flush()
     lines = [x for x in parser.lines if x[0]]
-    apart = np.array([x[3] for x in lines], bool)
-    article = np.array([x[2] for x in lines], np.int64)
-    own = ~apart & (article > 0) if (article[~apart] > 0).any() else ~apart
-    if not own.any():
+    open_ = np.array([not x[3] for x in lines], bool)
+    if not open_.any():
         return ""
-    ratio = smoothed(ratios(lines))
-    content = own & (ratio >= threshold(ratio[own]))
-    content = own & np.isin(article, article[content]) if article[own].any() else _runs(content, lines, apart)
-    return "\n".join(x[0] for x, c in zip(lines, content, strict=True) if c)
+    ratio = smoothed(rate(lines))
+    content = open_ & (ratio >= threshold(ratio))
+    chosen = _regions(content, lines, open_)
+    return "\n".join(x[0] for x, c in zip(lines, chosen, strict=True) if c)
+
 
+def _regions(content: np.ndarray, lines, open_: np.ndarray) -> np.ndarray:
+    """The lines of the regions that content lines select.
 
-def _runs(content: np.ndarray, lines, apart: np.ndarray) -> np.ndarray:
-    """From the first to the last content line between two kept-apart lines; of these runs, those with at least a tenth of the largest one's text."""
-    edges = [-1, *np.flatnonzero(apart).tolist(), len(lines)]
-    runs = [(at[0], at[-1] + 1) for a, b in zip(edges, edges[1:], strict=False) if len(at := np.flatnonzero(content[a + 1 : b]) + a + 1)]
-    sizes = [sum(len(lines[k][0]) for k in range(a, b)) for a, b in runs]
+    Candidates are each marked article, and each run between lines that are kept apart or stand in an article. A region's weight
+    is the text of its content lines; one of a tenth of the heaviest's or more is selected. Of an article all its open lines
+    are taken, of a run those from its first to its last content line.
+    """
+    article = np.array([x[2] for x in lines], np.int64)
+    size = np.array([len(x[0]) for x in lines], np.int64)
+    bare = open_ & (article == 0)
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], bare.astype(np.int8), [0]]))).reshape(-1, 2)
+    regions = [np.flatnonzero(open_ & (article == k)) for k in np.unique(article[open_ & (article > 0)]).tolist()]
+    for a, b in edge.tolist():
+        at = np.flatnonzero(content[a:b]) + a
+        if len(at):
+            regions.append(np.arange(at[0], at[-1] + 1))
+    weights = [int(size[r][content[r]].sum()) for r in regions]
     out = np.zeros(len(lines), bool)
-    for (a, b), n in zip(runs, sizes, strict=True):
-        out[a:b] = 10 * n >= max(sizes)
+    for r, w in zip(regions, weights, strict=True):
+        if w and 10 * w >= max(weights):
+            out[r] = True
     return out
 
 
