@@ -6,8 +6,8 @@ smoothed by a Gaussian along the page, fall into two clusters by their distance
 nothing and from the mean of the upper cluster; lines of the upper one are content lines.
 They are taken over all lines of the page and select its regions. A region is an article (or
 main) element where the page marks some, or what stands between lines that are kept apart
-or marked; it is selected if its content lines hold a tenth of the text that the content
-lines of the heaviest region hold, so a marked article without content lines is left out and text outside of one is found.
+or marked. A marked region is selected if it has a content line, another one if its content lines hold a tenth of the text
+that those of the heaviest region hold; so a marked article without content lines is left out and text outside of one is found.
 A marked region is content from end to end, as a short paragraph or a heading inside it has a low ratio; of another one, what
 stands from its first to its last content line. Lines inside elements that never hold the article (menus, footers,
 adverts, forms, comments, notices) bound regions, count as empty and are never content.
@@ -172,23 +172,24 @@ def main_text(html: str, rate=ratios) -> str:
 def _regions(content: np.ndarray, lines, open_: np.ndarray) -> np.ndarray:
     """The lines of the regions that content lines select.
 
-    Candidates are each marked article, and each run between lines that are kept apart or stand in an article. A region's weight
-    is the text of its content lines; one of a tenth of the heaviest's or more is selected. Of an article all its open lines
-    are taken, of a run those from its first to its last content line.
+    Candidates are each marked article, and each run between lines that are kept apart or stand in an article. An article with a
+    content line is taken with all its open lines; of a run those from its first to its last content line are, if its
+    content lines hold a tenth of the text that those of the heaviest region hold.
     """
     article = np.array([x[2] for x in lines], np.int64)
     size = np.array([len(x[0]) for x in lines], np.int64)
     bare = open_ & (article == 0)
     edge = np.flatnonzero(np.diff(np.concatenate([[0], bare.astype(np.int8), [0]]))).reshape(-1, 2)
     regions = [np.flatnonzero(open_ & (article == k)) for k in np.unique(article[open_ & (article > 0)]).tolist()]
+    marked = len(regions)
     for a, b in edge.tolist():
         at = np.flatnonzero(content[a:b]) + a
         if len(at):
             regions.append(np.arange(at[0], at[-1] + 1))
     weights = [int(size[r][content[r]].sum()) for r in regions]
     out = np.zeros(len(lines), bool)
-    for r, w in zip(regions, weights, strict=True):
-        if w and 10 * w >= max(weights):
+    for k, (r, w) in enumerate(zip(regions, weights, strict=True)):
+        if w and (k < marked or 10 * w >= max(weights)):
             out[r] = True
     return out
 
