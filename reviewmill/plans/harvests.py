@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import lineage
-from ..functions import numbers, urls
-from ..operators import merge, runs
-from ..sources import extraction, readers
+from ..functions import canonical, numbers, urls
+from ..operators import enrich, merge, redaction, runs
+from ..sources import extraction, publish, readers
 from ..sources.views import table
 from .queries import query
 
@@ -356,6 +357,62 @@ def csv_reviews(spark, sf_dir):
     return readers.read_csv(spark, folder).select("external_id", "reject_reason", F.md5("text").alias("text_md5"), "author_name")
 
 
+# --- records, functions of the user's, publishing
+
+
+@query("""SELECT o_orderkey, sha256('{"a":{"b":"' || o_orderstatus || '","k":[1,null,true,0.5,100]},"id":' || o_orderkey || ',"z":' || regexp_replace(CAST(o_totalprice AS VARCHAR), '\\.0$', '') || ',"é":"' || o_orderpriority || '"}') AS hash FROM orders""")
+def canonical_hashes(spark, sf_dir):
+    """Records whose keys come in one order or the other and whose numbers are written in several ways."""
+    price, key = F.col("o_totalprice").cast("string"), F.col("o_orderkey").cast("string")
+    inner = F.concat(F.lit('{"k": [1.0, null, true, 5e-1, 1E2], "b": "'), "o_orderstatus", F.lit('"}'))
+    one = F.concat(F.lit('{"é":"'), "o_orderpriority", F.lit('","z":'), price, F.lit(',"a":'), inner, F.lit(',"id":'), key, F.lit(".0}"))
+    other = F.concat(F.lit('{"id": '), key, F.lit(', "a": '), inner, F.lit(', "\\u00e9": "'), "o_orderpriority", F.lit('", "z": '), price, F.lit("}"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", canonical.hash_of(F.when(F.col("o_orderkey") % 2 == 0, one).otherwise(other)).alias("hash"))
+
+
+@query(r"""SELECT conv_id, turn, role, md5(CASE WHEN length(t) <= 120 THEN t ELSE substr(t, 1, 120) || '…' END) AS text_md5, '«redacted:authToken»' AS token, 'https://a.example/c?w=5' AS link, 'see «redacted:both»!' AS note, true AS no_cookie, '«redacted:depth»' AS deepest, '«redacted:author»' AS author FROM (SELECT *, replace(text, 'the', 'the') AS t FROM conversations)""")
+def nested_redaction(spark, sf_dir):
+    """Nested records of conversations, with secrets of which one holds another."""
+    c = table(spark, sf_dir, "conversations")
+    deep = F.concat(F.repeat(F.lit('{"d":'), F.lit(12)), F.lit("1"), F.repeat(F.lit("}"), F.lit(12)))
+    record = F.concat(F.lit('{"msg":{"text":'), F.to_json(F.struct(F.col("text").alias("t")), {"ignoreNullFields": "false"}).substr(F.lit(6), F.length(F.to_json(F.struct(F.col("text").alias("t")), {"ignoreNullFields": "false"})) - 6), F.lit(',"meta":[{"authToken":"x"},{"note":"see abc-secret-long!","url":"https://a.example/c?id=7&w=5#x"}],"Name":"Ann"},"Cookie":"c","deep":'), deep, F.lit("}"))
+    r = c.select("conv_id", "turn", "role", redaction.redacted(record, {"part": "secret", "both": "abc-secret-long"}).alias("r"))
+    at = lambda p: F.get_json_object("r", p)
+    return r.select("conv_id", "turn", "role", F.md5(at("$.msg.text")).alias("text_md5"), at("$.msg.meta[0].authToken").alias("token"), at("$.msg.meta[1].url").alias("link"), at("$.msg.meta[1].note").alias("note"), (~F.col("r").contains("ookie")).alias("no_cookie"), at("$.deep.d.d.d.d.d.d.d.d").alias("deepest"), at("$.msg.Name").alias("author"))
+
+
+def _summary(frame):
+    if (frame["doc_id"] % 97 == 0).any():
+        raise ValueError("a row that can't be read")
+    return pd.DataFrame({"summary": frame["text"].fillna("").str.slice(0, 20), "sentiment_score": frame["n_chars"] / 2.0, "rating": 1})
+
+
+def _language(frame):
+    return pd.DataFrame({"language_detected": frame["lang"].where(frame["n_chars"] > 3000, None), "summary": frame["lang"].where(frame["lang"] == "de", None)})
+
+
+@query("SELECT doc_id, CASE WHEN lang = 'de' THEN lang WHEN doc_id % 97 > 0 THEN substr(coalesce(text, ''), 1, 20) END AS summary, CASE WHEN doc_id % 97 > 0 THEN n_chars / 2.0 END::DOUBLE AS score, CASE WHEN n_chars > 3000 THEN lang END AS language, CASE WHEN doc_id % 97 = 0 THEN 'summary' ELSE '' END AS failed, CASE WHEN doc_id % 97 > 0 THEN 'rating' ELSE '' END AS rejected FROM documents")
+def enrichment_functions(spark, sf_dir):
+    """Two functions over batches of documents, of which one raises on some rows and writes a field it may not."""
+    d = enrich.enriched(table(spark, sf_dir, "documents"), {"summary": _summary, "language": _language})
+    return d.select("doc_id", "ai.summary", F.col("ai.sentiment_score").alias("score"), F.col("ai.language_detected").alias("language"), F.array_join("ai_failed", "|").alias("failed"), F.array_join("ai_rejected", "|").alias("rejected"))
+
+
+@query("""SELECT o_orderkey::VARCHAR AS artifact, CASE WHEN o_custkey % 3 = 0 THEN 'second ' || o_orderstatus WHEN o_orderkey % 10 = 0 THEN 'first ' || o_orderstatus WHEN o_orderkey % 5 = 0 THEN 'second ' || o_orderstatus ELSE 'first ' || o_orderstatus END AS body, CAST(CASE WHEN o_custkey % 3 = 0 OR o_orderkey % 10 = 5 THEN 2 ELSE 1 END AS BIGINT) AS version FROM orders""")
+def published_changes(spark, sf_dir):
+    """Artifacts of orders published twice: what the second run writes is what is new, or differs in bytes and in content hash."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    row = lambda body, content: [F.lit("c").alias("client"), F.lit("l").alias("listing"), key.cast("string").alias("artifact"), F.concat(F.lit(body), F.lit(" "), "o_orderstatus").alias("body"), content.alias("content_hash")]
+    first = o.where("o_custkey % 3 > 0").select(*row("first", key.cast("string")))
+    second = o.where((key % 5 == 0) | (F.col("o_custkey") % 3 == 0)).select(*row("second", F.when(key % 10 == 0, key.cast("string")).otherwise(F.concat(key.cast("string"), F.lit("b")))))
+    same = o.where((key % 5 > 0) & (F.col("o_custkey") % 3 > 0)).select(*row("first", key.cast("string")))
+    folder = lineage.shared_path(spark, "published")
+    publish.publish(first, folder)
+    publish.publish(second.union(same), folder)
+    return publish.published(spark, folder).select("artifact", "body").join(publish.state(spark, folder).select("artifact", "version"), "artifact")
+
+
 # --- sources
 
 
