@@ -41,6 +41,28 @@ def alerts(report: DataFrame, *by: str) -> DataFrame:
     return report.where("status = 'act'").withColumn("fingerprint", F.left(F.sha2(F.concat_ws("|", *by, "metric"), 256), F.lit(16)))
 
 
+def error_alerts(health: DataFrame, classes: DataFrame, prefix: str = "alert") -> DataFrame:
+    """(fingerprint, severity, condition, title, body) of each health record that has an error class; classes (code, scope, severity) is the table of errors.
+
+    A condition of scope source is one alert a source, of scope run one a run, else one a listing, also where it hit forty of its reviews. Unknown classes count as errors of a target.
+    """
+    c, known = F.col, F.broadcast(classes.select(F.col("code").alias("error_class"), F.col("scope").alias("_scope"), F.col("severity").alias("_severity")))  # a fixed table
+    or_ = lambda name, other: F.coalesce(c(name), F.lit(other))
+    rows = health.where("error_class IS NOT NULL").join(known, "error_class", "left")
+    severity = or_("_severity", "error")
+    target = F.concat(or_("client_slug", "unknown"), F.lit("/"), or_("listing_key", "all"))
+    scope = F.when(or_("_scope", "target") == "source", F.concat(F.lit("source/"), or_("adapter", "unknown"))).when(c("_scope") == "run", "run").otherwise(F.concat(F.lit("client/"), target))
+    name = F.concat(F.lit(f"[{prefix}:"), severity, F.lit(":"), c("error_class"), F.lit(":"), scope, F.lit("]"))
+    title = F.concat(c("error_class"), F.lit(" — "), target)
+    body = F.concat_ws("\n", F.concat(F.lit("Condition: "), c("error_class"), F.lit(" ("), severity, F.lit(")")), F.concat(F.lit("Target: "), target), F.concat(F.lit("Stop reason: "), or_("stop_reason", "n/a")), name)
+    return rows.select(name.alias("fingerprint"), severity.alias("severity"), c("error_class").alias("condition"), title.alias("title"), body.alias("body")).groupBy("fingerprint").agg(*(F.min(x).alias(x) for x in ("severity", "condition", "title", "body")))
+
+
+def deliverable(alerts_: DataFrame, maintenance: bool = False) -> DataFrame:
+    """What may be sent: all, in maintenance only what is critical."""
+    return alerts_.where(F.col("severity") == "critical") if maintenance else alerts_
+
+
 def deliveries(current: DataFrame, opened: DataFrame) -> DataFrame:
     """(fingerprint, action): open new ones, comment on the first open issue of a known one, close what is gone."""
     first = opened.groupBy("fingerprint").agg(F.min("issue").alias("issue"))

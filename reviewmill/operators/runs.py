@@ -310,12 +310,35 @@ def nesting_problems(of: dict[str, Column]) -> Column:
     return F.filter(F.array(*each), lambda x: x.isNotNull())
 
 
-def preflight(checks: list[tuple[str, Column]]) -> Column:
-    """The code of the first check that fails, in order; null if all pass."""
-    out = F.lit(None).cast("string")
-    for code, failed in reversed(checks):
-        out = F.when(F.coalesce(failed, F.lit(False)), code).otherwise(out)
-    return out
+#: The checks before a run, in order, with the code of each.
+CHECKS = (
+    ("global-kill-switch", "ERR-POLICY-KILLSWITCH"), ("source-enabled", "ERR-POLICY-KILLSWITCH"), ("client-enabled", "ERR-POLICY-KILLSWITCH"), ("authorisation-record", "ERR-POLICY-UNAUTHORIZED"), ("robots-directive", "ERR-POLICY-ROBOTS"),
+    ("rate-budget", "ERR-POLICY-BUDGET"), ("circuit-breaker", "ERR-POLICY-BREAKER-OPEN"),
+)
+PREFLIGHT = "global_enabled boolean, source_enabled boolean, client_enabled boolean, access_method string, authorization struct<authorized_by:string,authorization_date:string,relationship:string,evidence_ref:string,scope_ack:boolean>, robots_mode string, robots_allowed boolean, budget_allowed boolean, breaker_open boolean"
+
+
+def preflight_failures() -> list[Column]:
+    """Whether each of the seven checks fails, from columns as in PREFLIGHT. What isn't said doesn't forbid; only pages that are rendered need an authorisation; a robots
+    directive that can't be found out stops a run in mode block only, one that forbids does unless the mode is ignore. Another mode counts as warn.
+    """
+    c = F.col
+    off = lambda name: F.coalesce(~c(name), F.lit(False))
+    record = c("authorization")
+    lacking = ~F.coalesce(record["scope_ack"], F.lit(False)) | ~F.coalesce(record["relationship"].isin(*RELATIONSHIPS), F.lit(False))
+    for name in AUTHORISATION:
+        lacking = lacking | (F.coalesce(F.trim(record[name].cast("string")), F.lit("")) == "")
+    mode = F.when(c("robots_mode").isin("block", "ignore"), c("robots_mode")).otherwise("warn")
+    robots = F.when(c("robots_allowed").isNull(), mode == "block").when(c("robots_allowed"), False).otherwise(mode != "ignore")
+    return [off("global_enabled"), off("source_enabled"), off("client_enabled"), F.coalesce(c("access_method") == "dom", F.lit(False)) & lacking, robots, off("budget_allowed"), F.coalesce("breaker_open", F.lit(False))]
+
+
+def preflight() -> tuple[Column, Column, Column]:
+    """(allow, code, reasons) of each target: its checks in order up to the first that fails, as (check, name, passed, code)."""
+    failures = preflight_failures()
+    all_ = F.array(*(F.struct(F.lit(k + 1).alias("check"), F.lit(name).alias("name"), (~f).alias("passed"), F.when(f, code).alias("code")) for k, ((name, code), f) in enumerate(zip(CHECKS, failures, strict=True))))
+    first = F.get(F.filter(all_, lambda x: ~x["passed"]), 0)
+    return first.isNull(), first["code"], F.slice(all_, 1, F.coalesce(first["check"], F.lit(len(CHECKS))))
 
 
 def coerced(raw: Column, kind: str) -> tuple[Column, Column]:

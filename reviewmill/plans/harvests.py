@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from .. import lineage
 from ..functions import canonical, numbers, urls
-from ..operators import enrich, merge, redaction, runs
-from ..sources import extraction, publish, readers
+from ..operators import enrich, health, merge, redaction, runs
+from ..sources import extraction, port, publish, readers
 from ..sources.views import table
 from .queries import query
 
@@ -155,11 +155,20 @@ def timeout_nesting(spark, sf_dir):
     return p.select("p_partkey", F.array_join(runs.nesting_problems(runs.budgets("navigation_timeout_ms", "surface_timeout_ms")), ",").alias("problems"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'ERR-POLICY-KILLSWITCH' WHEN c_acctbal < 0 THEN 'ERR-POLICY-UNAUTHORIZED' WHEN c_nationkey = 3 THEN 'ERR-POLICY-ROBOTS' WHEN n >= 5 THEN 'ERR-POLICY-BUDGET' WHEN e > 0 THEN 'ERR-POLICY-BREAKER-OPEN' END AS code FROM customer LEFT JOIN (SELECT user_id, count(*) AS n, count(*) FILTER (event_type = 'error') AS e FROM events GROUP BY 1) ON user_id = c_custkey")
+@query("""WITH c AS (SELECT c_custkey, c_custkey % 40 <> 1 AS global_on, CASE c_mktsegment WHEN 'MACHINERY' THEN FALSE WHEN 'BUILDING' THEN TRUE END AS source_on, c_nationkey <> 7 AS client_on, c_custkey % 2 = 0 AS dom, c_acctbal < 0 AS unsigned, c_custkey % 10 = 4 AS stranger, c_custkey % 5 AS robots, c_custkey % 3 AS mode, n, e FROM customer LEFT JOIN (SELECT user_id, count(*) AS n, count(*) FILTER (event_type = 'error') AS e FROM events GROUP BY 1) ON user_id = c_custkey),
+  f AS (SELECT c_custkey, CASE WHEN NOT global_on THEN 1 WHEN NOT source_on THEN 2 WHEN NOT client_on THEN 3 WHEN dom AND (unsigned OR stranger) THEN 4 WHEN robots = 0 AND mode <> 2 THEN 5 WHEN robots = 1 AND mode = 0 THEN 5 WHEN n >= 5 THEN 6 WHEN e > 0 THEN 7 END AS failed FROM c)
+  SELECT c_custkey, failed IS NULL AS allow, CASE WHEN failed <= 3 THEN 'ERR-POLICY-KILLSWITCH' WHEN failed = 4 THEN 'ERR-POLICY-UNAUTHORIZED' WHEN failed = 5 THEN 'ERR-POLICY-ROBOTS' WHEN failed = 6 THEN 'ERR-POLICY-BUDGET' WHEN failed = 7 THEN 'ERR-POLICY-BREAKER-OPEN' END AS code, CAST(coalesce(failed, 7) AS INT) AS checked FROM f""")
 def preflight(spark, sf_dir):
+    """The seven checks of every customer taken as a target."""
+    k = F.col("c_custkey")
     used = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("c_custkey")).agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("e"))
-    checks = [("ERR-POLICY-KILLSWITCH", F.lit(False)), ("ERR-POLICY-KILLSWITCH", F.col("c_mktsegment") == "MACHINERY"), ("ERR-POLICY-UNAUTHORIZED", F.col("c_acctbal") < 0), ("ERR-POLICY-ROBOTS", F.col("c_nationkey") == 3), ("ERR-POLICY-BUDGET", F.col("n") >= 5), ("ERR-POLICY-BREAKER-OPEN", F.col("e") > 0)]
-    return table(spark, sf_dir, "customer").join(used, "c_custkey", "left").select("c_custkey", runs.preflight(checks).alias("code"))
+    record = F.struct(F.lit("Ann").alias("authorized_by"), F.lit("2024-01-01").alias("authorization_date"), F.when(k % 10 == 4, "friend").otherwise("owner").alias("relationship"), F.when(F.col("c_acctbal") < 0, " ").otherwise("ref").alias("evidence_ref"), F.lit(True).alias("scope_ack"))
+    c = table(spark, sf_dir, "customer").join(used, "c_custkey", "left").select(
+        k, (k % 40 != 1).alias("global_enabled"), F.when(F.col("c_mktsegment") == "MACHINERY", False).when(F.col("c_mktsegment") == "BUILDING", True).alias("source_enabled"), (F.col("c_nationkey") != 7).alias("client_enabled"), F.when(k % 2 == 0, "dom").otherwise("api").alias("access_method"), record.alias("authorization"),
+        F.when(k % 3 == 0, "block").when(k % 3 == 1, "odd").otherwise("ignore").alias("robots_mode"), F.when(k % 5 == 0, False).when(k % 5 > 1, True).alias("robots_allowed"), (F.col("n") < 5).alias("budget_allowed"), (F.col("e") > 0).alias("breaker_open"),
+    )
+    allow, code, reasons = runs.preflight()
+    return c.select("c_custkey", allow.alias("allow"), code.alias("code"), F.size(reasons).alias("checked"))
 
 
 @query("""SELECT p_partkey, TRY_CAST(nullif(trim(raw), '') AS DOUBLE) AS number, CASE WHEN TRY_CAST(nullif(trim(raw), '') AS DOUBLE) IS NULL THEN 'a number' END AS number_expected,
@@ -413,6 +422,36 @@ def published_changes(spark, sf_dir):
     return publish.published(spark, folder).select("artifact", "body").join(publish.state(spark, folder).select("artifact", "version"), "artifact")
 
 
+@query("""WITH h AS (SELECT CASE user_id % 6 WHEN 0 THEN 'ERR-BLOCKED-CHALLENGE' WHEN 1 THEN 'ERR-NET-DNS' WHEN 2 THEN 'ERR-CONFIG-INVALID' ELSE 'ERR-NO-SUCH' END AS code, CASE WHEN user_id % 7 > 0 THEN 'c' || user_id % 50 END AS client, CASE WHEN user_id % 11 > 0 THEN 'l' || user_id % 3 END AS listing, 'a' || user_id % 2 AS adapter FROM events WHERE event_type = 'error'),
+  t AS (SELECT *, coalesce(client, 'unknown') || '/' || coalesce(listing, 'all') AS target, CASE code WHEN 'ERR-BLOCKED-CHALLENGE' THEN 'source' WHEN 'ERR-CONFIG-INVALID' THEN 'run' ELSE 'target' END AS scope, CASE code WHEN 'ERR-BLOCKED-CHALLENGE' THEN 'critical' WHEN 'ERR-NET-DNS' THEN 'warn' ELSE 'error' END AS severity FROM h)
+  SELECT '[alert:' || severity || ':' || code || ':' || CASE scope WHEN 'source' THEN 'source/' || adapter WHEN 'run' THEN 'run' ELSE 'client/' || target END || ']' AS fingerprint, severity, code AS condition, min(code || ' — ' || target) AS title, bool_or(severity = 'critical') AS in_maintenance FROM t GROUP BY 1, 2, 3""")
+def error_alerts(spark, sf_dir):
+    """Alerts of the error classes of a health series made from events, and which are still sent in maintenance."""
+    u = F.col("user_id")
+    h = table(spark, sf_dir, "events").where("event_type = 'error'").select(
+        F.when(u % 6 == 0, "ERR-BLOCKED-CHALLENGE").when(u % 6 == 1, "ERR-NET-DNS").when(u % 6 == 2, "ERR-CONFIG-INVALID").otherwise("ERR-NO-SUCH").alias("error_class"), F.when(u % 7 > 0, F.concat(F.lit("c"), (u % 50).cast("string"))).alias("client_slug"), F.when(u % 11 > 0, F.concat(F.lit("l"), (u % 3).cast("string"))).alias("listing_key"),
+        F.concat(F.lit("a"), (u % 2).cast("string")).alias("adapter"), F.lit(None).cast("string").alias("stop_reason"),
+    )
+    classes = spark.createDataFrame([("ERR-BLOCKED-CHALLENGE", "source", "critical"), ("ERR-NET-DNS", "target", "warn"), ("ERR-CONFIG-INVALID", "run", "error")], "code string, scope string, severity string")
+    found = health.error_alerts(h, classes)
+    sent = health.deliverable(found, maintenance=True).select("fingerprint", F.lit(True).alias("in_maintenance"))
+    return found.join(sent, "fingerprint", "left").select("fingerprint", "severity", "condition", "title", F.coalesce("in_maintenance", F.lit(False)).alias("in_maintenance"))
+
+
+@query(r"""WITH t AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations), r AS (SELECT * FROM t WHERE k < 5 AND conv_id % 8 > 0 AND (turn % 4 > 0 OR text IS NOT NULL))
+  SELECT 'c' || conv_id || '-' || turn AS author_name, CASE WHEN turn % 4 > 0 THEN CAST(turn % 5 + 1 AS VARCHAR) END AS rating, md5(text) AS text_md5, n AS advertised_total, 'cap_reached' AS stop_reason, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS ordinal FROM r UNION ALL SELECT NULL, NULL, NULL, NULL, 'error', NULL FROM (SELECT DISTINCT conv_id FROM t WHERE conv_id % 8 = 0)""")
+def acquired_files(spark, sf_dir):
+    """Place details made of conversations, written as files and read by the data source; some of them are broken."""
+    one = F.struct(F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("author_name"), F.when(F.col("turn") % 4 > 0, F.col("turn") % 5 + 1).alias("rating"), "text")
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", one.alias("r")))), lambda x: x["r"]).alias("reviews"), F.count("*").alias("n"))
+    whole = F.to_json(F.struct(F.struct(F.col("reviews"), F.col("n").alias("user_ratings_total")).alias("result")))
+    folder = lineage.shared_path(spark, "places")
+    c.select(F.when(F.col("conv_id") % 8 == 0, F.left(whole, F.lit(20))).otherwise(whole).alias("value")).write.text(folder)
+    port.register(spark)
+    rows = spark.read.format("review_files").option("path", folder).option("adapter", "places").load()
+    return rows.select("author_name", "rating", F.md5("text").alias("text_md5"), "advertised_total", "stop_reason", "ordinal")
+
+
 # --- sources
 
 
