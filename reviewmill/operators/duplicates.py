@@ -87,10 +87,12 @@ def similarity_pairs(reviews: DataFrame, key: str = "author_key", threshold: flo
     """
     kind, key_kind = dict(reviews.dtypes)["id"], dict(reviews.dtypes)[key]
     folded = reviews.where(F.col(key).isNotNull() & (F.trim(key) != "")).select(F.col(key).alias("k"), "id", fold(F.coalesce("text", F.lit(""))).alias("t")).withColumn("size", F.greatest(F.length("t") - 1, F.lit(0)))
-    longer = folded.where("size > 0").withColumn("band", F.floor(F.log("size") / (math.log((2 - threshold) / threshold) * (1 + 1e-6))))
+    # Written once: folding costs more than all that follows, and the counts below read two columns only.
+    folded = cut_lineage(folded.withColumn("band", F.when(F.col("size") > 0, F.floor(F.log("size") / (math.log((2 - threshold) / threshold) * (1 + 1e-6))))))
+    longer = folded.where("size > 0")
     sizes = longer.groupBy("k", "band").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    dealt = cut_lineage(longer.join(sizes, ["k", "band"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).select("k", "id", "t", "band", "part"))
-    blocks = dealt.select("k", "band", "part").distinct()
+    dealt = longer.join(sizes, ["k", "band"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).select("k", "id", "t", "band", "part")
+    blocks = sizes.select("k", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     near = blocks.select("k", F.col("band").alias("x"), F.col("part").alias("px"), F.explode(F.array("band", F.col("band") + 1)).alias("y"))
     two = near.join(blocks.select("k", F.col("band").alias("y"), F.col("part").alias("py")), ["k", "y"]).where("x < y OR px <= py")
     two = two.withColumn("pair", F.xxhash64("k", "x", "px", "y", "py"))
