@@ -21,16 +21,19 @@ def completeness_of(stop_reason: Column) -> Column:
     return F.coalesce(F.create_map(*[F.lit(v) for k, c in COMPLETENESS.items() for v in (k, c)])[stop_reason], F.lit("failed"))
 
 
-def reconcile(ledger: DataFrame, observed: DataFrame, harvests: DataFrame, denylist: DataFrame, confirmations: int = CONFIRMATIONS) -> DataFrame:
+def reconcile(ledger: DataFrame, observed: DataFrame, harvests: DataFrame, denylist: DataFrame, confirmations: int = CONFIRMATIONS, carried: tuple[str, ...] = (), pinned: tuple[str, ...] = ()) -> DataFrame:
     """Ledger rows after the harvests, each with its outcome (null where the listing had none).
 
+    carried: further columns of ledger and observed, of which an insert or update takes what was observed. pinned: further columns that keep what was
+    observed first, such as a date estimated from "2 months ago", which would move with every harvest.
+
     ledger: listing, id, content_hash, state, first_seen_at, last_seen_at, last_updated_at, revision, missing_streak,
     tombstoned_at, history. observed: listing, id, content_hash (one row of each). harvests: listing, now, completeness,
     last_full_harvest_at. denylist: id. A review is taken for removed after 2 to 10 complete harvests without it.
     """
     if not 2 <= confirmations <= 10:
         raise ValueError("confirmations must be 2 to 10")
-    seen = observed.join(harvests.select("listing"), "listing", "left_semi").select("listing", "id", F.col("content_hash").alias("o_hash"), F.lit(True).alias("o"))
+    seen = observed.join(harvests.select("listing"), "listing", "left_semi").select("listing", "id", F.col("content_hash").alias("o_hash"), *(F.col(c).alias(f"o_{c}") for c in (*carried, *pinned)), F.lit(True).alias("o"))
     known = ledger.withColumn("p", F.lit(True))
     j = known.join(seen, ["listing", "id"], "full_outer").join(harvests, "listing", "left").join(denylist.select("id", F.lit(True).alias("denied")).distinct(), "id", "left")
     present, prior, denied = F.col("o").isNotNull(), F.col("p").isNotNull(), F.col("denied").isNotNull()
@@ -54,6 +57,7 @@ def reconcile(ledger: DataFrame, observed: DataFrame, harvests: DataFrame, denyl
         F.when(is_("INSERTED", "UPDATED", "UNCHANGED"), 0).when(is_("MISSING", "TOMBSTONED"), F.col("missing_streak") + 1).otherwise(F.col("missing_streak")).alias("missing_streak"),
         F.when(changed, None).when(is_("TOMBSTONED"), F.col("now")).otherwise(F.col("tombstoned_at")).alias("tombstoned_at"),
         F.when(is_("INSERTED"), F.array().cast("array<string>")).when(is_("UPDATED"), F.array_append("history", F.col("content_hash"))).otherwise(F.col("history")).alias("history"),
+        *(F.when(changed, F.col(f"o_{c}")).otherwise(F.col(c)).alias(c) for c in carried), *(F.when(is_("INSERTED"), F.col(f"o_{c}")).otherwise(F.col(c)).alias(c) for c in pinned),
     )
 
 

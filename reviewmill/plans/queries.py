@@ -351,6 +351,26 @@ def decision_tally(spark, sf_dir):
     return merge.tally(_merged(spark, sf_dir), "listing")
 
 
+@query("""WITH p AS (SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS day, 'month' AS precision, 'was ' || o_orderstatus AS text FROM orders WHERE o_custkey % 4 > 0), n AS (SELECT o_orderkey AS id, strftime(DATE '2024-06-01' - CAST(o_custkey % 20 + 1 AS INT) * CASE WHEN o_orderkey % 2 = 0 THEN 7 ELSE 1 END, '%Y-%m-%d') AS day, CASE WHEN o_orderkey % 2 = 0 THEN 'week' ELSE 'day' END AS precision, 'is ' || o_orderstatus AS text, o_orderkey % 3 = 0 AS edited FROM orders WHERE o_custkey % 3 > 0)
+  SELECT id, CASE WHEN p.id IS NULL THEN 'INSERTED' WHEN n.id IS NULL THEN 'MISSING' WHEN edited THEN 'UPDATED' ELSE 'UNCHANGED' END AS outcome, coalesce(p.day, n.day) AS day, coalesce(p.precision, n.precision) AS precision, CASE WHEN p.id IS NULL OR edited THEN n.text ELSE p.text END AS text FROM p FULL JOIN n USING (id)""")
+def pinned_dates(spark, sf_dir):
+    """A harvest with relative dates merged into a ledger: a date is estimated once, texts follow the source."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    day, none = F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(None).cast("string")
+    prior = o.where("o_custkey % 4 > 0").select(
+        F.lit("l").alias("listing"), k.alias("id"), F.lit("h").alias("content_hash"), F.lit("active").alias("state"), day.alias("first_seen_at"), day.alias("last_seen_at"), day.alias("last_updated_at"), F.lit(1).alias("revision"), F.lit(0).alias("missing_streak"), none.alias("tombstoned_at"), F.array().cast("array<string>").alias("history"),
+        day.alias("day"), F.lit("month").alias("precision"), F.concat(F.lit("was "), "o_orderstatus").alias("text"),
+    )
+    phrase = F.concat((F.col("o_custkey") % 20 + 1).cast("string"), F.when(k % 2 == 0, " weeks ago").otherwise(" days ago"))
+    count, unit = dates.parse_phrase(phrase, F.lit("en"))
+    seen = o.where("o_custkey % 3 > 0").select(
+        F.lit("l").alias("listing"), k.alias("id"), F.when(k % 3 == 0, "new").otherwise("h").alias("content_hash"), F.date_format(F.timestamp_millis(dates.resolve_ms(F.unix_millis(F.lit("2024-06-01T00:00:00Z").cast("timestamp")), count, unit)), "yyyy-MM-dd").alias("day"), dates.precision_of(unit)[0].alias("precision"), F.concat(F.lit("is "), "o_orderstatus").alias("text"),
+    )
+    harvest = spark.createDataFrame([("l", _NOW, "full", None)], "listing string, now string, completeness string, last_full_harvest_at string")
+    merged = merge.reconcile(prior, seen, harvest, o.where("false").select(k.alias("id")), carried=("text",), pinned=("day", "precision"))
+    return merged.select("id", "outcome", "day", "precision", "text")
+
+
 @query("""WITH l AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 11 = 0 THEN o_orderkey + 1 ELSE o_orderkey END AS own, CASE o_orderstatus WHEN 'P' THEN 'tombstoned' ELSE 'active' END AS state, o_custkey % 4 - 1 AS streak, o_custkey % 5 AS revision, o_custkey % 3 AS hashes, o_orderdate AS first, o_orderdate + to_days(CAST(o_custkey % 10 - 1 AS INT)) AS last, o_custkey % 2 = 0 AS timed FROM orders),
   v AS (SELECT id, 'key' AS rule FROM l WHERE own <> id UNION ALL SELECT id, 'revision' FROM l WHERE revision < 1 UNION ALL SELECT id, 'streak' FROM l WHERE streak < 0 UNION ALL SELECT id, 'tombstone_without_time' FROM l WHERE state = 'tombstoned' AND NOT timed UNION ALL SELECT id, 'seen_before_first' FROM l WHERE first > last UNION ALL SELECT id, 'history' FROM l WHERE hashes <> revision - 1)
   SELECT id, string_agg(rule, '|' ORDER BY rule) AS broken FROM v GROUP BY id""")

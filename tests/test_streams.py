@@ -183,3 +183,13 @@ def test_three_outcomes_of_reading(spark, tmp_path):
     # Other columns are no ledger either.
     spark.createDataFrame([("a", 1)], "listing string, revision long").write.mode("overwrite").parquet(str(part.parent))
     assert ledger.read_ledger(spark, str(tmp_path / "x"))[0] == "unreadable"
+
+
+def test_dates_are_pinned_and_texts_follow(spark):
+    from reviewmill.operators import merge
+
+    ledger_rows = spark.createDataFrame([("l", "1", "h", "active", "t0", "t0", "t0", 1, 0, None, [], "2024-01-01", "old"), ("l", "2", "h", "tombstoned", "t0", "t0", "t0", 1, 3, "t0", [], None, "old")], ledger.LEDGER + ", day string, text string")
+    seen = spark.createDataFrame([("l", "1", "new", "2024-02-02", "now"), ("l", "2", "new", "2024-02-02", "now"), ("l", "3", "h", None, "now")], "listing string, id string, content_hash string, day string, text string")
+    harvest = spark.createDataFrame([("l", "t1", "full", None)], "listing string, now string, completeness string, last_full_harvest_at string")
+    got = {r.id: (r.outcome, r.day, r.text) for r in merge.reconcile(ledger_rows, seen, harvest, spark.createDataFrame([], "id string"), carried=("text",), pinned=("day",)).collect()}
+    assert got == {"1": ("UPDATED", "2024-01-01", "now"), "2": ("IGNORED_TERMINAL", None, "old"), "3": ("INSERTED", None, "now")}
