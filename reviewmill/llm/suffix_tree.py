@@ -1,20 +1,19 @@
-"""Language-model scores by a probabilistic suffix tree over the bytes of words.
+"""Language-model scores by a probabilistic suffix tree over bytes.
 
-A text is a sequence of lower-cased words and an end; a word is the symbols (bytes) it has
-and a blank, the end one symbol of its own. The context of a symbol is what precedes it in its word, up to DEPTH
-symbols, with blanks before the word's first one. A context is retained if it stands at least LEAST times
+A text is the words it has, lower-cased, each followed by one blank, and an end symbol;
+the symbols are its bytes. The context of a symbol is the DEPTH symbols that precede it in
+the text, across words, with blanks before the first one. A context is retained if it stands at least LEAST times
 in the training documents and the divergence of its next symbols from those of its
 longest retained suffix, times its count, reaches DIVERGENCE. A retained context's
 distribution is its counts smoothed by WEIGHT observations drawn from that suffix's
 distribution. A symbol is scored in the state of the longest retained suffix of what
 precedes it. LEAST and DIVERGENCE are absolute, so the tree grows with the corpus.
 
-The tree is a table: for each string of up to DEPTH symbols and the next one that any
+The tree is a table: for each string of DEPTH symbols and the next one that any
 document holds, the probability of the next one; it is made level by level, by aggregates
-and joins, and never leaves the cluster. Words get their scores from it, documents the sums over
-their words: documents are dealt into blocks of about BLOCK bytes, a block asks once for
-each of its distinct words (as blocks of words do for their strings), and the FREQUENT
-commonest words, a fixed number, are known everywhere.
+and joins, and never leaves the cluster. Documents are dealt into blocks of about BLOCK
+bytes; a block asks once for each of its distinct strings and words, and the FREQUENT
+commonest of both, a fixed number, are known everywhere.
 
 Defined results: a null or empty text is its end alone; a null id counts as the empty
 text in the split; repeated rows get a row each; an empty table gives none; an empty
@@ -23,12 +22,10 @@ training set leaves N = V = 0 and a uniform model.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,113 +37,108 @@ LEAST = 8
 DIVERGENCE = 6.0
 WEIGHT = 8.0
 FREQUENT = 1 << 18
-BLOCK = 8 << 20
-#: Words whose strings are asked for together.
-WORDS = 1 << 17
+BLOCK = 16 << 20
 #: Bytes of text in arrays at a time.
 CHUNK = 2 << 20
-#: Different words a counting task holds before it sends them on.
-HELD = 1 << 19
+#: Different keys a task holds before it sends them on, and rows it sends at a time.
+HELD = 1 << 22
+ROWS = 1 << 17
 SPACE, END = b" ", b"\n"
 _PAD = SPACE * DEPTH
+#: What a counted key is: a word's hash, a string, the training documents, the bytes of all texts.
+WORD, STRING, DOCUMENTS, BYTES = range(4)
 
 
 def held_out(id_col: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))), F.lit(7)) == 2
 
 
-def _strings(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of DEPTH symbols and the next, one for each symbol of each word, and where each word's begin; the end is one symbol."""
-    own = [w if w == END else w + SPACE for w in words]
+def _strings(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of DEPTH symbols and the next, one for each symbol of each text, and where each text's begin (one more entry at the end)."""
+    own = [b"".join([w + SPACE for w in t.lower().split()]) + END for t in texts]
     sizes = np.array([len(o) for o in own], np.int64)
     data = np.frombuffer(_PAD + _PAD.join(own), np.uint8).astype(np.uint64)
     keys = data[DEPTH:].copy()
     for k in range(1, DEPTH + 1):
         keys |= data[DEPTH - k : len(data) - k] << np.uint64(8 * k)
-    keep = np.ones(len(keys), bool)  # without the positions of the padding between words
+    keep = np.ones(len(keys), bool)  # without the positions of the padding between texts
     ends = np.cumsum(sizes + DEPTH)[:-1] - DEPTH
     keep[(ends[:, None] + np.arange(DEPTH)[None, :]).ravel()] = False
-    return keys[keep], np.cumsum(sizes) - sizes
+    return keys[keep].view(np.int64), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def gather(docs: DataFrame) -> DataFrame:
-    """(word, n, size) over docs (text, held): all words of all documents and how often they stand in training documents; the end as a word.
-
-    size is the bytes of all texts, in the end's row.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def sent() -> pa.RecordBatch:
-            for w in other:
-                learned.setdefault(w, 0)
-            out = pa.RecordBatch.from_arrays([pa.array(list(learned), pa.binary()), pa.array(list(learned.values()), pa.int64()), pa.array(np.zeros(len(learned), np.int64))], names=["word", "n", "size"])
-            learned.clear()
-            other.clear()
-            return out
-
-        learned, other, size, ends = Counter(), set(), 0, 0
-        for batch in batches:
-            held, at = batch.column("held").to_pylist(), 0
-            for part, texts in text_chunks(batch, limit=CHUNK):
-                for t, h in zip(texts, held[at : at + part.num_rows], strict=True):
-                    size += len(t)
-                    ends += not h
-                    (other if h else learned).update(t.lower().split())
-                at += part.num_rows
-                if len(learned) + len(other) > HELD:
-                    yield sent()
-        yield sent()
-        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64()), pa.array([size], pa.int64())], names=["word", "n", "size"])
-
-    # A task's words are distinct, so they go out as they are: to merge them before the shuffle as well would find nothing equal.
-    return docs.select("text", "held").mapInArrow(run, "word binary, n long, size long").repartition("word").groupBy("word").agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
+class _Sums:
+    """Counts by key, in parts that are merged when they hold more than most keys together."""
 
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
 
-def numbered(words: DataFrame, most: int) -> DataFrame:
-    """(block, key, word, n, size): words in blocks of up to most, with their hashes."""
+    def add(self, keys: np.ndarray, learned: bool) -> None:
+        keys, n = np.unique(keys, return_counts=True)
+        self.parts.append((keys, n if learned else np.zeros(len(n), np.int64)))
+        self.size += len(keys)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, size = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if size and size + batch.num_rows > most:
-                block, size = block + 1, 0
-            size += batch.num_rows
-            own = batch.column("word").to_pylist()
-            keys = [_END_KEY if w == END else None for w in own]
-            hashes = iter(word_hashes([b" ".join(w for w in own if w != END)])[0].view(np.int64).tolist())
-            keys = [next(hashes) if k is None else k for k in keys]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, block)), pa.array(keys, pa.int64()), *batch.columns], names=["block", "key", "word", "n", "size"])
+    def full(self) -> bool:
+        """Whether so many keys differ that they have to be sent on."""
+        if self.size <= self.most:
+            return False
+        self.merge()
+        return self.size > self.most // 2
 
-    return words.select("word", "n", "size").mapInArrow(run, "block long, key long, word binary, n long, size long")
+    def merge(self) -> None:
+        if len(self.parts) > 1:
+            keys, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], n[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            self.parts = [(keys[first], np.add.reduceat(n, first))] if len(keys) else []
+        self.size = sum(len(k) for k, _ in self.parts)
 
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        self.merge()
+        keys, n = self.parts[0] if self.parts else (np.empty(0, np.int64), np.empty(0, np.int64))
+        self.parts, self.size = [], 0
+        return keys, n
 
-#: The end's place among the words' hashes.
-_END_KEY = 1
 
-
-def strings(words: DataFrame) -> DataFrame:
-    """(key, n): the strings of DEPTH symbols and the next of all words (word, n) and how often they stand in training documents."""
+def gather(docs: DataFrame) -> DataFrame:
+    """(kind, key, n) over docs (text, held): how often each word stands in training documents, and each string of any document; the number of training documents and the bytes of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent(kind: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(keys), ROWS):
+                k = keys[a : a + ROWS]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[a : a + ROWS])], names=["kind", "key", "n"])
+
+        held, totals = {WORD: _Sums(HELD), STRING: _Sums(HELD)}, np.zeros(2, np.int64)
         for batch in batches:
-            counts = batch.column("n").to_numpy()
-            at = 0
-            for part, own in text_chunks(batch, "word", CHUNK):
-                keys, begin = _strings(own)
-                n = np.repeat(counts[at : at + part.num_rows], np.diff(np.append(begin, len(keys))))
+            apart, at = batch.column("held").to_numpy(zero_copy_only=False), 0
+            for part, texts in text_chunks(batch, limit=CHUNK):
+                out = apart[at : at + part.num_rows]
                 at += part.num_rows
-                k, of = np.unique(keys, return_inverse=True)
-                sums = np.zeros(len(k), np.int64)
-                np.add.at(sums, of, n)
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(sums)], names=["key", "n"])
-
-    return words.select("word", "n").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+                totals += [int((~out).sum()), sum(map(len, texts))]
+                learned = [t for t, h in zip(texts, out, strict=True) if not h]
+                if learned:
+                    held[WORD].add(word_hashes([t.lower() for t in learned])[0].view(np.int64), True)
+                    held[STRING].add(_strings(learned)[0], True)
+                if len(learned) < len(texts):
+                    held[STRING].add(_strings([t for t, h in zip(texts, out, strict=True) if h])[0], False)
+                for kind, sums in held.items():
+                    if sums.full():
+                        yield from sent(kind, *sums.taken())
+        for kind, sums in held.items():
+            yield from sent(kind, *sums.taken())
+        for kind, n in zip((DOCUMENTS, BYTES), totals, strict=True):
+            yield from sent(kind, np.zeros(1, np.int64), np.array([n], np.int64))
+
+    # A task's keys are distinct, so they go out as they are: to merge them before the shuffle as well would find nothing equal.
+    return docs.select("text", "held").mapInArrow(run, "kind byte, key long, n long").repartition("key").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def grow(counts: DataFrame, least: int = LEAST, divergence: float = DIVERGENCE, weight: float = WEIGHT) -> DataFrame:
-    """(key, p, state) from counts (key, n) of strings of DEPTH symbols and the next: the next one's probability in the state that the others lead to, and that state's length."""
+    """(key, p, state, n) from counts (key, n) of strings of DEPTH symbols and the next: the next one's probability in the state that the others lead to, and that state's length."""
     mask = lambda c, d: c.bitwiseAND((1 << 8 * (d + 1)) - 1)
     levels = [counts]
     for d in range(DEPTH - 1, -1, -1):  # each length summed from the next longer one
@@ -157,96 +149,87 @@ def grow(counts: DataFrame, least: int = LEAST, divergence: float = DIVERGENCE,
     for d in range(1, DEPTH + 1):
         rows = levels[d].withColumns({"low": mask(F.col("key"), d - 1), "context": F.shiftright("key", 8)})
         own = Window.partitionBy("context")
-        rows = rows.join(above, "low").withColumn("total", F.sum("n").over(own)).withColumn("gain", F.sum(F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / F.col("total") / F.col("q"))).otherwise(0.0)).over(own))
+        rows = rows.join(above.select("low", "q", "above"), "low").withColumn("total", F.sum("n").over(own)).withColumn("gain", F.sum(F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / F.col("total") / F.col("q"))).otherwise(0.0)).over(own))
         keep = (F.col("total") >= least) & (F.col("gain") >= divergence)
         p = F.when(keep, (F.col("n") + weight * F.col("q")) / (F.col("total") + weight)).otherwise(F.col("q"))
-        above = staged(rows.select(F.col("key").alias("low"), p.alias("q"), F.when(keep, d).otherwise(F.col("above")).alias("above")), "tree")
-    return above.select(F.col("low").alias("key"), F.col("q").alias("p"), F.col("above").alias("state"))
-
-
-def scored_words(words: DataFrame, tree: DataFrame) -> DataFrame:
-    """(key, n, log): each word's log10 probability; words are (block, key, word, n), staged, and the tree holds all their strings."""
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            block = batch.column("block").to_numpy()
-            for b in np.unique(block).tolist():
-                part = batch.filter(pa.array(block == b))
-                for _, own in text_chunks(part, "word", CHUNK):
-                    yield pa.RecordBatch.from_arrays([pa.array(k := np.unique(_strings(own)[0]).view(np.int64)), pa.array(np.full(len(k), b))], names=["key", "block"])
-
-    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        known, logs = right.column("key").to_numpy(), np.log10(right.column("p").to_numpy())
-        order = np.argsort(known)
-        known, logs, out = known[order], logs[order], []
-        for batch in left.combine_chunks().to_batches():
-            for part, own in text_chunks(batch, "word", CHUNK):
-                keys, begin = _strings(own)
-                sums = np.add.reduceat(logs[np.searchsorted(known, keys.view(np.int64))], begin)
-                out.append(pa.RecordBatch.from_arrays([part.column("key"), part.column("n"), pa.array(sums)], names=["key", "n", "log"]))
-        return pa.Table.from_batches(out, schema=pa.schema([("key", pa.int64()), ("n", pa.int64()), ("log", pa.float64())]))
-
-    asked = words.select("block", "word").mapInArrow(ask, "key long, block long").distinct()
-    told = asked.join(tree.select("key", "p"), "key")
-    return words.select("block", "key", "word", "n").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(answer, "key long, n long, log double")
+        above = staged(rows.select(F.col("key").alias("low"), p.alias("q"), F.when(keep, d).otherwise(F.col("above")).alias("above"), "n"), "tree")
+    return above.select(F.col("low").alias("key"), F.col("q").alias("p"), F.col("above").alias("state"), "n")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("held", held_out(F.col("id")))
-    words = staged(numbered(gather(rows), WORDS), "words")
-    tree = grow(staged(strings(words), "counts"))
-    words_scored = staged(scored_words(words, tree), "scores")
-    sums = words.agg(F.sum("n").alias("total"), F.sum((F.col("n") > 0).cast("long")).alias("distinct"), F.sum("size").alias("size")).first()
-    total, distinct = sums["total"] or 0, sums["distinct"] or 0
-    blocks = max(1, -(-(sums["size"] or 0) // BLOCK))
-    # Missing where the table has no rows.
-    ends = words_scored.where(F.col("key") == _END_KEY).first()
-    learned, end_log = (ends["n"], ends["log"]) if ends else (0, 0.0)
-    inner = words_scored.where(F.col("key") != _END_KEY)
-    top = inner.where("n > 0").orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
-    order = np.argsort(k := top.column("key").to_numpy().view(np.uint64))
-    common = spark.sparkContext.broadcast((k[order], top.column("n").to_numpy()[order], top.column("log").to_numpy()[order]))
-
+    counts = staged(gather(rows), "counts")
+    tree = grow(counts.where(F.col("kind") == STRING).select("key", "n"), LEAST, DIVERGENCE, WEIGHT)
+    sums = {r["kind"]: r for r in counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("distinct")).collect()}
+    number = lambda kind, name: (kind in sums and sums[kind][name]) or 0
+    learned = number(DOCUMENTS, "n")
+    total, distinct = number(WORD, "n") + learned, number(WORD, "distinct") + (learned > 0)
+    blocks = max(1, -(-number(BYTES, "n") // BLOCK))
+
+    words = counts.where(F.col("kind") == WORD).select("kind", "key", "n", F.col("n").cast("double").alias("value"))
+    told_strings = tree.select(F.lit(STRING).cast("byte").alias("kind"), "key", "n", F.log10("p").alias("value"))
+
+    def most(known: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        top = known.where("n > 0").orderBy(F.desc("n"), "key").limit(FREQUENT).select("key", "value").toArrow()
+        order = np.argsort(k := top.column("key").to_numpy())
+        return k[order], top.column("value").to_numpy()[order]
+
+    common = spark.sparkContext.broadcast({WORD: most(words), STRING: most(told_strings)})
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(block, key): the words of each batch's blocks that are not known everywhere."""
-        known = common.value[0]
+        """(block, kind, key): the words and strings of each block that are not known everywhere."""
+        held: dict[tuple[int, int], _Sums] = {}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for (b, kind), asked in held.items():
+                keys = asked.taken()[0]
+                for a in range(0, len(keys), ROWS):
+                    k = keys[a : a + ROWS]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), b, np.int32)), pa.array(np.full(len(k), kind, np.int8)), pa.array(k)], names=["block", "kind", "key"])
+            held.clear()
+
         for batch in batches:
             block = batch.column("block").to_numpy()
             at = 0
             for part, texts in text_chunks(batch, limit=CHUNK):
                 own = block[at : at + part.num_rows]
                 at += part.num_rows
-                hashes, begin = word_hashes([t.lower() for t in texts])
-                of = np.repeat(own, np.diff(begin))
                 for b in np.unique(own).tolist():
-                    k = np.unique(hashes[of == b])
-                    k = k[~_member(known, k)]
-                    if len(k):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), b, np.int32)), pa.array(k.view(np.int64))], names=["block", "key"])
-
-    asked = dealt.select("id", "text", "held", "block").mapInArrow(ask, "block int, key long")
-    told = asked.join(inner.select("key", "n", "log"), "key")
+                    these = [t for t, x in zip(texts, own, strict=True) if x == b]
+                    for kind, keys in ((WORD, word_hashes([t.lower() for t in these])[0].view(np.int64)), (STRING, _strings(these)[0])):
+                        keys = np.unique(keys)
+                        held.setdefault((b, kind), _Sums(HELD)).add(keys[~_found(common.value[kind][0], keys)[1]], True)
+                if any([asked.full() for asked in held.values()]):
+                    yield from sent()
+        yield from sent()
+
+    asked = dealt.select("id", "text", "held", "block").mapInArrow(ask, "block int, kind byte, key long")
+    told = asked.join(words.unionByName(told_strings).drop("n"), ["kind", "key"])
     end = np.log10(learned + 1.0)
     each = np.log10(total + distinct + 1.0)
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        known, n, logs = (np.concatenate([a, b]) for a, b in zip(common.value, (right.column("key").to_numpy().view(np.uint64), right.column("n").to_numpy(), right.column("log").to_numpy()), strict=True))
-        known, at = np.unique(known, return_index=True)
-        n, logs = n[at], logs[at]
-        summed = lambda x: np.concatenate([[0], np.cumsum(x)])
+        known = {}
+        kinds, keys, values = (right.column(c).to_numpy() for c in ("kind", "key", "value"))
+        for kind, (k, v) in common.value.items():
+            k, at = np.unique(np.concatenate([k, keys[kinds == kind]]), return_index=True)
+            known[kind] = k, np.concatenate([v, values[kinds == kind]])[at]
         out = []
         for batch in left.combine_chunks().to_batches():
             for part, texts in text_chunks(batch, limit=CHUNK):
                 hashes, begin = word_hashes([t.lower() for t in texts])
-                at = np.searchsorted(known, hashes)  # every word is known here
-                sure, base, model = summed(n[at] > 0), summed(np.log10(n[at] + 1.0)), summed(logs[at])
-                a, b = begin[:-1], begin[1:]
-                size = b - a + 1
-                out.append(pa.RecordBatch.from_arrays([part.column("id"), part.column("held"), pa.array(size), pa.array(sure[b] - sure[a] + (learned > 0)), pa.array(np.full(len(size), total)), pa.array(base[b] - base[a] + end - size * each), pa.array(model[b] - model[a] + end_log)], names=names))
+                at, sure = _found(known[WORD][0], hashes.view(np.int64))
+                n = np.zeros(len(hashes))
+                n[sure] = known[WORD][1][at[sure]]
+                summed = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[begin])
+                size = np.diff(begin) + 1
+                keys, first = _strings(texts)
+                logs = known[STRING][1][np.searchsorted(known[STRING][0], keys)]  # every string is known here
+                model = np.add.reduceat(logs, first[:-1])
+                out.append(pa.RecordBatch.from_arrays([part.column("id"), part.column("held"), pa.array(size), pa.array(summed(n > 0).astype(np.int64) + (learned > 0)), pa.array(np.full(len(size), total)), pa.array(summed(np.log10(n + 1.0)) + end - size * each), pa.array(model)], names=names))
         return pa.Table.from_batches(out)
 
     names = [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -255,7 +238,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return dealt.select("id", "text", "held", "block").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(answer, schema)
 
 
-def _member(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
+def _found(sorted_: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of x would stand in sorted_, and whether it does."""
     if not len(sorted_):
-        return np.zeros(len(x), bool)
-    return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x
+        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+    at = np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)
+    return at, sorted_[at] == x

@@ -1,5 +1,6 @@
 """Near-duplicates, repeats, packing, neighbours and the language model against brute force."""
 
+import functools
 import hashlib
 import math
 import random
@@ -315,7 +316,7 @@ def test_tree_is_a_distribution_and_beats_its_root(spark):
     contexts = [b"      ", b"  abra", b"zzzzzz", b"hocus"[-3:].rjust(6)]
     asked = {int.from_bytes(c + bytes([x]), "big"): 0 for c in contexts for x in range(256)}
     for w, n in words.items():
-        for k in suffix_tree._strings([w])[0].tolist():
+        for k in suffix_tree._strings([w])[0].tolist()[:-1]:
             asked[k] = asked.get(k, 0) + n
     # What the tree also has to hold: every symbol after every suffix.
     tree = {x.key: x for x in suffix_tree.grow(spark.createDataFrame(list(asked.items()), "key long, n long")).collect()}
@@ -326,23 +327,52 @@ def test_tree_is_a_distribution_and_beats_its_root(spark):
     assert tree[int.from_bytes(b"  hocus", "big")].p > 0.9
 
 
-def test_words_of_any_length_and_blocks(spark, monkeypatch):
-    """A word's score is the product over its symbols, whatever the blocks."""
-    monkeypatch.setattr(suffix_tree, "WORDS", 7)
+def suffix_tree_scores(rows, held):
+    """By counting every context of every training text, one at a time."""
+    plain = lambda t: b"".join(w + b" " for w in (t or "").encode().lower().split()) + b"\n"
+    placed = lambda t: [((b" " * suffix_tree.DEPTH + plain(t))[i : i + suffix_tree.DEPTH], x) for i, x in enumerate(plain(t))]
+    after = {}
+    for d, t in rows:
+        for context, x in placed(t) if d not in held else ():
+            for k in range(suffix_tree.DEPTH + 1):
+                after.setdefault(context[k:], Counter())[x] += 1
+
+    @functools.cache
+    def p(context, x):
+        own = after.get(context, Counter())
+        n = sum(own.values())
+        if not context:
+            return (own[x] + 1) / (n + 256)
+        return (own[x] + suffix_tree.WEIGHT * p(context[1:], x)) / (n + suffix_tree.WEIGHT) if retained(context) else p(context[1:], x)
+
+    @functools.cache
+    def retained(context):
+        own = after.get(context, Counter())
+        n = sum(own.values())
+        return n >= suffix_tree.LEAST and sum(c * math.log(c / n / p(context[1:], x)) for x, c in own.items()) >= suffix_tree.DIVERGENCE
+
+    return {d: sum(math.log10(p(*at)) for at in placed(t)) for d, t in rows}, sum(retained(c) for c in after if c)
+
+
+def test_suffix_tree_scores_across_words(spark, monkeypatch):
+    """Scores equal those of a tree built by hand, whatever the blocks and the rows sent at a time; words predict the next ones."""
     monkeypatch.setattr(suffix_tree, "FREQUENT", 3)
+    monkeypatch.setattr(suffix_tree, "BLOCK", 3000)
+    monkeypatch.setattr(suffix_tree, "CHUNK", 500)
+    monkeypatch.setattr(suffix_tree, "HELD", 64)
+    monkeypatch.setattr(suffix_tree, "ROWS", 10)
     r = random.Random(14)
-    rows = [(i, " ".join("".join(r.choice("abc") for _ in range(r.choice([1, 2, 3, 9]))) for _ in range(r.randint(0, 40)))) for i in range(80)] + [(900, "x" * 50_000)]
-    got = {x.doc_id: x for x in suffix_tree.score(frame(spark, rows)).collect()}
+    tongues = [["ab", "c", "bca", "aabbcc"], ["xy", "Z", "é", "yz"]]
+    rows = [(i, r.choice([" ", "\n", "\t  "]).join(r.choice(tongues[i % 2]) for _ in range(r.randint(0, 40)))) for i in range(120)] + [(900, "x" * 50_000), (901, None), (902, " \n ")]
     held = {d for d, _ in rows if zlib.crc32(str(d).encode()) % 7 == 2}
-    counts, ends = Counter(w for d, t in rows if d not in held for w in t.encode().split()), len(rows) - len(held)
-    strings = [(k, n) for w, n in [*counts.items(), (b"\n", ends), *((w, 0) for d, t in rows if d in held for w in t.encode().split())] for k in suffix_tree._strings([w])[0].tolist()]
-    total = Counter()
-    for k, n in strings:
-        total[k] += n
-    tree = {x.key: math.log10(x.p) for x in suffix_tree.grow(spark.createDataFrame(list(total.items()), "key long, n long")).collect()}
-    for d, t in rows:
-        want = sum(tree[k] for w in [*t.encode().split(), b"\n"] for k in suffix_tree._strings([w])[0].tolist())
-        assert abs(got[d].score - want) < 1e-6 * max(1, abs(want))
+    want, states = suffix_tree_scores(rows, held)
+    got = {x.doc_id: x.score for x in suffix_tree.score(frame(spark, rows)).collect()}
+    assert states > 20 and len(got) == len(rows)
+    for d, _ in rows:
+        assert abs(got[d] - want[d]) < 1e-6 * max(1, abs(want[d]))
+    monkeypatch.setattr(suffix_tree, "LEAST", 10**9)  # no context at all
+    alone = {x.doc_id: x.score for x in suffix_tree.score(frame(spark, rows)).collect()}
+    assert sum(got[d] for d in held - {900}) > sum(alone[d] for d in held - {900}) * 0.7
 
 
 def test_pipeline_stages(spark):
