@@ -5,8 +5,8 @@ the symbols are its bytes. The context of a symbol is the DEPTH symbols that pre
 the text, across words, with blanks before the first one. A context is retained if it stands at least LEAST times
 in the training documents and the divergence of its next symbols from those of its
 longest retained suffix, times its count, reaches DIVERGENCE. A retained context's
-distribution is its counts smoothed by WEIGHT observations drawn from that suffix's
-distribution. A symbol is scored in the state of the longest retained suffix of what
+distribution is its counts smoothed by WEIGHT observations, for each symbol seen after it,
+drawn from that suffix's distribution. A symbol is scored in the state of the longest retained suffix of what
 precedes it. LEAST and DIVERGENCE are absolute, so the tree grows with the corpus.
 
 The tree is a table: for each string of DEPTH symbols and the next one that any
@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 from .common import staged, text_chunks
 from .shingles import word_hashes
 
-DEPTH = 6
+DEPTH = 5
 LEAST = 8
 DIVERGENCE = 6.0
-WEIGHT = 8.0
+WEIGHT = 2.0
 FREQUENT = 1 << 18
-BLOCK = 16 << 20
+BLOCK = 32 << 20
 #: Bytes of text in arrays at a time.
 CHUNK = 2 << 20
 #: Different keys a task holds before it sends them on, and rows it sends at a time.
@@ -149,9 +149,10 @@ def grow(counts: DataFrame, least: int = LEAST, divergence: float = DIVERGENCE,
     for d in range(1, DEPTH + 1):
         rows = levels[d].withColumns({"low": mask(F.col("key"), d - 1), "context": F.shiftright("key", 8)})
         own = Window.partitionBy("context")
-        rows = rows.join(above.select("low", "q", "above"), "low").withColumn("total", F.sum("n").over(own)).withColumn("gain", F.sum(F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / F.col("total") / F.col("q"))).otherwise(0.0)).over(own))
+        rows = rows.join(above.select("low", "q", "above"), "low").withColumn("total", F.sum("n").over(own)).withColumn("kinds", F.count(F.when(F.col("n") > 0, 1)).over(own)).withColumn("gain", F.sum(F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / F.col("total") / F.col("q"))).otherwise(0.0)).over(own))
         keep = (F.col("total") >= least) & (F.col("gain") >= divergence)
-        p = F.when(keep, (F.col("n") + weight * F.col("q")) / (F.col("total") + weight)).otherwise(F.col("q"))
+        drawn = weight * F.col("kinds")
+        p = F.when(keep, (F.col("n") + drawn * F.col("q")) / (F.col("total") + drawn)).otherwise(F.col("q"))
         above = staged(rows.select(F.col("key").alias("low"), p.alias("q"), F.when(keep, d).otherwise(F.col("above")).alias("above"), "n"), "tree")
     return above.select(F.col("low").alias("key"), F.col("q").alias("p"), F.col("above").alias("state"), "n")
 
