@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,17 +16,18 @@ def _orders(oldest: bool) -> list[Column]:
 def ranked(reviews: DataFrame, *by: str, oldest: bool = False) -> DataFrame:
     """position within the listing: date, first seen, id; oldest first is the exact reverse.
 
-    A date's rows are numbered by themselves, after the number of rows of all dates before it, so that a busy listing is spread over its dates.
+    A date's rows (without a date: those first seen at one time) are numbered by themselves, after the number of rows of
+    all that come before, so that a busy listing is spread over its dates. The key is one struct, in which nulls
+    are equal: rows are shuffled and sorted once, for the numbering and the join alike.
     """
     order = _orders(oldest)
-    day = {"_no_date": F.col("date").isNull(), "_date": F.coalesce(F.col("date").cast("string"), F.lit(""))}
-    keys = [*by, *day]
-    earlier = Window.partitionBy(*by).orderBy(order[0]).rowsBetween(Window.unboundedPreceding, -1)  # over a listing's dates
-    counts = reviews.withColumns(day).groupBy(*keys, "date").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_before")
-    own = F.row_number().over(Window.partitionBy(*keys).orderBy(*order[1:]))
-    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))
-    placed = reviews.withColumns(day).join(counts, same).withColumn("position", (F.col("_before") + own).cast("int"))
-    return placed.drop("_before", *day, *(f"_k{i}" for i in range(len(keys))))
+    key = F.struct(*by, "date", F.when(F.col("date").isNull(), F.col("first_seen")).alias("first_seen"))
+    listing = [F.col(f"_key.{c}") for c in by]
+    earlier = Window.partitionBy(*listing).orderBy(*(f(F.col(f"_key.{c}")) for f, c in zip(OLDEST if oldest else NEWEST, ("date", "first_seen"), strict=False))).rowsBetween(Window.unboundedPreceding, -1)
+    counts = reviews.select(key.alias("_key")).groupBy("_key").agg(F.count("*").alias("_n")).select("_key", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_key").orderBy(*order[1:]))
+    placed = reviews.withColumn("_key", key).withColumn("_own", own).join(counts, "_key")
+    return placed.withColumn("position", (F.col("_before") + F.col("_own")).cast("int")).drop("_key", "_own", "_before")
 
 
 def latest(reviews: DataFrame, *by: str, k: int = 20) -> DataFrame:

@@ -200,6 +200,21 @@ def test_schedule_and_order(spark):
     assert [r.id for r in ordering.ranked(rows, "l", oldest=True).orderBy("position").collect()] == ["1", "3", "2"]
 
 
+def test_order_of_rows_without_listing_or_date(spark):
+    days, seen = [None, "2024-01-01", "2024-02-01"], [None, "a", "b"]
+    data = [(l, f"{i}{d}{f}", d, f) for l in (None, "x") for i in range(3) for d in days for f in seen] + [("x", "same", None, "a")] * 2
+    rows = spark.createDataFrame(data, "l string, id string, date string, first_seen string")
+    for oldest in (False, True):
+        got = [(r.l, r.id) for r in ordering.ranked(rows, "l", oldest=oldest).orderBy("l", "position").collect()]
+        want = []
+        for l in (None, "x"):
+            own = sorted([r for r in data if r[0] == l], key=lambda r: r[1])
+            own.sort(key=lambda r: (r[2] or "", r[3] or ""), reverse=True)  # newest first, nulls last, ties by id
+            want += [(l, r[1]) for r in (own[::-1] if oldest else own)]
+        assert got == want
+        assert sorted(r.position for r in ordering.ranked(rows, "l", oldest=oldest).where("l = 'x'").collect()) == list(range(1, 30))
+
+
 def test_near_duplicates(spark):
     df = spark.createDataFrame([(1, "k", "the same text here"), (2, "k", "The same text, here!"), (3, "k", "another"), (4, "k", ""), (5, "k", " "), (6, "j", "the same text here")], "id long, author_key string, text string")
     got = sorted(map(tuple, duplicates.similarity_pairs(df).select("left", "right", "similarity").collect()))
