@@ -158,6 +158,17 @@ def test_repeats_of_crowded_anchors(spark, monkeypatch, length, passage):
     check_repeats(spark, repeat_rows() + rows, length, passage)
 
 
+def test_repeats_of_texts_beyond_a_chunk(spark, monkeypatch):
+    """Texts that are longer than what a task holds of several texts together; their repeats lie far apart and across them."""
+    monkeypatch.setattr(repeats, "CHUNK", 1 << 12)
+    r = random.Random(6)
+    some = lambda n: "".join(r.choice("abcdefé \n") for _ in range(n))
+    common = some(900)
+    long = common + some(15_000) + common[100:] + some(9_000)
+    rows = [(1, long), (2, some(12_000) + long[3_000:9_000] + some(50)), (3, some(400)), (4, common[:450]), (5, "ab" * 6_000), (6, None)]
+    check_repeats(spark, rows, 400, 200)
+
+
 def test_repeats_empty(spark):
     assert repeats.remove_repeats(frame(spark, [])).count() == 0
 
@@ -192,7 +203,8 @@ def check_packing(rows, got):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = Counter()
     for (d, t), e in zip(rows, tok.encode_batch([t or "" for _, t in rows], add_special_tokens=False), strict=True):
-        want.update((d, i, x, len(e.ids) + 1) for i, x in enumerate([*e.ids, 0]))
+        ids = [*e.ids, 0]
+        want.update((d, i, x, len(ids)) for i, x in enumerate(ids))
     have, seq = Counter(), defaultdict(list)
     for p in got:
         ids = np.frombuffer(p.ids, "<u4")
@@ -220,6 +232,12 @@ def test_packing(spark, monkeypatch):
     assert packing.pack(frame(spark, []), PATH, PATTERN, ADDED).count() == 0
 
 
+def test_packing_of_long_texts(spark):
+    r = random.Random(10)
+    rows = [(1, " ".join(f"w{r.randrange(5000)}" for _ in range(20_000))), (2, "x" * 40_000), (3, "\n" * 20_000), (4, "é🙂" * 9_000), (5, "short"), (5, "short")]
+    check_packing(rows, packing.pack(frame(spark, rows), PATH, PATTERN, ADDED).withColumn("crc", F.crc32("ids")).collect())
+
+
 def test_retrieval_prefers_lexical_neighbours():
     docs = [np.array([1, 2, 3, 4] * 100), np.array([9, 8, 7] * 100), np.array([1, 2, 3] * 100)]
     idf = np.ones(10)

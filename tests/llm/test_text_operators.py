@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -68,7 +69,7 @@ GRAMMAR = {
 
 def brute_pii(t):
     out = sorted((m.start(), k, m.end(), n) for k, (n, (g, ok)) in enumerate(GRAMMAR.items()) for m in re.finditer(g, t or "") if ok(m.group()))
-    return hashlib.sha256(",".join(f"{n}:{a}:{b}" for a, _, b, n in out).encode()).hexdigest()
+    return hashlib.sha256(",".join(f"{n}:{a}:{b}" for a, _, b, n in out).encode()).hexdigest(), *(sum(n == k for *_, n in out) for k in GRAMMAR)
 
 
 def test_personal_data(spark):
@@ -76,7 +77,7 @@ def test_personal_data(spark):
     bits = ["a@b.co", "x.y@z", "@", "1.2.3.4", "300.1.1.1", ".5", "4111 1111 1111 1111", "4111-1111", "+1 (23) 555-0000", "+", "12", " ", "é", "🙂", "_", "-", "\n", "token = \"abe29cfcdae4f03e1e339fcaa4c5bb6c83ba0102\" "]
     rows = ODD + [(100 + i, "".join(r.choice(bits) for _ in range(r.randint(0, 60)))) for i in range(150)] + [(900, "1.2.3.4 " * 400)]
     got = pii.digest(pii.find(frame(spark, rows))).collect()
-    assert sorted((x.doc_id or 0, x.base_sha256) for x in got) == sorted((d or 0, brute_pii(t)) for d, t in rows)
+    assert sorted((x.doc_id or 0, x.base_sha256, x.n_email, x.n_ip, x.n_card, x.n_phone) for x in got) == sorted((d or 0, *brute_pii(t)) for d, t in rows)
 
 
 def test_model_adds_secrets_and_leaves_prose_alone(spark):
@@ -202,6 +203,16 @@ def test_urls(spark):
     assert urls.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_repeated_pages_are_judged_and_extracted_alike(spark):
+    """Each of the repeated rows has its own result, and all of them the same, with null ids too."""
+    some = [f"http://site{i % 5}.{'com' if i % 2 else 'net'}/{'en' if i % 3 else 'es'}/{i}?q={i * i}" for i in range(40)]
+    rows = [(i % 20 or None, u, f"<nav>menu</nav><p>{u} {'words of the page ' * (i % 7)}</p>") for i, u in enumerate(some)] * 3
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for got in (urls.filter_urls(df).select("page_id", "host", "path", "rule", "verdict"), html_text.extract(df).select("page_id", "url", "text", "n_chars")):
+        times = Counter(map(tuple, got.collect()))
+        assert sum(times.values()) == len(rows) and set(times.values()) == {3}
+
+
 def test_url_trees_learn_held_out_labels(spark):
     """Labels withheld from training are found again by the trees alone."""
     rows = [(i, f"http://{'shop-deal' if i % 2 else 'paper'}{i % 9}.com/{'buy/now' if i % 2 else 'article'}/{i}{'?ref=1&x=2' if i % 2 else ''}") for i in range(400)]
