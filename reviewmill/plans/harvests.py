@@ -31,7 +31,8 @@ def priority_order(spark, sf_dir):
 def _placed(ordered, *keep):
     """Places of a sorted table: counts of the partitions before, then the rank within; no partition holds all rows."""
     part = ordered.select(*keep, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
-    part = part.withColumn("_at", F.col("_i") - F.shiftleft(F.col("_p").cast("long"), 33))
+    # Written once: each sort of a large table draws other bounds, so counts of one don't fit the rows of another.
+    part = lineage.cut_lineage(part.withColumn("_at", F.col("_i") - F.shiftleft(F.col("_p").cast("long"), 33)))
     sizes = [(r["_p"], r["n"]) for r in part.groupBy("_p").agg(F.count("*").alias("n")).orderBy("_p").collect()]
     before, rows = 0, []
     for p, n in sizes:
