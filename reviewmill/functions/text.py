@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 
 # White space as the source defines it, invisible characters, named entities, truncation markers.
 SPACE = r"[\s\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+NO_SPACE = "[^" + SPACE[1:]
 INLINE_SPACE = r"[\t\x0B\f \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
 INVISIBLE = r"[\u0000-\u0008\u000B\u000C\u000E-\u001F\u007F-\u009F\u00AD\u200B\u200C\u202A-\u202E\u2060-\u2064\u2066-\u2069\uFEFF]"
 NAMED = {"lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'", "nbsp": " ", "ndash": "–", "mdash": "—", "hellip": "…", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "eacute": "é", "copy": "©", "reg": "®", "trade": "™", "deg": "°", "euro": "€", "pound": "£"}
@@ -34,11 +35,12 @@ _markup = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(?=[!?/A-Za-z
 
 
 def trim(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, f"^{SPACE}+", ""), f"{SPACE}+$", "")
+    """From the first to the last character that is no white space, in one pass."""
+    return F.regexp_extract(c, rf"(?s)\A{SPACE}*+(.*{NO_SPACE})?", 1)
 
 
 def collapse(c: Column) -> Column:
-    return trim(F.regexp_replace(c, f"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(c, f"{SPACE}+", " "))
 
 
 def strip_markup(c: Column) -> Column:
@@ -163,6 +165,6 @@ def normalize(c: Column) -> Column:
 
 def fold(c: Column) -> Column:
     """Lower-case, punctuation and symbols to blanks, collapsed; for comparison of texts that are NFC."""
-    return collapse(F.regexp_replace(F.lower(c), r"[\p{P}\p{S}]", " "))
+    return F.trim(F.regexp_replace(F.lower(c), rf"[\p{{P}}\p{{S}}{SPACE[1:]}+", " "))
 
 

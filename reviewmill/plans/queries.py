@@ -294,13 +294,13 @@ def near_duplicate_pairs(spark, sf_dir):
 
 @query(f"WITH {_PAIRS} SELECT author_key, count(*) AS pairs, count(*) + 1 AS stated_size FROM pairs GROUP BY 1")
 def author_clusters(spark, sf_dir):
-    return duplicates.author_clusters(duplicates.similarity_pairs(_identified(spark, sf_dir)))
+    return duplicates.pair_counts(_identified(spark, sf_dir))
 
 
 @query(f"""WITH RECURSIVE {_PAIRS}, e AS (SELECT author_key, l AS a, r AS b FROM pairs UNION SELECT author_key, r, l FROM pairs), reach AS (SELECT author_key, a, a AS b FROM e UNION SELECT reach.author_key, reach.a, e.b FROM reach JOIN e ON e.author_key = reach.author_key AND e.a = reach.b)
   SELECT author_key, root, count(*) AS size FROM (SELECT author_key, a, min(b) AS root FROM reach GROUP BY 1, 2) GROUP BY 1, 2""")
 def largest_cluster(spark, sf_dir):
-    return duplicates.cluster_sizes(duplicates.similarity_pairs(_identified(spark, sf_dir)))
+    return duplicates.text_clusters(_identified(spark, sf_dir))
 
 
 # --- ledger

@@ -1,8 +1,13 @@
 """Steps whose results or work depended on how large their tables are."""
 
+import math
+from collections import Counter
+from itertools import combinations
+from random import Random
+
 from pyspark.sql import functions as F
 
-from reviewmill.operators import runs
+from reviewmill.operators import duplicates, runs
 from reviewmill.plans import harvests
 
 
@@ -12,3 +17,36 @@ def test_places_of_a_table_larger_than_its_sample(spark):
     assert placed.agg(F.min("place"), F.max("place"), F.count_distinct("place")).first() == (0, 299_999, 300_000)
     before = placed.select((F.col("place") + 1).alias("place"), F.col("target").alias("t"), F.col("stale_hours").alias("s"))
     assert placed.join(before, "place").where("stale_hours > s OR stale_hours = s AND target < t").isEmpty()
+
+
+def test_pairs_counts_and_clusters_over_many_blocks_and_copies(spark, monkeypatch):
+    monkeypatch.setattr(duplicates, "BLOCK", 300)
+    random = Random(5)
+    stems = [" ".join(random.choice(["ab", "cde", "fö", "ghij", "𝒳k", "l"]) for _ in range(n)) for n in (6, 9, 30, 31, 60, 120)]
+    texts = [s + random.choice(["", "", "!", " x", " yz ab"]) for s in stems for _ in range(12)] + ["", "q", "Q", "ab " * 600]
+    rows = [(i, f"a{i % 2}", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id long, author_key string, text string")
+    grams = {}
+    for r in df.select("id", "author_key", duplicates.fold(F.col("text")).alias("t")).collect():
+        grams[r.id] = (r.author_key, r.t, Counter(r.t[k : k + 2] for k in range(len(r.t) - 1)))
+    want, root = {}, {i: i for i in grams}
+    for a, b in combinations(sorted(grams), 2):
+        (ka, ta, x), (kb, tb, y) = grams[a], grams[b]
+        whole = x.total() + y.total()
+        dice = 1.0 if ta == tb else 2.0 * (x & y).total() / whole if whole else 0.0
+        if ka == kb and dice >= duplicates.THRESHOLD:
+            want[ka, a, b] = math.floor(dice * 10000 + 0.5) / 10000
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if r == high else r for i, r in root.items()}
+    got = duplicates.similarity_pairs(df).collect()
+    assert len(got) == len(want) and {(r.author_key, r.left, r.right): r.similarity for r in got} == want
+    assert {(r.author_key, r.pairs, r.stated_size) for r in duplicates.pair_counts(df).collect()} == {(k, n, n + 1) for k, n in Counter(k for k, _, _ in want).items()}
+    sizes = Counter(root.values())
+    assert sorted((r.root, r["size"]) for r in duplicates.text_clusters(df).collect()) == sorted((r, n) for r, n in sizes.items() if n > 1)
+
+
+def test_blocks_send_out_as_many_pairs_as_connect_their_texts(spark):
+    df = spark.range(60).select(F.col("id"), F.lit("a").alias("author_key"), F.concat(F.lit("the very same long text of a review, but for its end " * 3), F.col("id")).alias("text"))
+    texts = duplicates._texts(duplicates._folded(df, "author_key"), duplicates.THRESHOLD)
+    assert duplicates._compared(texts, duplicates.THRESHOLD, "pairs").count() == 60 * 59 // 2
+    assert duplicates._compared(texts, duplicates.THRESHOLD, "forest").count() == 59
