@@ -274,8 +274,7 @@ _BEST = f"greatest({', '.join(language.STOPWORDS)})"
   CASE WHEN length_grapheme(trim(text)) >= 12 AND {_BEST} >= 2 THEN least(0.9, {_BEST} / len(ws) + 0.5) ELSE 0.0 END AS confidence FROM h""")
 def language_stopwords(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text", language.words_of(F.col("text")).alias("ws"))
-    code, sure = language.detect(F.col("text"), F.col("ws"))
-    return d.select("doc_id", code.alias("language"), sure.alias("confidence"))
+    return d.select("doc_id", language.detected(F.col("text"), F.col("ws")).alias("found")).select("doc_id", "found.language", "found.confidence")
 
 
 # --- duplicates

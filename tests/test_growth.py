@@ -7,6 +7,7 @@ from random import Random
 
 from pyspark.sql import functions as F
 
+from reviewmill.functions import language
 from reviewmill.operators import duplicates, runs
 from reviewmill.plans import harvests
 
@@ -50,3 +51,14 @@ def test_blocks_send_out_as_many_pairs_as_connect_their_texts(spark):
     texts = duplicates._texts(duplicates._folded(df, "author_key"), duplicates.THRESHOLD)
     assert duplicates._compared(texts, duplicates.THRESHOLD, "pairs").count() == 60 * 59 // 2
     assert duplicates._compared(texts, duplicates.THRESHOLD, "forest").count() == 59
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_are_held_against_all_stopwords_once(spark):
+    d = spark.createDataFrame([("The cat and the dog were here",)], "text string").select("text", language.words_of(F.col("text")).alias("ws"))
+    found = d.select(language.detected(F.col("text"), F.col("ws")).alias("found")).select("found.*")
+    assert tuple(found.first()) == ("en", 0.9)
+    assert plan(found).count("filter(") <= 8 and "regexp_count" not in plan(found)
