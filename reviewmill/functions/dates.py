@@ -48,24 +48,35 @@ def _has_article(p: Column, code: str) -> Column:
     return F.exists(F.split(p, " "), lambda w: w.isin(*ARTICLES[code])) if ARTICLES[code] else F.lit(True)
 
 
+def parsed(phrase: Column, locale: Column, compat: bool = False) -> Column:
+    """count and unit as a struct, both null if the phrase doesn't say both. Special phrases win, the longest first (compat: in table order).
+
+    The folded phrase is the element of an array of one, so that it is folded once, and only its language's words are looked for.
+    """
+
+    def read(x: Column) -> Column:
+        p, out = x["p"], F.lit(None).cast("struct<n:int,unit:string>")
+        for code in UNITS:
+            words = sorted([(w, u) for u, ws in UNITS[code].items() for w in ws][::-1], key=lambda x: len(x[0]))
+            of = F.lit(None).cast("string")
+            for w, u in words:
+                of = F.when(F.contains(p, F.lit(w)), u).otherwise(of)
+            n = F.coalesce(x["given"], F.when(_has_article(p, code), F.lit(1)))
+            said = F.struct(n.alias("n"), of.alias("unit"))
+            special = list(SPECIAL[code].items())
+            for w, (k, u) in special[::-1] if compat else sorted(special, key=lambda x: len(x[0])):
+                said = F.when(F.contains(p, F.lit(w)), F.struct(F.lit(k).alias("n"), F.lit(u).alias("unit"))).otherwise(said)
+            out = F.when(x["language"] == code, said).otherwise(out)
+        return out
+
+    p = F.transform(F.array(fold_phrase(phrase)), lambda p: F.struct(p.alias("p"), F.regexp_extract(p, r"(\d+)", 1).try_cast("int").alias("given"), primary(locale).alias("language")))
+    return F.transform(F.transform(p, read), lambda r: F.when(r["n"].isNotNull() & r["unit"].isNotNull(), r))[0]
+
+
 def parse_phrase(phrase: Column, locale: Column, compat: bool = False) -> tuple[Column, Column]:
-    """(count, unit); null if the phrase says neither. Special phrases win, the longest first (compat: in table order)."""
-    p, language = fold_phrase(phrase), primary(locale)
-    count, unit = F.lit(None).cast("int"), F.lit(None).cast("string")
-    for code in UNITS:
-        words = sorted([(w, u) for u, ws in UNITS[code].items() for w in ws][::-1], key=lambda x: len(x[0]))
-        of = F.lit(None).cast("string")
-        given = F.regexp_extract(p, r"(\d+)", 1).try_cast("int")
-        for w, u in words:
-            of = F.when(F.contains(p, F.lit(w)), u).otherwise(of)
-        n = F.coalesce(given, F.when(_has_article(p, code), F.lit(1)))
-        special = list(SPECIAL[code].items())
-        special = special[::-1] if compat else sorted(special, key=lambda x: len(x[0]))
-        for w, (k, u) in special:
-            n, of = F.when(F.contains(p, F.lit(w)), F.lit(k)).otherwise(n), F.when(F.contains(p, F.lit(w)), F.lit(u)).otherwise(of)
-        count, unit = F.when(language == code, n).otherwise(count), F.when(language == code, of).otherwise(unit)
-    both = unit.isNotNull() & count.isNotNull()
-    return F.when(both, count), F.when(both, unit)
+    """(count, unit), the fields of ``parsed``."""
+    found = parsed(phrase, locale, compat)
+    return found["n"], found["unit"]
 
 
 def resolve_ms(observed_ms: Column, count: Column, unit: Column) -> Column:

@@ -251,8 +251,7 @@ def relative_dates(spark, sf_dir):
     phrase = F.element_at(F.array(*(F.lit(p[0]) for p in PHRASES)), (F.col("event_id") % len(PHRASES) + 1).cast("int"))
     locale = F.element_at(F.array(*(F.lit(p[1]) for p in PHRASES)), (F.col("event_id") % len(PHRASES) + 1).cast("int"))
     e = table(spark, sf_dir, "events").withColumns({"phrase": phrase, "locale": locale})
-    n, unit = dates.parse_phrase(F.col("phrase"), F.col("locale"))
-    e = e.withColumns({"n": n, "unit": unit})
+    e = e.withColumn("said", dates.parsed(F.col("phrase"), F.col("locale"))).select("event_id", "ts", "said.*")
     precision, confidence = dates.precision_of(F.col("unit"))
     return e.select("event_id", "n", "unit", dates.resolve_ms(F.unix_millis(F.col("ts").cast("timestamp")), F.col("n"), F.col("unit")).alias("at_ms"), precision.alias("precision"), confidence.alias("confidence"))
 
