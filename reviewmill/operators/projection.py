@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse
-
 # Fields that no payload may carry, legal suffixes of names, states of outcomes and their exit codes.
 FORBIDDEN = ("identity_hash_inputs", "email", "phone", "raw_html", "session", "cookies")
 SUFFIXES = ("inc", "llc", "ltd", "gmbh", "co", "corp", "sa", "srl", "bv", "plc")
@@ -17,17 +15,21 @@ MATCH = 0.82
 def name_tokens(name: Column) -> Column:
     """Lower-case words; & and + are "and"; trailing legal suffixes go while a word is left."""
     c = F.regexp_replace(F.lower(name), r"[&+]", " and ")
-    words = F.split(collapse(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " ")), " ")
+    words = F.array(F.split(F.trim(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " ")), " "))
+    # The list is the element of an array of one, so that it is split once.
     for _ in range(2):
-        last = F.element_at(words, -1)
-        words = F.when((F.size(words) > 1) & last.isin(*SUFFIXES), F.slice(words, 1, F.size(words) - 1)).otherwise(words)
-    return F.array_distinct(F.filter(words, lambda w: w != ""))
+        words = F.transform(words, lambda w: F.when((F.size(w) > 1) & F.element_at(w, -1).isin(*SUFFIXES), F.slice(w, 1, F.size(w) - 1)).otherwise(w))
+    return F.array_distinct(F.filter(words[0], lambda w: w != ""))
 
 
 def name_similarity(a: Column, b: Column) -> Column:
     """Overlap coefficient of two token sets; 0 if either is empty."""
-    least = F.least(F.size(a), F.size(b))
-    return F.when(least > 0, F.size(F.array_intersect(a, b)) / least).otherwise(F.lit(0.0))
+
+    def overlap(x: Column) -> Column:
+        least = F.least(F.size(x["a"]), F.size(x["b"]))
+        return F.when(least > 0, F.size(F.array_intersect(x["a"], x["b"])) / least).otherwise(F.lit(0.0))
+
+    return F.transform(F.array(F.struct(a.alias("a"), b.alias("b"))), overlap)[0]
 
 
 def choose(scored: DataFrame, *by: str, threshold: float = MATCH) -> DataFrame:

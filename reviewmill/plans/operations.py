@@ -17,7 +17,8 @@ _PART = _TOKENS.format(x="p_name")
 @query(f"SELECT p_partkey, len(list_intersect({_PART}, ['red', 'widget'])) / least(len({_PART}), 2) AS score, len(list_intersect({_PART}, ['red', 'widget'])) / least(len({_PART}), 2) >= 0.82 AS same FROM part")
 def name_similarity(spark, sf_dir):
     score = projection.name_similarity(projection.name_tokens(F.col("p_name")), projection.name_tokens(F.lit("Red Widget Inc")))
-    return table(spark, sf_dir, "part").select("p_partkey", score.alias("score"), (score >= projection.MATCH).alias("same"))
+    scored = table(spark, sf_dir, "part").select("p_partkey", score.alias("score"))
+    return scored.select("p_partkey", "score", (F.col("score") >= projection.MATCH).alias("same"))
 
 
 @query(f"WITH s AS (SELECT p_brand, p_partkey, len(list_intersect({_PART}, ['red', 'widget'])) / least(len({_PART}), 2) AS score FROM part), g AS (SELECT p_brand, count(*) FILTER (score >= 0.82) AS m, min(p_partkey) FILTER (score >= 0.82) AS b FROM s GROUP BY 1) SELECT p_brand, CASE m WHEN 1 THEN 'MATCH' WHEN 0 THEN 'NOTFOUND' ELSE 'AMBIGUOUS' END AS verdict, CASE m WHEN 1 THEN b END AS candidate FROM g")

@@ -7,8 +7,8 @@ from random import Random
 
 from pyspark.sql import functions as F
 
-from reviewmill.functions import language
-from reviewmill.operators import duplicates, runs
+from reviewmill.functions import dates, language
+from reviewmill.operators import duplicates, projection, runs
 from reviewmill.plans import harvests
 
 
@@ -62,3 +62,17 @@ def test_words_are_held_against_all_stopwords_once(spark):
     found = d.select(language.detected(F.col("text"), F.col("ws")).alias("found")).select("found.*")
     assert tuple(found.first()) == ("en", 0.9)
     assert plan(found).count("filter(") <= 8 and "regexp_count" not in plan(found)
+
+
+def test_a_phrase_is_folded_once(spark):
+    d = spark.createDataFrame([("Vor 2 Monaten.", "de")], "p string, l string")
+    found = d.select(dates.parsed(F.col("p"), F.col("l")).alias("said")).select("said.*")
+    assert tuple(found.first()) == (2, "month")
+    assert plan(found).count("translate(") == 1
+
+
+def test_a_name_is_split_once(spark):
+    d = spark.createDataFrame([("Red & Blue Widget Co. Ltd",)], "name string")
+    score = d.select(projection.name_similarity(projection.name_tokens(F.col("name")), projection.name_tokens(F.lit("blue widget inc"))).alias("score"))
+    assert score.first().score == 1.0
+    assert plan(score).count("split(") <= 2
