@@ -16,6 +16,9 @@ from .runs import AI_FIELDS
 
 Enricher = Callable[[pd.DataFrame], pd.DataFrame]
 
+#: Rows that the functions get at once: what they return and its copies grow with these, not with a batch of Spark's.
+ROWS = 256
+
 
 def attempt(fn: Enricher, frame: pd.DataFrame) -> list[tuple[pd.DataFrame | None, int]]:
     """(annotations, rows) of each part of the frame in order; None where the function raised on a single row or gave another number of rows."""
@@ -45,9 +48,7 @@ def enriched(reviews: DataFrame, enrichers: dict[str, Enricher]) -> DataFrame:
     schema = ", ".join(f"{k} {t}" for k, t in AI_FIELDS.items())
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if frame.empty:
-                continue
+        for frame in (whole.iloc[at : at + ROWS] for whole in frames for at in range(0, len(whole), ROWS)):
             ai: list[dict] = [{} for _ in range(len(frame))]
             failed: list[list[str]] = [[] for _ in range(len(frame))]
             rejected: list[list[str]] = [[] for _ in range(len(frame))]

@@ -5,10 +5,11 @@ from collections import Counter
 from itertools import combinations
 from random import Random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from reviewmill.functions import dates, language
-from reviewmill.operators import duplicates, projection, runs
+from reviewmill.operators import duplicates, enrich, projection, runs
 from reviewmill.plans import harvests
 
 
@@ -76,3 +77,9 @@ def test_a_name_is_split_once(spark):
     score = d.select(projection.name_similarity(projection.name_tokens(F.col("name")), projection.name_tokens(F.lit("blue widget inc"))).alias("score"))
     assert score.first().score == 1.0
     assert plan(score).count("split(") <= 2
+
+
+def test_functions_get_few_rows_at_once(spark):
+    rows = spark.range(3000, numPartitions=1).select(F.col("id").alias("doc_id"))
+    got = enrich.enriched(rows, {"size": lambda frame: pd.DataFrame({"sentiment_score": [float(len(frame))] * len(frame)})})
+    assert got.agg(F.count("*"), F.count_distinct("doc_id"), F.max("ai.sentiment_score") <= enrich.ROWS).first() == (3000, 3000, True)
