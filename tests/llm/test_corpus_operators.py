@@ -309,6 +309,54 @@ def test_neighbours_small_tables(spark):
     assert neighbours.nearest(few.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_leaves_of_many_queries_are_those_of_one_queue():
+    r = np.random.default_rng(3)
+    x = r.normal(size=(2000, 6)).astype(np.float32)
+    for sample, depth in ((2000, 5), (300, 7), (20, 3)):
+        f = neighbours.Forest(x[:sample], float(np.linalg.norm(x, axis=1).max()), depth)
+        far = f.distances(x[:5])
+        for q, found in zip(np.append(x[:5], np.zeros((5, 1), np.float32), axis=1), far.reshape(5, f.trees, -1), strict=True):
+            for t, leaf in ((t, leaf) for t in range(f.trees) for leaf in range(1 << depth)):
+                node, want = 0, -np.inf
+                for level in range(depth):
+                    side = q @ f.normals[t, node] - f.cuts[t, node] if level < f.top else (q - f.means[t, leaf >> (depth - f.top)]) @ f.below[t, level - f.top]
+                    high = leaf >> (depth - level - 1) & 1
+                    want = max(want, -np.inf if (side > 0) == bool(high) else abs(side))
+                    node = 2 * node + 1 + high
+                assert found[t, leaf] == want or abs(found[t, leaf] - want) < 1e-5
+        taken = f.search(x[:5], 20)
+        assert (taken.sum(1) == 20).all() and (np.where(taken, far, -np.inf).max(1) <= np.where(taken, np.inf, far).min(1)).all()
+        assert np.isneginf(far).sum() == 5 * f.trees and taken[np.isneginf(far)].all()
+
+
+def written(spark):
+    """Rows that stages have written to shuffles so far."""
+    jvm, store = spark.sparkContext._jvm, spark.sparkContext._jsc.sc().statusStore()
+    none = spark.sparkContext._gateway.new_array(jvm.double, 0)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = store.stageList(jvm.java.util.ArrayList(), False, False, none, jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+@pytest.mark.parametrize("blocks", [{}, {"CELL": 30_000, "ASKED": 6_000, "TILE": 3_000}])
+def test_neighbours_see_every_leaf_by_small_parts(spark, monkeypatch, blocks):
+    for name, size in blocks.items():
+        monkeypatch.setattr(neighbours, name, size)
+    r = np.random.default_rng(4)
+    x = r.normal(size=(3000, 8)).astype(np.float32)
+    x[:900] = x[0] + r.normal(size=(900, 8)).astype(np.float32) * 1e-3  # a crowded corner
+    rows = list(enumerate(x.tolist()))
+    before = written(spark)
+    # So much effort that all leaves are seen: the result is exact.
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 3 == 0, k=5, leaf=8, effort=200).orderBy("query_id", "rank").collect()
+    assert blocks or written(spark) - before < 200_000  # 1,000 queries take 4,096 leaves each
+    score = x.astype(float) @ x.astype(float).T
+    np.fill_diagonal(score, -np.inf)
+    want = [(q, k + 1, int(c)) for q in range(0, 3000, 3) for k, c in enumerate(np.lexsort((np.arange(3000), -score[q]))[:5])]
+    assert [(g.query_id, g["rank"], g.vec_id) for g in got] == want
+    assert all(abs(g.score - score[g.query_id, g.vec_id]) < 1e-9 for g in got)
+
+
 def test_language_model(spark, monkeypatch):
     monkeypatch.setattr(suffix_tree, "FREQUENT", 50)
     monkeypatch.setattr(suffix_tree, "BLOCK", 5000)
